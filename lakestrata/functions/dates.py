@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,53 +12,57 @@ from lakestrata.functions.text import is_blank, strip
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 # The strict month/day/year form, rewritten to ISO.
-_MONTH_DAY_YEAR = (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
+_MONTH_DAY_YEAR = ((r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),)
 
-# Further forms the lenient parser takes, in this order, rewritten to ISO.
+# Further forms the lenient parser takes, rewritten to ISO in this order. Where
+# the first number can be a month it is one, otherwise it is the day.
 LENIENT_FORMS = (
     (r"^(\d{4})-(\d{1,2})-(\d{1,2})[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "$1-$2-$3"),
     (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$1-$2"),
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
-    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1"),
+    (r"^(0?[1-9]|1[0-2])[-/](\d{1,2})[-/](\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})$", "$3-$2-$1"),
 )
 
-# Forms with a month name, in this order.
-LENIENT_NAMED_FORMS = (
-    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+# Forms with an English month name, full or short, rewritten to "Month d yyyy".
+NAMED_FORMS = (
+    (r"^([A-Za-z]+) (\d{1,2}),? (\d{4})$", "$1 $2 $3"),
+    (r"^(\d{1,2}) ([A-Za-z]+),? (\d{4})$", "$2 $1 $3"),
 )
+_NAMED = (r"^[A-Za-z]+ \d{1,2} \d{4}$", "[MMMM][MMM] d yyyy")
 
 # The monthly suffix of an extract, once for file names and once for names without ".csv".
 MONTHLY_FILE = r"_(\d{4})_(\d{2})\.csv$"
 DATASET_OF_STEM = r"^(.+)_\d{4}_\d{2}$"
 
 
-def _rewritten(text: Column, form: tuple[str, str]) -> Column:
+def _rewritten(c: Column, forms: Sequence[tuple[str, str]]) -> Column:
+    for pattern, replacement in forms:
+        c = F.regexp_replace(c, pattern, replacement)
+    return c
+
+
+def _from_iso(c: Column) -> Column:
     # Rewriting to ISO and casting keeps the cell inside generated code; a formatter based
     # try_to_date would raise and swallow an exception for every cell of another format.
-    pattern, replacement = form
-    iso = F.regexp_replace(text, pattern, replacement)
-    return F.when(iso.rlike(_ISO), iso.try_cast("date"))
+    return F.when(c.rlike(_ISO), c.try_cast("date"))
 
 
 def mixed_date(c: Column) -> Column:
     """Strict: ``YYYY-MM-DD`` or ``MM/DD/YYYY`` after stripping, anything else is NULL."""
-    return _rewritten(strip(c), _MONTH_DAY_YEAR)
+    return _from_iso(_rewritten(strip(c), _MONTH_DAY_YEAR))
 
 
 def mixed_date_lenient(c: Column) -> Column:
     """Strict forms first, then the declared further forms in their order."""
     text = strip(c)
-    numeric = [F.when(text.rlike(form[0]), _rewritten(text, form)) for form in LENIENT_FORMS]
-    named = [
-        F.when(text.rlike(pattern), F.try_to_date(text, layout))
-        for pattern, layout in LENIENT_NAMED_FORMS
-    ]
-    return F.coalesce(mixed_date(c), *numeric, *named)
+    named = _rewritten(text, NAMED_FORMS)
+    pattern, layout = _NAMED
+    return F.coalesce(
+        mixed_date(c),
+        _from_iso(_rewritten(text, LENIENT_FORMS)),
+        F.when(named.rlike(pattern), F.try_to_date(F.initcap(F.lower(named)), layout)),
+    )
 
 
 def date_outcome(raw: Column, parsed: Column) -> Column:

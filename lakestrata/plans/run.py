@@ -78,8 +78,7 @@ def run_silver(spark: SparkSession, out: str) -> DataFrame:
         if bronze is None:
             continue
         write_layer(silver(bronze, spec), f"{out}/silver/{dataset}")
-        counters = cleansing_counters(bronze, spec)
-        measured = bronze.agg(*[c.alias(name) for name, c in counters.items()]).first().asDict()
+        measured = cleansing_counters(bronze, spec).first().asDict()
         measured["rows_written"] = read_layer(spark, f"{out}/silver/{dataset}").count()
         measured["duplicates_removed"] = measured["rows_read"] - measured["rows_written"]
         rows += [(dataset, name, int(value or 0)) for name, value in measured.items()]

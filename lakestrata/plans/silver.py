@@ -61,8 +61,8 @@ def cleanse(df: DataFrame, spec: SilverSpec) -> DataFrame:
     for column in df.columns:
         if column in spec.never_text:
             continue
-        c = F.col(column)
-        c = text.null_tokens_to_null(c) if spec.null_tokens else text.strip(c)
+        raw = F.col(column)
+        c = text.null_tokens_to_null(raw) if spec.null_tokens else text.strip(raw)
         if column in spec.defaults:
             c = text.blank_to_default(c)
         if column in spec.blanks:
@@ -72,9 +72,9 @@ def cleanse(df: DataFrame, spec: SilverSpec) -> DataFrame:
         if column in spec.labels_any_case:
             c = text.label_any_case(c)
         if column in spec.strict:
-            c = dates.mixed_date(c)
+            c = dates.mixed_date(raw)
         if column in spec.lenient:
-            c = dates.mixed_date_lenient(c)
+            c = dates.mixed_date_lenient(raw)
         clean[column] = c
     out = df.withColumns(clean)
     if spec.labor_cost:
@@ -98,26 +98,29 @@ def silver(df: DataFrame, spec: SilverSpec) -> DataFrame:
     return keep_first(clean, business_columns(clean, spec), order)
 
 
-def cleansing_counters(df: DataFrame, spec: SilverSpec) -> dict[str, F.Column]:
-    """Aggregates over the uncleansed rows: trimmed cells, labels, and date outcomes."""
+def cleansing_counters(df: DataFrame, spec: SilverSpec) -> DataFrame:
+    """One row of counters over the uncleansed rows: trimmed cells, labels and date outcomes."""
     texts = [c for c in df.columns if c not in spec.never_text]
-    counters = {"rows_read": F.count(F.lit(1))}
     trimmed = [text.was_trimmed(F.col(c)).cast("long") for c in texts]
-    counters["trimmed_cells"] = F.sum(sum(trimmed[1:], trimmed[0]))
+    facts = {"trimmed": sum(trimmed[1:], trimmed[0])}
+    counters = {"rows_read": F.count(F.lit(1)), "trimmed_cells": F.sum("trimmed")}
     for c in (*spec.labels, *spec.labels_any_case):
         mapped = text.label_exact(F.col(c)) if c in spec.labels else text.label_any_case(F.col(c))
-        known = mapped.isin(*set(text.CARE_LEVELS.values()))
-        counters[f"{c}_standardised"] = F.count_if(F.coalesce(known, F.lit(False)))
-        counters[f"{c}_unknown"] = F.count_if(~text.is_blank(F.col(c)) & ~known)
+        known = mapped.isin(*sorted(set(text.CARE_LEVELS.values())))
+        kind = F.when(known, "standardised").when(~text.is_blank(F.col(c)), "unknown")
+        facts[f"{c}_kind"] = kind
+        for name in ("standardised", "unknown"):
+            counters[f"{c}_{name}"] = F.count_if(F.col(f"{c}_kind") == name)
     for c in (*spec.strict, *spec.lenient):
-        parsed = dates.mixed_date(F.col(c)) if c in spec.strict else dates.mixed_date_lenient(F.col(c))
-        outcome = dates.date_outcome(F.col(c), parsed)
-        for kind in ("ok", "blank", "invalid"):
-            counters[f"{c}_{kind}"] = F.count_if(outcome == kind)
+        parse = dates.mixed_date if c in spec.strict else dates.mixed_date_lenient
+        facts[f"{c}_kind"] = dates.date_outcome(F.col(c), parse(F.col(c)))
+        for name in ("ok", "blank", "invalid"):
+            counters[f"{c}_{name}"] = F.count_if(F.col(f"{c}_kind") == name)
     for c in spec.defaults:
         counters[f"{c}_defaulted"] = F.count_if(text.is_blank(F.col(c)))
     if spec.labor_cost:
-        rate = numbers.rate_for(text.strip(F.col("role")), F.col("hourly_rate"))
-        counters["rate_found"] = F.count(rate)
-        counters["cost_found"] = F.count(numbers.product(F.col("hours_worked"), rate))
-    return counters
+        facts["rate"] = numbers.rate_for(text.strip(F.col("role")), F.col("hourly_rate"))
+        counters["rate_found"] = F.count("rate")
+        counters["cost_found"] = F.count(numbers.product(F.col("hours_worked"), F.col("rate")))
+    with_facts = df.select(*texts, *[c.alias(name) for name, c in facts.items()])
+    return with_facts.agg(*[c.cast("long").alias(name) for name, c in counters.items()])
