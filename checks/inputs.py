@@ -7,6 +7,7 @@ made of whole tables; ``resent`` rows are repeated on top of them.
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -201,11 +202,10 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._built: dict[str, DataFrame] = {}
-        for table in TABLES:
-            self.table(table).createOrReplaceTempView(table)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self._once(name, lambda: self.spark.read.parquet(path))
 
     def _once(self, name: str, build) -> DataFrame:
         if name not in self._built:
@@ -213,7 +213,13 @@ class Inputs:
         return self._built[name]
 
     def raw(self, dataset: str) -> DataFrame:
-        return self._once(f"raw {dataset}", lambda: self.spark.sql(raw_sql(dataset, SPARK_MONTHS)))
+        return self._once(f"raw {dataset}", lambda: self._select(raw_sql(dataset, SPARK_MONTHS)))
+
+    def _select(self, sql: str) -> DataFrame:
+        for table in TABLES:
+            if re.search(rf"\b{table}\b", sql):
+                self.table(table).createOrReplaceTempView(table)
+        return self.spark.sql(sql)
 
     def clean(self, dataset: str) -> DataFrame:
         return cleanse(self.raw(dataset), SPECS[dataset])

@@ -28,7 +28,7 @@ def hot_keys(
         .filter(F.col("_rows") > piece_rows)
         .orderBy(F.desc("_rows"), *on)
         .limit(limit)
-        .select(*on, F.ceil(F.col("_rows") / piece_rows).cast("int").alias("_pieces"))
+        .select(*on, F.ceil(F.col("_rows") / piece_rows).alias("_pieces"))
     )
 
 
@@ -76,14 +76,13 @@ def skew_safe_join(
     pieces = F.col("h._pieces")
     piece = F.pmod(F.xxhash64(*[F.col(f"b.{c}") for c in big.columns]), pieces)
     left = big.alias("b").join(hot, _same_key("b", "h", on), "left")
-    left = left.select("b.*", F.when(pieces.isNotNull(), piece).otherwise(0).alias("_piece"))
+    left = left.select("b.*", F.when(pieces.isNotNull(), piece).otherwise(F.lit(0)).alias("_piece"))
 
-    copies = F.when(pieces.isNotNull(), F.sequence(F.lit(0), pieces - 1)).otherwise(
-        F.array(F.lit(0))
-    )
+    zero = F.lit(0).cast("long")
+    copies = F.when(pieces.isNotNull(), F.sequence(zero, pieces - 1)).otherwise(F.array(zero))
     right = small.alias("s").join(hot, _same_key("s", "h", on), "left")
     right = right.select(
-        *keys, *[f"s.{c}" for c in kept], F.explode(copies).cast("long").alias("_r__piece")
+        *keys, *[f"s.{c}" for c in kept], F.explode(copies).alias("_r__piece")
     )
     condition = _same_key("l", "r", [*on, "_piece"], "_r_")
     out = left.alias("l").join(right.alias("r"), condition, how)

@@ -84,10 +84,9 @@ def trailing_average_active(
     )
     final = F.date_add("snapshot", days - 1)
     months = F.sequence(F.trunc("snapshot", "MM"), F.trunc(final, "MM"), F.expr("interval 1 month"))
-    reports = per_snapshot.withColumn("report_date", F.last_day(F.explode(months)))
-    inside = (F.col("report_date") <= F.date_add("snapshot", days - 1)) & (
-        F.col("report_date") <= F.lit(upto)
-    )
+    reports = per_snapshot.withColumn("month", F.explode(months))
+    reports = reports.withColumn("report_date", F.last_day("month"))
+    inside = (F.col("report_date") <= final) & (F.col("report_date") <= F.lit(upto))
     return (
         reports.filter(inside)
         .groupBy(*by, "report_date")
