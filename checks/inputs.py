@@ -17,9 +17,20 @@ from lakestrata.operators.calendar import calendar
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleanse, silver
 from lakestrata.schemas import DATASETS
+from lakestrata.session import materialise, spread_small
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
 
+# What a table too small for all cores is hash partitioned by; joins on these need no shuffle.
+KEYS = {
+    "customer": ("c_custkey",),
+    "part": ("p_partkey",),
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey",),
+    "events": ("event_id",),
+    "documents": ("doc_id",),
+}
+
 SPARK_MONTHS = "explode(sequence(DATE '1998-01-01', DATE '1998-12-01', INTERVAL 1 MONTH))"
 ORACLE_MONTHS = "CAST(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS DATE)"
 
@@ -205,7 +216,8 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        return self._once(name, lambda: self.spark.read.parquet(path))
+        keys = KEYS.get(name, ())
+        return self._once(name, lambda: spread_small(self.spark.read.parquet(path), *keys))
 
     def _once(self, name: str, build) -> DataFrame:
         if name not in self._built:
@@ -225,7 +237,11 @@ class Inputs:
         return cleanse(self.raw(dataset), SPECS[dataset])
 
     def silver(self, dataset: str) -> DataFrame:
-        return self._once(f"silver {dataset}", lambda: silver(self.raw(dataset), SPECS[dataset]))
+        return silver(self.raw(dataset), SPECS[dataset])
+
+    def stored_silver(self, dataset: str) -> DataFrame:
+        build = lambda: materialise(self.silver(dataset), dataset)
+        return self._once(f"silver {dataset}", build)
 
     def dim(self, name: str) -> DataFrame:
         """Dimensions take the first row of each id, which duplicates cannot change, so they
@@ -250,7 +266,11 @@ class Inputs:
     def fact(self, name: str) -> DataFrame:
         dataset, lookups = gold.FACT_SOURCES[name]
         dims = {dim: self.dim(dim) for dim, _, _ in lookups}
-        return self._once(name, lambda: gold.fact(name, self.silver(dataset), dims))
+        return gold.fact(name, self.silver(dataset), dims)
+
+    def stored_fact(self, name: str) -> DataFrame:
+        """The written gold table, which is what analysis and rules read."""
+        return self._once(name, lambda: materialise(self.fact(name), name))
 
     @cached_property
     def upto(self) -> str:

@@ -26,7 +26,7 @@ _DAYS = f"SELECT {_quarter('date')} AS period, count(*) AS selected_days FROM di
     f"SELECT community_key, CAST(period AS VARCHAR) AS period, active_residents FROM ({_ACTIVE})",
 )
 def m_active_residents(inputs: Inputs) -> DataFrame:
-    return measures.active_residents(inputs.fact("fact_residents"), ["community_key"], "quarter")
+    return measures.active_residents(inputs.stored_fact("fact_residents"), ["community_key"], "quarter")
 
 
 @query(
@@ -37,7 +37,7 @@ def m_active_residents(inputs: Inputs) -> DataFrame:
 )
 def m_resident_days(inputs: Inputs) -> DataFrame:
     return measures.resident_days(
-        inputs.fact("fact_residents"), inputs.dim("dim_date"), ["community_key"], "quarter"
+        inputs.stored_fact("fact_residents"), inputs.dim("dim_date"), ["community_key"], "quarter"
     )
 
 
@@ -54,8 +54,8 @@ def m_resident_days(inputs: Inputs) -> DataFrame:
 )
 def m_incident_rate(inputs: Inputs) -> DataFrame:
     return measures.incident_rate(
-        inputs.fact("fact_incidents"),
-        inputs.fact("fact_residents"),
+        inputs.stored_fact("fact_incidents"),
+        inputs.stored_fact("fact_residents"),
         inputs.dim("dim_date"),
         ["community_key"],
         "quarter",
@@ -77,7 +77,7 @@ _AVERAGE = """SELECT s.community_key, m.report_date, CAST(sum(residents) AS DOUB
     f"SELECT community_key, CAST(report_date AS VARCHAR) AS report_date, move_outs FROM ({_MOVED})",
 )
 def m_trailing_moveouts(inputs: Inputs) -> DataFrame:
-    return measures.trailing_moveouts(inputs.fact("fact_leases"), ["community_key"], inputs.upto)
+    return measures.trailing_moveouts(inputs.stored_fact("fact_leases"), ["community_key"], inputs.upto)
 
 
 @query(
@@ -86,7 +86,7 @@ def m_trailing_moveouts(inputs: Inputs) -> DataFrame:
 )
 def m_trailing_avg_active(inputs: Inputs) -> DataFrame:
     return measures.trailing_average_active(
-        inputs.fact("fact_residents"), ["community_key"], inputs.upto
+        inputs.stored_fact("fact_residents"), ["community_key"], inputs.upto
     )
 
 
@@ -98,7 +98,7 @@ def m_trailing_avg_active(inputs: Inputs) -> DataFrame:
 )
 def m_moveout_rate(inputs: Inputs) -> DataFrame:
     return measures.moveout_rate(
-        inputs.fact("fact_leases"), inputs.fact("fact_residents"), ["community_key"], inputs.upto
+        inputs.stored_fact("fact_leases"), inputs.stored_fact("fact_residents"), ["community_key"], inputs.upto
     )
 
 
@@ -115,7 +115,7 @@ def m_moveout_rate(inputs: Inputs) -> DataFrame:
        FROM latest LEFT JOIN active USING (community_key)""",
 )
 def m_occupancy(inputs: Inputs) -> DataFrame:
-    return measures.occupancy(inputs.fact("fact_units"), inputs.fact("fact_leases"), ["community_key"])
+    return measures.occupancy(inputs.stored_fact("fact_units"), inputs.stored_fact("fact_leases"), ["community_key"])
 
 
 @query(
@@ -137,7 +137,7 @@ def m_rolling_leads(inputs: Inputs) -> DataFrame:
        WHERE status = 'Won' GROUP BY community_key, m.report_date""",
 )
 def m_rolling_won(inputs: Inputs) -> DataFrame:
-    won = inputs.fact("fact_hubspot_leads").filter("status = 'Won'")
+    won = inputs.stored_fact("fact_hubspot_leads").filter("status = 'Won'")
     return rolling_distinct(
         won, "lead_id", "created_date", ["community_key"], "won_leads", inputs.upto, monthly=True
     )

@@ -42,7 +42,7 @@ _UNIQUE = {
     ),
 )
 def dq_unique(inputs: Inputs) -> DataFrame:
-    return _together([quality.unique_violations(inputs.fact(t), t, k) for t, k in _UNIQUE.items()])
+    return _together([quality.unique_violations(inputs.stored_fact(t), t, k) for t, k in _UNIQUE.items()])
 
 
 _REQUIRED = ("fact_adp_shifts", "fact_incidents", "fact_residents")
@@ -56,7 +56,7 @@ _REQUIRED = ("fact_adp_shifts", "fact_incidents", "fact_residents")
 )
 def dq_not_null(inputs: Inputs) -> DataFrame:
     return _together(
-        [quality.count_violations(inputs.fact(t), t, quality.not_null(FACTS[t].required)) for t in _REQUIRED]
+        [quality.count_violations(inputs.stored_fact(t), t, quality.not_null(FACTS[t].required)) for t in _REQUIRED]
     )
 
 
@@ -80,7 +80,7 @@ _REFERENCES = (
 )
 def dq_foreign_key(inputs: Inputs) -> DataFrame:
     return _together(
-        [quality.foreign_key_violations(inputs.fact(t), t, c, inputs.dim(d), dc) for t, c, d, dc in _REFERENCES]
+        [quality.foreign_key_violations(inputs.stored_fact(t), t, c, inputs.dim(d), dc) for t, c, d, dc in _REFERENCES]
     )
 
 
@@ -110,7 +110,7 @@ def dq_check_range(inputs: Inputs) -> DataFrame:
         "fact_residents": quality.in_range("acuity_score", 0)
         | quality.in_range("discharged_resident_count", 0, 1),
     }
-    return _together([quality.count_violations(inputs.fact(t), t, r) for t, r in rules.items()])
+    return _together([quality.count_violations(inputs.stored_fact(t), t, r) for t, r in rules.items()])
 
 
 @query(
@@ -155,7 +155,7 @@ _ORDERS = {
 def dq_date_order(inputs: Inputs) -> DataFrame:
     """Includes the sales funnel: move-ins before the deposit."""
     return _together(
-        [quality.count_violations(inputs.fact(t), t, quality.ordered_dates(p)) for t, p in _ORDERS.items()]
+        [quality.count_violations(inputs.stored_fact(t), t, quality.ordered_dates(p)) for t, p in _ORDERS.items()]
     )
 
 

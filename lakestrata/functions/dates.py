@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.text import is_blank, strip
 
-_ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_ISO = r"^(\d{4}-\d{1,2}-\d{1,2})$"
 
 # The strict month/day/year form, rewritten to ISO.
 _MONTH_DAY_YEAR = ((r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),)
@@ -45,7 +45,7 @@ def _rewritten(c: Column, forms: Sequence[tuple[str, str]]) -> Column:
 def _from_iso(c: Column) -> Column:
     # Rewriting to ISO and casting keeps the cell inside generated code; a formatter based
     # try_to_date would raise and swallow an exception for every cell of another format.
-    return F.when(c.rlike(_ISO), c.try_cast("date"))
+    return F.regexp_extract(c, _ISO, 1).try_cast("date")
 
 
 def mixed_date(c: Column) -> Column:

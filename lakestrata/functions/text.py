@@ -58,7 +58,7 @@ def blank_to_default(c: Column, default: str = "N/A") -> Column:
 
 
 def empty_to_null(c: Column) -> Column:
-    return F.when(strip(c) != "", c)
+    return F.nullif(strip(c), F.lit(""))
 
 
 def _label_map(labels: Mapping[str, str]) -> Column:

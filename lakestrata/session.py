@@ -17,6 +17,7 @@ def local_session(cores: str = "8", app: str = "lakestrata") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
@@ -63,9 +64,23 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash partition an input which is too small to give every core a split of its own.
+
+    A scan larger than cores times ``maxPartitionBytes`` is left as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return df.repartition(cores, *keys) if estimated_bytes(df) < cores * split else df
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's automatic broadcast threshold in bytes (-1 when switched off)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def size_in_bytes(text: str) -> int:
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.removesuffix("b")
+    text = text.strip().lower().removesuffix("b")
     return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
