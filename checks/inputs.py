@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators.calendar import calendar
+from lakestrata.operators.dedupe import FILE_ORDER
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleanse, silver
 from lakestrata.schemas import DATASETS
-from lakestrata.session import materialise, spread_small
+from lakestrata.session import materialise, spread_small, tune
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
 
@@ -188,6 +189,8 @@ RAW = {
         FROM (SELECT p_partkey, p_type, p_retailprice, {{months}} AS snap FROM part) p""",
 }
 
+RESIDENT_ATTRIBUTES = ("resident_id", "first_name", "last_name", "dob", "gender")
+
 # Rows which arrive a second time in a later file.
 RESENT = {
     "yardi_leases": "row_ordinal % 10 = 3",
@@ -213,6 +216,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._built: dict[str, DataFrame] = {}
+        tune(spark)
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
@@ -233,8 +237,10 @@ class Inputs:
                 self.table(table).createOrReplaceTempView(table)
         return self.spark.sql(sql)
 
-    def clean(self, dataset: str) -> DataFrame:
-        return cleanse(self.raw(dataset), SPECS[dataset])
+    def clean(self, dataset: str, *columns: str) -> DataFrame:
+        """Cleansed rows, all columns or the given raw ones."""
+        raw = self.raw(dataset)
+        return cleanse(raw.select(*columns) if columns else raw, SPECS[dataset])
 
     def silver(self, dataset: str) -> DataFrame:
         return silver(self.raw(dataset), SPECS[dataset])
@@ -247,12 +253,20 @@ class Inputs:
         """Dimensions take the first row of each id, which duplicates cannot change, so they
         read the cleansed rows and not the deduplicated ones."""
         build = {
-            "dim_community": lambda: gold.dim_community([self.clean(d) for d in RAW]),
-            "dim_employee": lambda: gold.dim_employee(self.clean("adp_shifts")),
-            "dim_residents": lambda: gold.dim_residents(self.clean("pcc_residents")),
-            "dim_unit": lambda: gold.dim_unit(self.clean("yardi_units")),
+            "dim_community": lambda: gold.dim_community(
+                [self.clean(d, "community_id") for d in RAW if "community_id" in DATASETS[d]]
+            ),
+            "dim_employee": lambda: gold.dim_employee(
+                self.clean("adp_shifts", "employee_id", "role", *FILE_ORDER)
+            ),
+            "dim_residents": lambda: gold.dim_residents(
+                self.clean("pcc_residents", *RESIDENT_ATTRIBUTES, *FILE_ORDER)
+            ),
+            "dim_unit": lambda: gold.dim_unit(
+                self.clean("yardi_units", "unit_id", "unit_type", *FILE_ORDER)
+            ),
             "dim_date": self._dim_date,
-            "dim_care_level": lambda: self.clean("pcc_residents").select("care_level").distinct(),
+            "dim_care_level": lambda: self.clean("pcc_residents", "care_level").distinct(),
         }
         return self._once(name, build[name])
 

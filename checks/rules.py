@@ -200,7 +200,10 @@ def _side(side: str, other: str, table: str, other_table: str) -> str:
 )
 def id_domain_overlap(inputs: Inputs) -> DataFrame:
     return quality.domain_overlap(
-        inputs.clean("adp_shifts"), "employee_id", inputs.clean("pcc_incidents"), "reported_by"
+        inputs.clean("adp_shifts", "employee_id"),
+        "employee_id",
+        inputs.clean("pcc_incidents", "reported_by"),
+        "reported_by",
     )
 
 
@@ -232,7 +235,7 @@ def duplicate_analysis(inputs: Inputs) -> DataFrame:
     + ") GROUP BY ALL",
 )
 def unexpected_members(inputs: Inputs) -> DataFrame:
-    return quality.unexpected_members(inputs.clean("yardi_units"), "community_id", EXPECTED_COMMUNITIES)
+    return quality.unexpected_members(inputs.clean("yardi_units", "community_id"), "community_id", EXPECTED_COMMUNITIES)
 
 
 @query(

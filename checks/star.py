@@ -47,7 +47,7 @@ _WITH_RESIDENT = [d for d in RAW if d in ("pcc_residents", "pcc_incidents", "pcc
     " UNION ".join(f"SELECT resident_id FROM clean_{d}" for d in _WITH_RESIDENT),
 )
 def union_distinct_keys(inputs: Inputs) -> DataFrame:
-    return union_distinct([inputs.clean(d) for d in _WITH_RESIDENT], "resident_id")
+    return union_distinct([inputs.clean(d, "resident_id") for d in _WITH_RESIDENT], "resident_id")
 
 
 @query(
@@ -57,7 +57,7 @@ def union_distinct_keys(inputs: Inputs) -> DataFrame:
 )
 def surrogate_key_query(inputs: Inputs) -> DataFrame:
     """Incidents hold a NULL resident id, which gets key 0."""
-    members = inputs.clean("pcc_incidents").select("resident_id").distinct()
+    members = inputs.clean("pcc_incidents", "resident_id").distinct()
     return surrogate_keys(members, "resident_id", "resident_key")
 
 
@@ -101,7 +101,7 @@ def dim_care_level(inputs: Inputs) -> DataFrame:
 )
 def star_key_lookup(inputs: Inputs) -> DataFrame:
     """Shifts without an employee id find the dimension's NULL member (key 0)."""
-    shifts = inputs.clean("adp_shifts").select("shift_id", "employee_id", "source_file")
+    shifts = inputs.clean("adp_shifts", "shift_id", "employee_id", "source_file")
     return joins.lookup_key(shifts, inputs.dim("dim_employee"), "employee_id", "employee_key")
 
 

@@ -29,6 +29,7 @@ NAMED_FORMS = (
     (r"^([A-Za-z]+) (\d{1,2}),? (\d{4})$", "$1 $2 $3"),
     (r"^(\d{1,2}) ([A-Za-z]+),? (\d{4})$", "$2 $1 $3"),
 )
+SHORTEST_DATE = len("1/1/2025")
 _NAMED = (r"^[A-Za-z]+ \d{1,2} \d{4}$", "[MMMM][MMM] d yyyy")
 
 # The monthly suffix of an extract, once for file names and once for names without ".csv".
@@ -58,11 +59,12 @@ def mixed_date_lenient(c: Column) -> Column:
     text = strip(c)
     named = _rewritten(text, NAMED_FORMS)
     pattern, layout = _NAMED
-    return F.coalesce(
-        mixed_date(c),
+    other = F.coalesce(
         _from_iso(_rewritten(text, LENIENT_FORMS)),
         F.when(named.rlike(pattern), F.try_to_date(F.initcap(F.lower(named)), layout)),
     )
+    # Blanks and null tokens are shorter than any date, so they skip the further forms.
+    return F.coalesce(mixed_date(c), F.when(F.length(text) >= SHORTEST_DATE, other))
 
 
 def date_outcome(raw: Column, parsed: Column) -> Column:

@@ -16,6 +16,7 @@ from lakestrata.operators import quality
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleansing_counters, silver
 from lakestrata.schemas import FACTS, METADATA, ROW_ORDINAL, Table
+from lakestrata.session import tune
 from lakestrata.sources import drops
 from lakestrata.sources.layers import read_if_written, read_layer, write_layer
 
@@ -152,6 +153,7 @@ def run(
     spark: SparkSession, raw: str, out: str, multiline: bool = False
 ) -> dict[str, DataFrame]:
     """All stages in order; an error ends the run."""
+    tune(spark)
     if not run_bronze(spark, raw, out, multiline):
         raise FileNotFoundError(f"no extracts below {raw}")
     reconciliation = validate_bronze(spark, raw, out, multiline)

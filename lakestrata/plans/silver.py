@@ -56,7 +56,7 @@ SPECS = {
 
 
 def cleanse(df: DataFrame, spec: SilverSpec) -> DataFrame:
-    """All per-row steps: a projection, so a reader of one column pays for that column only."""
+    """All per-row steps; of a part of the columns, the steps which apply to them."""
     clean = {}
     for column in df.columns:
         if column in spec.never_text:
@@ -77,11 +77,11 @@ def cleanse(df: DataFrame, spec: SilverSpec) -> DataFrame:
             c = dates.mixed_date_lenient(raw)
         clean[column] = c
     out = df.withColumns(clean)
-    if spec.labor_cost:
+    if spec.labor_cost and "hourly_rate" in df.columns:
         out = out.withColumn("standard_hourly_rate", numbers.rate_for(F.col("role"), F.col("hourly_rate")))
         cost = numbers.product(F.col("hours_worked"), F.col("standard_hourly_rate"))
         out = out.withColumn("total_labor_cost", cost).drop("hourly_rate")
-    if spec.monthly_snapshot:
+    if spec.monthly_snapshot and "admit_date" in df.columns:
         out = out.withColumn("last_date", dates.month_end_of_file(F.col("source_file")))
         status = dates.snapshot_status(F.col("admit_date"), F.col("discharge_date"), F.col("last_date"))
         out = out.withColumn("status", status)

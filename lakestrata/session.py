@@ -13,7 +13,7 @@ _local_folder: str | None = None
 
 def local_session(cores: str = "8", app: str = "lakestrata") -> SparkSession:
     """A local session for tests and benchmarks; on a cluster spark-submit makes the session."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -23,6 +23,19 @@ def local_session(cores: str = "8", app: str = "lakestrata") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
+    tune(spark)
+    return spark
+
+
+def tune(spark: SparkSession) -> None:
+    """Settings the cleansing plans want, unless the session already has its own.
+
+    A cleansing projection can generate a method of more than 8000 bytes of bytecode, which the
+    JVM interprets instead of compiling it. Below the limit Spark splits it into small methods.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(name) == "65535":
+        spark.conf.set(name, "8000")
 
 
 def shared_folder(spark: SparkSession) -> str:
