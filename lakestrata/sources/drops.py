@@ -30,19 +30,15 @@ def dataset_of(path: str) -> str:
 def discover(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     """All ``*.csv`` below ``folder``, grouped by dataset, datasets and files sorted.
 
-    The listing is Spark's own (only paths are asked for, no content is read); what reaches the
-    driver is one path per file, which it needs to plan the scans.
+    What reaches the driver is one path per file, which it needs to plan the scans.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select("path")
-    )
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
     groups: dict[str, list[str]] = defaultdict(list)
-    for row in listed.collect():
-        groups[dataset_of(row.path)].append(row.path)
+    while listed.hasNext():
+        path = listed.next().getPath().toString()
+        if path.endswith(".csv"):
+            groups[dataset_of(path)].append(path)
     return {dataset: sorted(groups[dataset]) for dataset in sorted(groups)}
 
 
@@ -86,9 +82,8 @@ def scan_text(
         .csv(list(paths))
     )
     # A short row is marked corrupt as well, but it is a good row with empty last cells.
-    extra = ", ".join(f"c{i} string" for i in range(len(columns) + 1))
-    cells = F.from_csv(CORRUPT, extra, {"escape": '"', "nullValue": "\x00"})
-    too_long = cells[f"c{len(columns)}"].isNotNull()
+    unquoted = F.regexp_replace(CORRUPT, '"[^"]*"', "")
+    too_long = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) >= len(columns)
     return scanned.select(
         *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
         F.when(too_long, F.col(CORRUPT)).alias(CORRUPT),
