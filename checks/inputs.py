@@ -8,7 +8,8 @@ made of whole tables; ``resent`` rows are repeated on top of them.
 from __future__ import annotations
 
 import re
-from functools import cached_property
+from functools import cached_property, partial
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from lakestrata.operators.dedupe import FILE_ORDER
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleanse, silver
 from lakestrata.schemas import DATASETS
-from lakestrata.session import materialise, spread_small, tune
+from lakestrata.session import in_parallel, materialise, spread_small, tune
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
 
@@ -216,6 +217,8 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._built: dict[str, DataFrame] = {}
+        self._locks: dict[str, Lock] = {}
+        self._guard = Lock()
         tune(spark)
 
     def table(self, name: str) -> DataFrame:
@@ -224,9 +227,12 @@ class Inputs:
         return self._once(name, lambda: spread_small(self.spark.read.parquet(path), *keys))
 
     def _once(self, name: str, build) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = build()
-        return self._built[name]
+        with self._guard:
+            lock = self._locks.setdefault(name, Lock())
+        with lock:
+            if name not in self._built:
+                self._built[name] = build()
+            return self._built[name]
 
     def raw(self, dataset: str) -> DataFrame:
         return self._once(f"raw {dataset}", lambda: self._select(raw_sql(dataset, SPARK_MONTHS)))
@@ -245,9 +251,11 @@ class Inputs:
     def silver(self, dataset: str) -> DataFrame:
         return silver(self.raw(dataset), SPECS[dataset])
 
-    def stored_silver(self, dataset: str) -> DataFrame:
-        build = lambda: materialise(self.silver(dataset), dataset)
-        return self._once(f"silver {dataset}", build)
+    def stored_silver(self, *datasets: str) -> list[DataFrame]:
+        def store(dataset: str) -> DataFrame:
+            return self._once(f"silver {dataset}", lambda: materialise(self.silver(dataset), dataset))
+
+        return in_parallel(*[partial(store, d) for d in datasets])
 
     def dim(self, name: str) -> DataFrame:
         """Dimensions take the first row of each id, which duplicates cannot change, so they
@@ -279,12 +287,24 @@ class Inputs:
 
     def fact(self, name: str) -> DataFrame:
         dataset, lookups = gold.FACT_SOURCES[name]
-        dims = {dim: self.dim(dim) for dim, _, _ in lookups}
-        return gold.fact(name, self.silver(dataset), dims)
+        names = [dim for dim, _, _ in lookups]
+        dims = in_parallel(*[partial(self.dim, dim) for dim in names])
+        return gold.fact(name, self.silver(dataset), dict(zip(names, dims)))
+
+    def keyless_fact(self, name: str) -> DataFrame:
+        """The typed columns alone, for rules which look at no key."""
+        return gold.fact(name, self.silver(gold.FACT_SOURCES[name][0]), {})
+
+    def stored_facts(self, *names: str) -> list[DataFrame]:
+        """The written gold tables, which is what analysis reads."""
+
+        def store(name: str) -> DataFrame:
+            return self._once(name, lambda: materialise(self.fact(name), name))
+
+        return in_parallel(*[partial(store, name) for name in names])
 
     def stored_fact(self, name: str) -> DataFrame:
-        """The written gold table, which is what analysis and rules read."""
-        return self._once(name, lambda: materialise(self.fact(name), name))
+        return self.stored_facts(name)[0]
 
     @cached_property
     def upto(self) -> str:

@@ -54,8 +54,7 @@ def m_resident_days(inputs: Inputs) -> DataFrame:
 )
 def m_incident_rate(inputs: Inputs) -> DataFrame:
     return measures.incident_rate(
-        inputs.stored_fact("fact_incidents"),
-        inputs.stored_fact("fact_residents"),
+        *inputs.stored_facts("fact_incidents", "fact_residents"),
         inputs.dim("dim_date"),
         ["community_key"],
         "quarter",
@@ -98,7 +97,7 @@ def m_trailing_avg_active(inputs: Inputs) -> DataFrame:
 )
 def m_moveout_rate(inputs: Inputs) -> DataFrame:
     return measures.moveout_rate(
-        inputs.stored_fact("fact_leases"), inputs.stored_fact("fact_residents"), ["community_key"], inputs.upto
+        *inputs.stored_facts("fact_leases", "fact_residents"), ["community_key"], inputs.upto
     )
 
 
@@ -115,7 +114,7 @@ def m_moveout_rate(inputs: Inputs) -> DataFrame:
        FROM latest LEFT JOIN active USING (community_key)""",
 )
 def m_occupancy(inputs: Inputs) -> DataFrame:
-    return measures.occupancy(inputs.stored_fact("fact_units"), inputs.stored_fact("fact_leases"), ["community_key"])
+    return measures.occupancy(*inputs.stored_facts("fact_units", "fact_leases"), ["community_key"])
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from checks.inputs import Inputs
 from checks.registry import query
 from lakestrata.operators import quality
 from lakestrata.schemas import EXPECTED_COMMUNITIES, FACTS, LEAD_STATUSES
+from lakestrata.session import in_parallel
 
 
 def _together(frames: list[DataFrame]) -> DataFrame:
@@ -42,7 +43,10 @@ _UNIQUE = {
     ),
 )
 def dq_unique(inputs: Inputs) -> DataFrame:
-    return _together([quality.unique_violations(inputs.stored_fact(t), t, k) for t, k in _UNIQUE.items()])
+    def table(name: str, key: tuple[str, ...]) -> DataFrame:
+        return inputs.fact(name) if any(c.endswith("_key") for c in key) else inputs.keyless_fact(name)
+
+    return _together([quality.unique_violations(table(t, k), t, k) for t, k in _UNIQUE.items()])
 
 
 _REQUIRED = ("fact_adp_shifts", "fact_incidents", "fact_residents")
@@ -55,8 +59,12 @@ _REQUIRED = ("fact_adp_shifts", "fact_incidents", "fact_residents")
     ),
 )
 def dq_not_null(inputs: Inputs) -> DataFrame:
+    facts = in_parallel(*[partial(inputs.fact, t) for t in _REQUIRED])
     return _together(
-        [quality.count_violations(inputs.stored_fact(t), t, quality.not_null(FACTS[t].required)) for t in _REQUIRED]
+        [
+            quality.count_violations(fact, t, quality.not_null(FACTS[t].required))
+            for t, fact in zip(_REQUIRED, facts)
+        ]
     )
 
 
@@ -79,8 +87,14 @@ _REFERENCES = (
     ),
 )
 def dq_foreign_key(inputs: Inputs) -> DataFrame:
+    def table(name: str, column: str) -> DataFrame:
+        return inputs.fact(name) if column.endswith("_key") else inputs.keyless_fact(name)
+
     return _together(
-        [quality.foreign_key_violations(inputs.stored_fact(t), t, c, inputs.dim(d), dc) for t, c, d, dc in _REFERENCES]
+        [
+            quality.foreign_key_violations(table(t, c), t, c, inputs.dim(d), dc)
+            for t, c, d, dc in _REFERENCES
+        ]
     )
 
 
@@ -110,7 +124,7 @@ def dq_check_range(inputs: Inputs) -> DataFrame:
         "fact_residents": quality.in_range("acuity_score", 0)
         | quality.in_range("discharged_resident_count", 0, 1),
     }
-    return _together([quality.count_violations(inputs.stored_fact(t), t, r) for t, r in rules.items()])
+    return _together([quality.count_violations(inputs.keyless_fact(t), t, r) for t, r in rules.items()])
 
 
 @query(
@@ -155,7 +169,7 @@ _ORDERS = {
 def dq_date_order(inputs: Inputs) -> DataFrame:
     """Includes the sales funnel: move-ins before the deposit."""
     return _together(
-        [quality.count_violations(inputs.stored_fact(t), t, quality.ordered_dates(p)) for t, p in _ORDERS.items()]
+        [quality.count_violations(inputs.keyless_fact(t), t, quality.ordered_dates(p)) for t, p in _ORDERS.items()]
     )
 
 

@@ -115,8 +115,9 @@ def star_key_lookup(inputs: Inputs) -> DataFrame:
 )
 def interval_join(inputs: Inputs) -> DataFrame:
     on = ["unit_id", "community_id"]
-    units = inputs.stored_silver("yardi_units").select(*on, "snapshot_date")
-    leases = inputs.stored_silver("yardi_leases").select(*on, "lease_id", "move_in_date", "move_out_date")
+    units, leases = inputs.stored_silver("yardi_units", "yardi_leases")
+    units = units.select(*on, "snapshot_date")
+    leases = leases.select(*on, "lease_id", "move_in_date", "move_out_date")
     return joins.interval_join(units, leases, on, "snapshot_date", "move_in_date", "move_out_date")
 
 
@@ -130,8 +131,9 @@ def interval_join(inputs: Inputs) -> DataFrame:
 )
 def month_aligned_join(inputs: Inputs) -> DataFrame:
     on = ["resident_id", "community_id"]
-    incidents = inputs.stored_silver("pcc_incidents").select("incident_id", *on, "incident_date")
-    snapshots = inputs.stored_silver("pcc_residents").select(*on, "last_date", "care_level")
+    incidents, snapshots = inputs.stored_silver("pcc_incidents", "pcc_residents")
+    incidents = incidents.select("incident_id", *on, "incident_date")
+    snapshots = snapshots.select(*on, "last_date", "care_level")
     return joins.month_aligned_join(incidents, snapshots, on, "incident_date", "last_date")
 
 
@@ -198,7 +200,7 @@ for _name, (_table, _columns) in _FACTS.items():
 )
 def occupancy_by_community(inputs: Inputs) -> DataFrame:
     return analysis.occupancy_by_community(
-        inputs.stored_fact("fact_units"), inputs.stored_fact("fact_leases"), inputs.dim("dim_community")
+        *inputs.stored_facts("fact_units", "fact_leases"), inputs.dim("dim_community")
     )
 
 
@@ -236,5 +238,5 @@ def top_moveout_reasons(inputs: Inputs) -> DataFrame:
 )
 def incident_rate(inputs: Inputs) -> DataFrame:
     return analysis.incident_rate(
-        inputs.stored_fact("fact_incidents"), inputs.stored_fact("fact_residents"), inputs.dim("dim_community")
+        *inputs.stored_facts("fact_incidents", "fact_residents"), inputs.dim("dim_community")
     )

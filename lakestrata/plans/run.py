@@ -6,7 +6,7 @@
 from __future__ import annotations
 
 import sys
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from lakestrata.operators import quality
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleansing_counters, silver
 from lakestrata.schemas import FACTS, METADATA, ROW_ORDINAL, Table
-from lakestrata.session import tune
+from lakestrata.session import in_parallel, tune
 from lakestrata.sources import drops
 from lakestrata.sources.layers import read_if_written, read_layer, write_layer
 
@@ -73,16 +73,18 @@ def run_silver(spark: SparkSession, out: str) -> DataFrame:
     The counters are one aggregate over bronze of their own: counters gathered while writing
     would count the rows of a lost and repeated task twice.
     """
-    rows = []
-    for dataset, spec in SPECS.items():
+
+    def one(dataset: str) -> list[tuple[str, str, int]]:
         bronze = read_if_written(spark, f"{out}/bronze/{dataset}")
         if bronze is None:
-            continue
-        write_layer(silver(bronze, spec), f"{out}/silver/{dataset}")
-        measured = cleansing_counters(bronze, spec).first().asDict()
+            return []
+        write_layer(silver(bronze, SPECS[dataset]), f"{out}/silver/{dataset}")
+        measured = cleansing_counters(bronze, SPECS[dataset]).first().asDict()
         measured["rows_written"] = read_layer(spark, f"{out}/silver/{dataset}").count()
         measured["duplicates_removed"] = measured["rows_read"] - measured["rows_written"]
-        rows += [(dataset, name, int(value or 0)) for name, value in measured.items()]
+        return [(dataset, name, int(value or 0)) for name, value in measured.items()]
+
+    rows = sum(in_parallel(*[partial(one, dataset) for dataset in SPECS]), [])
     return spark.createDataFrame(rows, "dataset string, counter string, value long")
 
 
@@ -92,25 +94,26 @@ def run_gold(
     """Write the dimensions whose source exists, then the facts."""
     found = {dataset: read_if_written(spark, f"{out}/silver/{dataset}") for dataset in SPECS}
     tables = {dataset: df for dataset, df in found.items() if df is not None}
-    dims = {
-        "dim_community": gold.dim_community(tables.values()),
-        "dim_date": gold.dim_date(spark, first, last),
-        "dim_care_level": gold.dim_care_level(spark),
+    builds = {
+        "dim_community": lambda: gold.dim_community(tables.values()),
+        "dim_date": lambda: gold.dim_date(spark, first, last),
+        "dim_care_level": lambda: gold.dim_care_level(spark),
     }
     if "adp_shifts" in tables:
-        dims["dim_employee"] = gold.dim_employee(tables["adp_shifts"])
+        builds["dim_employee"] = lambda: gold.dim_employee(tables["adp_shifts"])
     if "pcc_residents" in tables:
-        dims["dim_residents"] = gold.dim_residents(tables["pcc_residents"])
+        builds["dim_residents"] = lambda: gold.dim_residents(tables["pcc_residents"])
     if "yardi_units" in tables:
-        dims["dim_unit"] = gold.dim_unit(tables["yardi_units"])
-    for name, dim in dims.items():
-        write_layer(dim, f"{out}/gold/dim/{name}")
-    dims = {name: read_layer(spark, f"{out}/gold/dim/{name}") for name in dims}
+        builds["dim_unit"] = lambda: gold.dim_unit(tables["yardi_units"])
 
-    for name, (dataset, _) in gold.FACT_SOURCES.items():
-        if dataset not in tables:
-            continue
-        fact = gold.fact(name, tables[dataset], dims)
+    def write_dim(name: str) -> DataFrame:
+        write_layer(builds[name](), f"{out}/gold/dim/{name}")
+        return read_layer(spark, f"{out}/gold/dim/{name}")
+
+    dims = dict(zip(builds, in_parallel(*[partial(write_dim, name) for name in builds])))
+
+    def write_fact(name: str) -> None:
+        fact = gold.fact(name, tables[gold.FACT_SOURCES[name][0]], dims)
         if name in FACT_MONTH:
             # Rebalancing lets Spark cut a large month into several tasks and files.
             fact = fact.withColumn("month", F.trunc(FACT_MONTH[name], "MM"))
@@ -118,6 +121,9 @@ def run_gold(
         else:
             write_layer(fact, f"{out}/gold/fact/{name}")
 
+    wanted = [name for name, (dataset, _) in gold.FACT_SOURCES.items() if dataset in tables]
+    in_parallel(*[partial(write_fact, name) for name in wanted])
+
 
 def rules_of(table: Table) -> dict:
     """All single-row rules of a table."""

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Used only where the session names no shared folder (a local session in tests).
 _local_folder: str | None = None
 
@@ -72,6 +77,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_parallel(*builds: Callable[[], T], at_once: int = 4) -> list[T]:
+    """Results of independent builds; their Spark jobs share the executors.
+
+    A build which writes a small table mostly waits, so a few at a time fill the gaps.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [future.result() for future in [pool.submit(build) for build in builds]]
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``; for a Parquet scan this is the file size."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
