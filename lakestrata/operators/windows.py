@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.numbers import percent
+from lakestrata.operators.joins import skew_safe_join
 
 ROLLING_DAYS = 90
 
@@ -15,10 +16,13 @@ ROLLING_DAYS = 90
 def share_of_total(counts: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
     """Add the share of each row in its group's total, in percent.
 
-    ``counts`` is already aggregated to one row per member of a group.
+    ``counts`` is already aggregated to one row per member of a group. The totals are summed
+    with a partial aggregate and joined back, so a group with very many members is never one
+    window in one task.
     """
-    total = F.sum(value).over(Window.partitionBy(*group))
-    return counts.withColumn(name, percent(F.col(value), total))
+    totals = counts.groupBy(*group).agg(F.sum(value).alias("_total"))
+    joined = skew_safe_join(counts, totals, group, "left")
+    return joined.withColumn(name, percent(F.col(value), F.col("_total"))).drop("_total")
 
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

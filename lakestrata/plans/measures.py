@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.numbers import divide
+from lakestrata.operators.joins import skew_safe_join
 from lakestrata.operators.windows import ROLLING_DAYS, rolling_distinct
 
 
@@ -128,7 +129,9 @@ def occupancy(fact_units: DataFrame, fact_leases: DataFrame, by: Sequence[str])
         F.col("move_out_date").isNull() | (F.col("move_out_date") >= F.col("snapshot_date"))
     )
     if by:
-        active = spans.join(latest.select(*by, "snapshot_date"), list(by)).filter(covers)
+        known = spans.dropna(subset=list(by))
+        dated = skew_safe_join(known, latest.select(*by, "snapshot_date"), by)
+        active = dated.filter(covers)
         occupied = active.groupBy(*by).agg(F.count_distinct("unit_key").alias("occupied_units"))
         both = latest.join(occupied, list(by), "left")
     else:
