@@ -19,20 +19,10 @@ from lakestrata.operators.dedupe import FILE_ORDER
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleanse, silver
 from lakestrata.schemas import DATASETS
-from lakestrata.session import in_parallel, materialise, spread_small, tune
+from lakestrata.session import in_parallel, materialise, tune
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
 
-# What a table too small for all cores is hash partitioned by; joins on these need no shuffle.
-KEYS = {
-    "customer": ("c_custkey",),
-    "part": ("p_partkey",),
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey",),
-    "events": ("event_id",),
-    "documents": ("doc_id",),
-}
-
 SPARK_MONTHS = "explode(sequence(DATE '1998-01-01', DATE '1998-12-01', INTERVAL 1 MONTH))"
 ORACLE_MONTHS = "CAST(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS DATE)"
 
@@ -222,9 +212,7 @@ class Inputs:
         tune(spark)
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}.parquet"
-        keys = KEYS.get(name, ())
-        return self._once(name, lambda: spread_small(self.spark.read.parquet(path), *keys))
+        return self._once(name, lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def _once(self, name: str, build) -> DataFrame:
         with self._guard:

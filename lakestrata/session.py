@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 
-# Used only where the session names no shared folder (a local session in tests).
-_local_folder: str | None = None
-
 
 def local_session(cores: str = "8", app: str = "lakestrata") -> SparkSession:
     """A local session for tests and benchmarks; on a cluster spark-submit makes the session."""
@@ -26,6 +26,7 @@ def local_session(cores: str = "8", app: str = "lakestrata") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", local_folder(app))
         .getOrCreate()
     )
     tune(spark)
@@ -44,20 +45,29 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can read: ``spark.checkpoint.dir`` of the session.
+    """The folder every executor can read: ``spark.checkpoint.dir``, or what was given to
+    ``SparkContext.setCheckpointDir`` where that setting is absent.
 
-    A local master without the setting gets a folder of its own. On a cluster a missing setting
-    is an error, because a machine-local folder would not survive the loss of that machine.
+    There is no default: a machine-local folder would not be seen by other machines and would
+    not survive the loss of its own. ``local_session`` names a folder for its single machine.
     """
-    global _local_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="lakestrata-")
-    return _local_folder
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+    return configured.rstrip("/")
+
+
+def local_folder(app: str) -> str:
+    """A folder for the only machine of a local session."""
+    return os.path.join(tempfile.gettempdir(), f"{app}-shared-{os.getpid()}")
+
+
+def name_shared_folder(spark: SparkSession, folder: str) -> None:
+    """Let a local session without a shared folder use ``folder``; a setting stays as it is."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and re.fullmatch(r"local(\[.*\])?", context.master):
+        context.setCheckpointDir(folder)
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
@@ -69,14 +79,56 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
     Needed where a value depends on the physical layout (positions inside a partition): the
     written table fixes it, so that later recomputation cannot change it. Reading Parquet back
-    also gives Catalyst a real size to choose join strategies by.
+    also gives Catalyst a real size to choose join strategies by. The table belongs to the
+    application, whose end removes it; ``scratch`` removes it sooner.
     """
     spark = df.sparkSession
     path = new_shared_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    _own(spark, path)
+    df.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[str]] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop path of ``path`` and the file system it lies in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _own(spark: SparkSession, path: str) -> None:
+    # Made before it is written, so that it is also removed if the write fails half way.
+    target, system = _file_system(spark, path)
+    system.mkdirs(target)
+    system.deleteOnExit(target)
+    for scope in _scopes[-1:]:
+        scope.append(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table made by ``materialise`` which nothing will read again."""
+    target, system = _file_system(spark, path)
+    system.delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside the block are removed at its end.
+
+    For runs which write their results before they leave the block.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for path in paths:
+            remove(spark, path)
+
+
 def in_parallel(*builds: Callable[[], T], at_once: int = 4) -> list[T]:
     """Results of independent builds; their Spark jobs share the executors.
 
@@ -91,17 +143,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash partition an input which is too small to give every core a split of its own.
-
-    A scan larger than cores times ``maxPartitionBytes`` is left as it is.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    return df.repartition(cores, *keys) if estimated_bytes(df) < cores * split else df
-
-
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's automatic broadcast threshold in bytes (-1 when switched off)."""
     return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
