@@ -41,17 +41,15 @@ RECORDS = (
 )
 
 
+# Digits of numbers to base 32 as Spark writes them, and the characters of RFC 4648 for them.
+BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+BASE32_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
 def base32(hexadecimal: Column) -> Column:
-    """Base32 of a SHA-1 in hexadecimal digits: 32 characters of 5 bits each."""
-    bits = F.lpad(F.conv(F.substring(hexadecimal, 1, 10), 16, 2), 40, "0")
-    for i in range(1, 4):
-        bits = F.concat(bits, F.lpad(F.conv(F.substring(hexadecimal, 10 * i + 1, 10), 16, 2), 40, "0"))
-    alphabet = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-    characters = [
-        F.substring(alphabet, F.conv(F.substring(bits, 5 * i + 1, 5), 2, 10).cast("int") + 1, F.lit(1))
-        for i in range(32)
-    ]
-    return F.concat(*characters)
+    """Base32 of a SHA-1 given in hexadecimal digits: 10 digits of 4 bits are 8 of 5 bits."""
+    groups = [F.lpad(F.conv(F.substring(hexadecimal, 10 * i + 1, 10), 16, 32), 8, "0") for i in range(4)]
+    return F.translate(F.concat(*groups), BASE32_DIGITS, BASE32_CHARACTERS)
 
 
 def with_payload(pages: DataFrame) -> DataFrame:
@@ -77,11 +75,14 @@ def responses(captures: DataFrame, least_bytes: int) -> DataFrame:
     )
 
 
-def record_name(kind: str) -> Column:
-    """``<urn:uuid:...>`` made from the capture, so that a re-run task names it the same."""
-    digest = F.md5(F.concat_ws("/", F.lit(kind), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("target"), F.col("sha1")))
-    parts = [F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
+def capture_name() -> Column:
+    """A name made from the capture, so that a re-run task names it the same."""
+    identity = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    return F.md5(F.concat_ws("/", identity, F.col("sha1"), F.col("target")).cast("binary"))
+
+
+def record_id(kind: str) -> Column:
+    return F.concat(F.lit("<urn:md5:"), F.col("name"), F.lit(f":{kind}>"))
 
 
 def line(name: str, value: Column | str) -> Column:
@@ -110,12 +111,16 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0, file_records: int =
     side has one row per payload.
     """
     captures = with_payload(pages)
-    each = captures.join(responses(captures, least_bytes), ["sha1", "bytes"], "left")
+    each = (
+        captures.join(responses(captures, least_bytes), ["sha1", "bytes"], "left")
+        .withColumn("name", capture_name())
+        .withColumn("digest", base32(F.col("sha1")))
+        .withColumn("target", clean(F.col("target")))
+    )
     is_response = F.col("first_id").isNull() | F.col("id").eqNullSafe(F.col("first_id"))
     kind = F.when(is_response, "response").otherwise("revisit")
-    digest = F.concat(F.lit("sha1:"), base32(F.col("sha1")))
-    target = clean(F.col("target"))
-    request, main, metadata = record_name("request"), record_name("main"), record_name("metadata")
+    digest, target = F.concat(F.lit("sha1:"), F.col("digest")), F.col("target")
+    request, main, metadata = record_id("request"), record_id("main"), record_id("metadata")
     date = line("WARC-Date", "1970-01-01T00:00:00Z")
     http = F.concat(
         F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF),
