@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from llm import warc
+from llm import decontamination, secrets, warc
 
 QUERIES = {
+    "op6_benchmark_decontamination": decontamination.query,
+    "op9_secret_scan": secrets.query,
     "op10_warc_transactions": warc.captures,
 }
 
 ORACLES = {
+    "op6_benchmark_decontamination": decontamination.SQL,
     "op10_warc_transactions": warc.CAPTURES_SQL,
 }
