@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from llm import decontamination, secrets, warc
+from llm import decontamination, language, mixing, quality, secrets, warc
 
 QUERIES = {
+    "op2_language_profiles": language.query,
+    "op5_source_mixing": mixing.query,
     "op6_benchmark_decontamination": decontamination.query,
+    "op7_quality_resampling": quality.query,
     "op9_secret_scan": secrets.query,
     "op10_warc_transactions": warc.captures,
 }
