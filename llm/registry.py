@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from llm import decontamination, language, mixing, quality, secrets, warc
+from llm import decontamination, language, mixing, quality, relative_lz, secrets, suffix_lpf, warc
 
 QUERIES = {
+    "op1_relative_lempel_ziv": relative_lz.query,
     "op2_language_profiles": language.query,
+    "op4_suffix_array_lpf": suffix_lpf.query,
     "op5_source_mixing": mixing.query,
     "op6_benchmark_decontamination": decontamination.query,
     "op7_quality_resampling": quality.query,
@@ -14,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_relative_lempel_ziv": relative_lz.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
     "op10_warc_transactions": warc.CAPTURES_SQL,
 }
