@@ -348,21 +348,27 @@ def by_window(documents: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
     return covered.select("key", "start", F.lit(1).alias("windows"))
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """``key, doc_id, text``, the key being unique and in the order of the ids.
+KEY = "__key"
+
 
-    It is the id itself where ids are unique, as they should be. Otherwise rows get numbers in
+def numbered(documents: DataFrame) -> DataFrame:
+    """The documents with a unique number ``__key`` in the order of the ids.
+
+    It is the id itself where ids are unique, as they should be. Otherwise rows are numbered in
     the order of id (null first) and text, fixed by a written table.
     """
+    rows, ids = documents.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        return documents.withColumn(KEY, F.col("doc_id").cast("long")).filter(F.col(KEY).isNotNull())
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    sorted_ = documents.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(sorted_.withColumn(KEY, F.monotonically_increasing_id()), "documents").filter(F.col(KEY).isNotNull())
+
+
+def keyed(documents: DataFrame) -> DataFrame:
+    """``key, doc_id, text`` of all documents."""
     wanted = documents.select(F.col("doc_id").cast("long"), "text")
-    known, distinct = wanted.agg(F.count("*") , F.count_distinct("doc_id")).first()
-    if known == distinct:
-        return wanted.select(F.col("doc_id").alias("key"), "doc_id", "text").filter("key IS NOT NULL")
-    ranged = wanted.repartitionByRange(F.col("doc_id").asc_nulls_first(), "text").sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text"
-    )
-    numbered = ranged.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
-    return written(numbered, "documents").filter("key IS NOT NULL")
+    return numbered(wanted).select(F.col(KEY).alias("key"), "doc_id", "text")
 
 
 def spans(documents: DataFrame, kind: Kind, method: Method, group: int = GROUP) -> DataFrame:

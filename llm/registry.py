@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import decontamination, language, mixing, quality, relative_lz, secrets, suffix_lpf, warc
+from llm import decontamination, language, minhash, mixing, quality, relative_lz, secrets, suffix_lpf, warc
 
 QUERIES = {
     "op1_relative_lempel_ziv": relative_lz.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_source_mixing": mixing.query,
     "op6_benchmark_decontamination": decontamination.query,
     "op7_quality_resampling": quality.query,
+    "op8_min_max_hashing": minhash.query,
     "op9_secret_scan": secrets.query,
     "op10_warc_transactions": warc.captures,
 }
@@ -18,5 +19,6 @@ QUERIES = {
 ORACLES = {
     "op1_relative_lempel_ziv": relative_lz.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
+    "op8_min_max_hashing": minhash.SQL,
     "op10_warc_transactions": warc.CAPTURES_SQL,
 }
