@@ -35,7 +35,7 @@ _POINT_BITS = 42  # of the sequence's points, and so of the number of slots
 _HALF_BITS = _POINT_BITS // 2
 _GOLDEN = int((5**0.5 - 1) / 2 * 2**_POINT_BITS) | 1
 _CHUNK_BITS = 16  # slots which are ranked together
-_BUCKET_ROWS = 20_000  # documents which are laid end to end together
+_BUCKET_ROWS = 1_000  # documents which are laid end to end together
 
 WORD = r"[^\x20\x09-\x0D]+"
 

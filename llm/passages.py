@@ -351,16 +351,16 @@ def by_window(documents: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
 KEY = "__key"
 
 
-def numbered(documents: DataFrame) -> DataFrame:
+def numbered(documents: DataFrame, id_: str = "doc_id", content: str = "text") -> DataFrame:
     """The documents with a unique number ``__key`` in the order of the ids.
 
     It is the id itself where ids are unique, as they should be. Otherwise rows are numbered in
-    the order of id (null first) and text, fixed by a written table.
+    the order of id (null first) and content, fixed by a written table.
     """
-    rows, ids = documents.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    rows, ids = documents.agg(F.count("*"), F.count_distinct(id_)).first()
     if rows == ids:
-        return documents.withColumn(KEY, F.col("doc_id").cast("long")).filter(F.col(KEY).isNotNull())
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+        return documents.withColumn(KEY, F.col(id_).cast("long")).filter(F.col(KEY).isNotNull())
+    order = [F.col(id_).asc_nulls_first(), F.col(content).asc_nulls_first()]
     sorted_ = documents.repartitionByRange(*order).sortWithinPartitions(*order)
     return written(sorted_.withColumn(KEY, F.monotonically_increasing_id()), "documents").filter(F.col(KEY).isNotNull())
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from llm import decontamination, language, minhash, mixing, quality, relative_lz, secrets, suffix_lpf, warc
+from llm import decontamination, language, minhash, mixing, neighbours, quality, relative_lz, secrets, suffix_lpf, warc
 
 QUERIES = {
     "op1_relative_lempel_ziv": relative_lz.query,
     "op2_language_profiles": language.query,
+    "op3_pruned_graph": neighbours.query,
     "op4_suffix_array_lpf": suffix_lpf.query,
     "op5_source_mixing": mixing.query,
     "op6_benchmark_decontamination": decontamination.query,
