@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from llm import hashing
 from llm.common import per_batch, streamed, written
 
-#: Contents of one anchor which are compared in one task.
-GROUP = 256
+#: Contents of one anchor which are compared in one task; of bytes, a passage has under 800.
+GROUP = 4096
 #: Bytes of payload which are compared at a time; whole anchors.
 AT_ONCE = 3 << 19
 
@@ -103,12 +103,12 @@ _CUT = pa.schema([
     ("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("payload", pa.binary()),
 ])
 _WINDOW = pa.schema([
-    ("window", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("copies", pa.int32()),
+    ("window", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("copies", pa.int32()), ("windows", pa.int32()),
 ])
 PASSAGE = "anchor long, content long, key long, start int, windows int, copies int"
 PLACE = "key long, start int, windows int, anchor long"
 CUT = "anchor long, key long, start int, windows int, payload binary"
-WINDOW = "window long, key long, start int, copies int"
+WINDOW = "window long, key long, start int, copies int, windows int"
 
 
 def packed(schema: pa.Schema, *columns: np.ndarray) -> pa.RecordBatch:
@@ -318,20 +318,28 @@ def runs(key: np.ndarray, start: np.ndarray, windows: np.ndarray, covered: np.nd
 
 
 def by_window(documents: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
-    """The same for crowded anchors: windows meet by their own hash, copies of a batch once."""
+    """The same for crowded anchors: windows meet by their own hash.
+
+    Of equal windows of a batch one goes on, with their number; runs of the others are covered
+    already and leave the task as runs (0 copies).
+    """
 
     def hashes(chunk, key, document, start, windows, anchor) -> Iterator[pa.RecordBatch]:
         units, offsets = kind.units(chunk)
         sums = hashing.prefix_sums(units)
         owner = np.repeat(np.arange(len(key)), windows)
-        inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        begin = start[owner] + inside
+        begin = start[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
         place = offsets[document[owner]] + begin
         window = hashing.range_hash(sums, place, place + kind.length, 8)
         order, new = firsts(window, window, key[owner], begin)
-        copies = np.zeros(len(order), dtype=np.int64)
-        copies[new] = np.diff(np.append(np.flatnonzero(new), len(order)))
-        yield packed(_WINDOW, window[order], key[owner][order], begin[order], copies)
+        copies = np.diff(np.append(np.flatnonzero(new), len(order)))
+        lead = order[new]
+        yield packed(_WINDOW, window[lead], key[owner][lead], begin[lead], copies, np.ones(len(lead)))
+        later = np.ones(len(order), dtype=bool)
+        later[lead] = False
+        for run in runs(key, start, windows, later):
+            of, first, n = (run.column(i).to_numpy() for i in range(3))
+            yield packed(_WINDOW, np.zeros(len(of), dtype=np.uint64), of, first, np.zeros(len(of)), n)
 
     rows = written(cuts(documents, wanted, hashes, _WINDOW, WINDOW), "windows")
     leads = rows.filter("copies > 0")
@@ -344,8 +352,8 @@ def by_window(documents: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
     else:
         again = total.filter("batches > 1").select("window", "lead")
         later = leads.join(again, "window").filter(F.struct("key", "start") != F.col("lead"))
-    covered = rows.filter("copies = 0").select("key", "start").unionByName(later.select("key", "start"))
-    return covered.select("key", "start", F.lit(1).alias("windows"))
+    whole = rows.filter("copies = 0").select("key", "start", "windows")
+    return whole.unionByName(later.select("key", "start", "windows"))
 
 
 KEY = "__key"
