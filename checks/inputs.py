@@ -8,7 +8,7 @@ made of whole tables; ``resent`` rows are repeated on top of them.
 from __future__ import annotations
 
 import re
-from functools import cached_property, partial
+from functools import partial
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +23,9 @@ from lakestrata.session import in_parallel, materialise, tune
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
 
-SPARK_MONTHS = "explode(sequence(DATE '1998-01-01', DATE '1998-12-01', INTERVAL 1 MONTH))"
-ORACLE_MONTHS = "CAST(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS DATE)"
+# Snapshots are taken at the start of every quarter in which there are orders.
+SPARK_MONTHS = "explode((SELECT sequence(CAST(date_trunc('QUARTER', min(o_orderdate)) AS DATE), CAST(date_trunc('QUARTER', max(o_orderdate)) AS DATE), INTERVAL 3 MONTH) FROM orders))"
+ORACLE_MONTHS = "CAST(unnest((SELECT generate_series(date_trunc('quarter', min(o_orderdate)), date_trunc('quarter', max(o_orderdate)), INTERVAL 3 MONTH) FROM orders)) AS DATE)"
 
 
 def text(x: str) -> str:
@@ -267,9 +268,11 @@ class Inputs:
         return self._once(name, build[name])
 
     def _dim_date(self) -> DataFrame:
-        bounds = self.table("orders").agg(
-            F.min(F.trunc("o_orderdate", "MM")).alias("first"),
-            F.max(F.last_day("o_orderdate")).alias("last"),
+        """From the month of the first order to that of the last order or shipment."""
+        orders = self.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
+        shipped = self.table("lineitem").select(F.col("l_shipdate").cast("date").alias("day"))
+        bounds = orders.unionByName(shipped).agg(
+            F.min(F.trunc("day", "MM")).alias("first"), F.max(F.last_day("day")).alias("last")
         )
         return calendar(bounds, "first", "last")
 
@@ -277,11 +280,11 @@ class Inputs:
         dataset, lookups = gold.FACT_SOURCES[name]
         names = [dim for dim, _, _ in lookups]
         dims = in_parallel(*[partial(self.dim, dim) for dim in names])
-        return gold.fact(name, self.silver(dataset), dict(zip(names, dims)))
+        return gold.fact(name, self.stored_silver(dataset)[0], dict(zip(names, dims)))
 
     def keyless_fact(self, name: str) -> DataFrame:
         """The typed columns alone, for rules which look at no key."""
-        return gold.fact(name, self.silver(gold.FACT_SOURCES[name][0]), {})
+        return gold.fact(name, self.stored_silver(gold.FACT_SOURCES[name][0])[0], {})
 
     def stored_facts(self, *names: str) -> list[DataFrame]:
         """The written gold tables, which is what analysis reads."""
@@ -293,8 +296,3 @@ class Inputs:
 
     def stored_fact(self, name: str) -> DataFrame:
         return self.stored_facts(name)[0]
-
-    @cached_property
-    def upto(self) -> str:
-        """The last day of the calendar."""
-        return str(self.table("orders").agg(F.max(F.last_day("o_orderdate"))).first()[0])

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from checks.inputs import Inputs
 from checks.registry import query
-from lakestrata.operators.windows import rolling_distinct
+from lakestrata.operators.windows import report_dates, rolling_distinct
 from lakestrata.plans import measures
 
 _QUARTER = "CAST(date_trunc('quarter', {d}) AS DATE)"
@@ -41,33 +42,55 @@ def m_resident_days(inputs: Inputs) -> DataFrame:
     )
 
 
+# Rows of an unknown community (key 0) form a group without a key.
+_UNKNOWN = "nullif(community_key, 0)"
+
+
+def _with_unknown(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("community_key", F.nullif("community_key", F.lit(0)))
+
+
 @query(
     "m_incident_rate",
-    f"""WITH found AS (SELECT community_key, {_quarter('incident_date')} AS period, count(DISTINCT incident_id) AS total_incidents
-                       FROM fact_incidents GROUP BY ALL),
-             days AS (SELECT community_key, period, active_residents * selected_days AS resident_days
-                      FROM ({_ACTIVE}) a JOIN ({_DAYS}) d USING (period))
-        SELECT coalesce(f.community_key, d.community_key) AS community_key, CAST(coalesce(f.period, d.period) AS VARCHAR) AS period,
-               coalesce(total_incidents, 0) AS total_incidents, coalesce(resident_days, 0) AS resident_days,
-               coalesce(CAST(coalesce(total_incidents, 0) AS DOUBLE) / nullif(CAST(resident_days AS DOUBLE), 0), 0) * 100 AS incident_rate
-        FROM found f FULL JOIN days d ON f.community_key = d.community_key AND f.period IS NOT DISTINCT FROM d.period""",
+    f"""WITH happened AS (SELECT DISTINCT {_UNKNOWN} AS community_key, {_quarter('incident_date')} AS period, incident_id FROM fact_incidents),
+             lived AS (SELECT DISTINCT {_UNKNOWN} AS community_key, {_quarter('last_date')} AS period, resident_key FROM fact_residents WHERE status = 'Active'),
+             line AS (SELECT community_key, period FROM happened UNION SELECT community_key, period FROM lived),
+             counted AS (
+               SELECT community_key, period,
+                      (SELECT count(*) FROM happened h WHERE h.community_key IS NOT DISTINCT FROM line.community_key AND h.period IS NOT DISTINCT FROM line.period AND h.incident_id IS NOT NULL) AS total_incidents,
+                      (SELECT count(*) FROM lived v WHERE v.community_key IS NOT DISTINCT FROM line.community_key AND v.period IS NOT DISTINCT FROM line.period AND v.resident_key IS NOT NULL)
+                      * (SELECT count(*) FROM dim_date c WHERE {_quarter('c.date')} = line.period) AS resident_days
+               FROM line)
+        SELECT community_key, CAST(period AS VARCHAR) AS period, total_incidents, resident_days,
+               CASE WHEN resident_days = 0 THEN 0.0::DOUBLE ELSE total_incidents::DOUBLE / resident_days::DOUBLE END * 100 AS incident_rate
+        FROM counted""",
 )
 def m_incident_rate(inputs: Inputs) -> DataFrame:
     return measures.incident_rate(
-        *inputs.stored_facts("fact_incidents", "fact_residents"),
+        *map(_with_unknown, inputs.stored_facts("fact_incidents", "fact_residents")),
         inputs.dim("dim_date"),
         ["community_key"],
         "quarter",
     )
 
 
-_MOVED = """SELECT l.community_key, m.report_date, count(DISTINCT l.resident_key) AS move_outs
-            FROM fact_leases l JOIN month_ends m ON l.move_out_date > m.report_date - 90 AND l.move_out_date <= m.report_date
-            GROUP BY ALL"""
-_AVERAGE = """SELECT s.community_key, m.report_date, CAST(sum(residents) AS DOUBLE) / count(*) AS average_active
-              FROM (SELECT community_key, last_date, count(DISTINCT resident_key) AS residents FROM fact_residents
-                    WHERE status = 'Active' GROUP BY ALL) s
-              JOIN month_ends m ON s.last_date > m.report_date - 90 AND s.last_date <= m.report_date
+def _counts(fact: str, group: str, key: str, day: str, name: str, reports: str, where: str = "TRUE") -> str:
+    """Distinct keys of the trailing window, for every group of the fact and every report."""
+    return f"""SELECT g.{group}, r.report_date, count(DISTINCT f.{key}) AS {name}
+               FROM (SELECT DISTINCT {group} FROM {fact}) g CROSS JOIN {reports} r
+               LEFT JOIN (SELECT * FROM {fact} WHERE {where}) f ON f.{group} IS NOT DISTINCT FROM g.{group}
+                AND f.{day} > r.report_date - 90 AND f.{day} <= r.report_date
+               GROUP BY ALL"""
+
+
+_LEASES = f"(SELECT {_UNKNOWN} AS community_key, resident_key, move_out_date FROM fact_leases)"
+_RESIDENTS = f"(SELECT {_UNKNOWN} AS community_key, resident_key, last_date, status FROM fact_residents)"
+_MOVED = _counts("fact_leases", "community_key", "resident_key", "move_out_date", "move_outs", "month_ends")
+_AVERAGE = """SELECT g.community_key, m.report_date, CAST(sum(residents) AS DOUBLE) / count(residents) AS average_active
+              FROM (SELECT DISTINCT community_key FROM {residents}) g CROSS JOIN month_ends m
+              LEFT JOIN (SELECT community_key, last_date, count(DISTINCT resident_key) AS residents FROM {residents}
+                         WHERE status = 'Active' AND last_date IN (SELECT date FROM dim_date) GROUP BY ALL) s
+                ON s.community_key IS NOT DISTINCT FROM g.community_key AND s.last_date > m.report_date - 90 AND s.last_date <= m.report_date
               GROUP BY ALL"""
 
 
@@ -76,79 +99,83 @@ _AVERAGE = """SELECT s.community_key, m.report_date, CAST(sum(residents) AS DOUB
     f"SELECT community_key, CAST(report_date AS VARCHAR) AS report_date, move_outs FROM ({_MOVED})",
 )
 def m_trailing_moveouts(inputs: Inputs) -> DataFrame:
-    return measures.trailing_moveouts(inputs.stored_fact("fact_leases"), ["community_key"], inputs.upto)
+    return measures.trailing_moveouts(inputs.stored_fact("fact_leases"), inputs.dim("dim_date"), ["community_key"])
 
 
 @query(
     "m_trailing_avg_active",
-    f"SELECT community_key, CAST(report_date AS VARCHAR) AS report_date, average_active FROM ({_AVERAGE})",
+    f"SELECT community_key, CAST(report_date AS VARCHAR) AS report_date, average_active FROM ({_AVERAGE.format(residents='fact_residents')})",
 )
 def m_trailing_avg_active(inputs: Inputs) -> DataFrame:
     return measures.trailing_average_active(
-        inputs.stored_fact("fact_residents"), ["community_key"], inputs.upto
+        inputs.stored_fact("fact_residents"), inputs.dim("dim_date"), ["community_key"]
     )
 
 
 @query(
     "m_moveout_rate",
-    f"""SELECT community_key, CAST(report_date AS VARCHAR) AS report_date, coalesce(move_outs, 0) AS move_outs, average_active,
+    f"""SELECT coalesce(m.community_key, a.community_key) AS community_key, CAST(coalesce(m.report_date, a.report_date) AS VARCHAR) AS report_date,
+               coalesce(move_outs, 0) AS move_outs, average_active,
                coalesce(CAST(coalesce(move_outs, 0) AS DOUBLE) / nullif(average_active, 0), 0) AS moveout_rate
-        FROM ({_MOVED}) m FULL JOIN ({_AVERAGE}) a USING (community_key, report_date)""",
+        FROM ({_counts(_LEASES, "community_key", "resident_key", "move_out_date", "move_outs", "month_ends")}) m
+        FULL JOIN ({_AVERAGE.format(residents=_RESIDENTS)}) a ON m.community_key IS NOT DISTINCT FROM a.community_key AND m.report_date = a.report_date""",
 )
 def m_moveout_rate(inputs: Inputs) -> DataFrame:
-    return measures.moveout_rate(
-        *inputs.stored_facts("fact_leases", "fact_residents"), ["community_key"], inputs.upto
-    )
+    leases, residents = map(_with_unknown, inputs.stored_facts("fact_leases", "fact_residents"))
+    return measures.moveout_rate(leases, residents, inputs.dim("dim_date"), ["community_key"])
 
 
 @query(
     "m_occupancy",
-    """WITH latest AS (SELECT community_key, count(DISTINCT unit_key) AS total_units, max(snapshot_date) AS snapshot_date
-                       FROM fact_units GROUP BY ALL),
-            active AS (SELECT l.community_key, count(DISTINCT l.unit_key) AS occupied_units
-                       FROM fact_leases l JOIN latest s ON s.community_key = l.community_key
-                        AND l.move_in_date <= s.snapshot_date AND (l.move_out_date IS NULL OR l.move_out_date >= s.snapshot_date)
-                       GROUP BY ALL)
-       SELECT community_key, CAST(snapshot_date AS VARCHAR) AS snapshot_date, total_units,
-              coalesce(occupied_units, 0) AS occupied_units, CAST(coalesce(occupied_units, 0) AS DOUBLE) / total_units AS occupancy
-       FROM latest LEFT JOIN active USING (community_key)""",
+    f"""WITH asked AS (SELECT community_key, {_quarter('snapshot_date')} AS period, count(DISTINCT unit_key) AS total_units, max(snapshot_date) AS snapshot_date
+                      FROM fact_units GROUP BY ALL),
+             counted AS (
+               SELECT *, (SELECT count(DISTINCT l.unit_key) FROM fact_leases l
+                          WHERE l.community_key IS NOT DISTINCT FROM asked.community_key AND l.move_in_date <= asked.snapshot_date
+                            AND coalesce(l.move_out_date >= asked.snapshot_date, TRUE)) AS occupied_units
+               FROM asked)
+        SELECT community_key, CAST(period AS VARCHAR) AS period, CAST(snapshot_date AS VARCHAR) AS snapshot_date, total_units, occupied_units,
+               CAST(occupied_units AS DOUBLE) / total_units AS occupancy
+        FROM counted""",
 )
 def m_occupancy(inputs: Inputs) -> DataFrame:
-    return measures.occupancy(*inputs.stored_facts("fact_units", "fact_leases"), ["community_key"])
+    return measures.occupancy(*inputs.stored_facts("fact_units", "fact_leases"), ["community_key"], "quarter")
 
 
 @query(
     "m_rolling_leads",
-    """SELECT lead_source, CAST(d.date AS VARCHAR) AS report_date, count(DISTINCT lead_id) AS leads
-       FROM silver_hubspot_leads l JOIN dim_date d ON l.created_date > d.date - 90 AND l.created_date <= d.date
-       GROUP BY lead_source, d.date""",
+    "SELECT lead_source, CAST(report_date AS VARCHAR) AS report_date, leads FROM ("
+    + _counts("silver_hubspot_leads", "lead_source", "lead_id", "created_date", "leads", "(SELECT date AS report_date FROM dim_date)")
+    + ")",
 )
 def m_rolling_leads(inputs: Inputs) -> DataFrame:
     """Daily reports."""
-    leads = inputs.silver("hubspot_leads")
-    return rolling_distinct(leads, "lead_id", "created_date", ["lead_source"], "leads", inputs.upto)
+    leads = inputs.stored_silver("hubspot_leads")[0]
+    return rolling_distinct(leads, "lead_id", "created_date", ["lead_source"], "leads", report_dates(inputs.dim("dim_date")))
 
 
 @query(
     "m_rolling_won",
-    """SELECT community_key, CAST(m.report_date AS VARCHAR) AS report_date, count(DISTINCT lead_id) AS won_leads
-       FROM fact_hubspot_leads l JOIN month_ends m ON l.created_date > m.report_date - 90 AND l.created_date <= m.report_date
-       WHERE status = 'Won' GROUP BY community_key, m.report_date""",
+    "SELECT community_key, CAST(report_date AS VARCHAR) AS report_date, won_leads FROM ("
+    + _counts("fact_hubspot_leads", "community_key", "lead_id", "created_date", "won_leads", "month_ends", "status = 'Won'")
+    + ")",
 )
 def m_rolling_won(inputs: Inputs) -> DataFrame:
-    won = inputs.stored_fact("fact_hubspot_leads").filter("status = 'Won'")
-    return rolling_distinct(
-        won, "lead_id", "created_date", ["community_key"], "won_leads", inputs.upto, monthly=True
-    )
+    leads = inputs.stored_fact("fact_hubspot_leads")
+    won = leads.withColumn("lead_id", F.when(F.col("status") == "Won", F.col("lead_id")))
+    reports = report_dates(inputs.dim("dim_date"), "month")
+    return rolling_distinct(won, "lead_id", "created_date", ["community_key"], "won_leads", reports)
+
+
+_WON = _counts("silver_hubspot_leads", "lead_source", "lead_id", "created_date", "won_leads", "month_ends", "status = 'Won'")
+_ALL = _counts("silver_hubspot_leads", "lead_source", "lead_id", "created_date", "leads", "month_ends")
 
 
 @query(
     "m_conversion_rate",
-    """WITH counts AS (
-         SELECT lead_source, m.report_date, count(DISTINCT lead_id) AS leads, count(DISTINCT lead_id) FILTER (status = 'Won') AS won_leads
-         FROM silver_hubspot_leads l JOIN month_ends m ON l.created_date > m.report_date - 90 AND l.created_date <= m.report_date
-         GROUP BY lead_source, m.report_date)
-       SELECT lead_source, CAST(report_date AS VARCHAR) AS report_date, leads, won_leads, CAST(won_leads AS DOUBLE) / leads AS conversion_rate FROM counts""",
+    f"""SELECT lead_source, CAST(report_date AS VARCHAR) AS report_date, leads, won_leads,
+               coalesce(CAST(won_leads AS DOUBLE) / nullif(leads, 0), 0) AS conversion_rate
+        FROM ({_ALL}) JOIN ({_WON}) USING (lead_source, report_date)""",
 )
 def m_conversion_rate(inputs: Inputs) -> DataFrame:
-    return measures.lead_conversion(inputs.silver("hubspot_leads"), ["lead_source"], inputs.upto)
+    return measures.lead_conversion(inputs.stored_silver("hubspot_leads")[0], inputs.dim("dim_date"), ["lead_source"])

@@ -139,7 +139,7 @@ LAYERS |= {
     "dim_employee": _dim_sql("adp_shifts", "employee_id", "employee_key", ("role",)),
     "dim_residents": _dim_sql("pcc_residents", "resident_id", "resident_key", ("first_name", "last_name", "dob", "gender")),
     "dim_unit": _dim_sql("yardi_units", "unit_id", "unit_key", ("unit_type",)),
-    "bounds": "SELECT min(date_trunc('month', o_orderdate))::DATE AS first_day, max(last_day(CAST(o_orderdate AS DATE))) AS last_day FROM orders",
+    "bounds": "SELECT date_trunc('month', min(d))::DATE AS first_day, last_day(max(d)) AS last_day FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem)",
     "dim_date": "SELECT CAST(d AS DATE) AS date, CAST(year(d) AS SMALLINT) AS year, CAST(month(d) AS SMALLINT) AS month, monthname(d) AS month_name, CAST(day(d) AS SMALLINT) AS day FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS d FROM bounds)",
     "month_ends": "SELECT DISTINCT last_day(date) AS report_date FROM dim_date",
     "fact_adp_shifts": _fact_sql("adp_shifts", (_EMPLOYEE, _COMMUNITY), "shift_id, shift_date, TRY_CAST(hours_worked AS DECIMAL(8,2)) AS hours_worked, CAST(standard_hourly_rate AS DECIMAL(10,2)) AS standard_hourly_rate, CAST(total_labor_cost AS DECIMAL(14,2)) AS total_labor_cost"),

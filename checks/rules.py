@@ -12,7 +12,7 @@ from checks.inputs import Inputs
 from checks.registry import query
 from lakestrata.operators import quality
 from lakestrata.schemas import EXPECTED_COMMUNITIES, FACTS, LEAD_STATUSES
-from lakestrata.session import in_parallel
+from lakestrata.session import in_parallel, materialise
 
 
 def _together(frames: list[DataFrame]) -> DataFrame:
@@ -44,7 +44,7 @@ _UNIQUE = {
 )
 def dq_unique(inputs: Inputs) -> DataFrame:
     def table(name: str, key: tuple[str, ...]) -> DataFrame:
-        return inputs.fact(name) if any(c.endswith("_key") for c in key) else inputs.keyless_fact(name)
+        return inputs.stored_fact(name) if any(c.endswith("_key") for c in key) else inputs.keyless_fact(name)
 
     return _together([quality.unique_violations(table(t, k), t, k) for t, k in _UNIQUE.items()])
 
@@ -59,7 +59,7 @@ _REQUIRED = ("fact_adp_shifts", "fact_incidents", "fact_residents")
     ),
 )
 def dq_not_null(inputs: Inputs) -> DataFrame:
-    facts = in_parallel(*[partial(inputs.fact, t) for t in _REQUIRED])
+    facts = inputs.stored_facts(*_REQUIRED)
     return _together(
         [
             quality.count_violations(fact, t, quality.not_null(FACTS[t].required))
@@ -87,15 +87,17 @@ _REFERENCES = (
     ),
 )
 def dq_foreign_key(inputs: Inputs) -> DataFrame:
-    def table(name: str, column: str) -> DataFrame:
-        return inputs.fact(name) if column.endswith("_key") else inputs.keyless_fact(name)
+    """The references of a fact share one scan of it and one table of key counts."""
+    facts = dict.fromkeys(t for t, _, _, _ in _REFERENCES)
 
-    return _together(
-        [
-            quality.foreign_key_violations(table(t, c), t, c, inputs.dim(d), dc)
-            for t, c, d, dc in _REFERENCES
-        ]
-    )
+    def counts(name: str) -> DataFrame:
+        columns = [c for t, c, _, _ in _REFERENCES if t == name]
+        with_keys = any(c.endswith("_key") for c in columns)
+        fact = inputs.stored_fact(name) if with_keys else inputs.keyless_fact(name)
+        return materialise(quality.key_counts(fact, {c: [c] for c in columns}), "keys")
+
+    found = dict(zip(facts, in_parallel(*[partial(counts, t) for t in facts])))
+    return _together([quality.foreign_report(found[t], t, c, inputs.dim(d), dc) for t, c, d, dc in _REFERENCES])
 
 
 @query(

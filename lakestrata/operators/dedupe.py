@@ -4,30 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Which of several equal rows counts as the first: file name, then position in the file.
 FILE_ORDER = ("source_file", "row_ordinal")
 
 
-def _first_values(columns: Sequence[str], order: Sequence[str]):
-    return F.min_by(F.struct(*columns), F.struct(*order)).alias("first")
-
-
 def keep_first(
     df: DataFrame, business: Sequence[str], order: Sequence[str] = FILE_ORDER
 ) -> DataFrame:
     """One row per combination of the business columns, NULL equal to NULL.
 
-    The other columns come from the first row in ``order``. One shuffle with a map-side
-    aggregate, so a value copied any number of times leaves each task as a single row.
+    The other columns come from the first row in ``order``. Rows are shuffled and sorted by two
+    hashes of 64 bits and the order, never by the business columns themselves; a rank limit of 1
+    below the shuffle lets one of any number of copies out of a task.
     """
-    others = [c for c in df.columns if c not in set(business)]
-    if not others:
+    if set(business) == set(df.columns):
         return df.distinct()
-    first = df.groupBy(*business).agg(_first_values(others, order))
-    return first.select(*business, "first.*").select(*df.columns)
+    hashes = [F.xxhash64(*business).alias("_h1"), F.xxhash64(F.lit(1), *business).alias("_h2")]
+    first = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy(*order))
+    return df.select("*", *hashes).withColumn("_nth", first).filter("_nth = 1").select(*df.columns)
 
 
 def first_by_key(
@@ -37,5 +34,7 @@ def first_by_key(
     order: Sequence[str] = FILE_ORDER,
 ) -> DataFrame:
     """One row per key with the attributes of its first row."""
-    first = df.groupBy(*key).agg(_first_values(attributes, order))
-    return first.select(*key, "first.*")
+    first = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.select(*key, *[c for c in attributes if c not in set(key)], *[c for c in order if c not in {*key, *attributes}]).withColumn(
+        "_nth", first
+    ).filter("_nth = 1").select(*key, *attributes)

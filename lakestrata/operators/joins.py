@@ -1,92 +1,38 @@
-"""Joins which hold when one key has a large share of the rows."""
+"""Equi joins of the star: NULL-safe keys, intervals laid on months, month alignment.
+
+No join is salted by hand and none is forced to broadcast. A side is broadcast by its known size
+(``autoBroadcastJoinThreshold``) or, once its shuffle has been measured, by adaptive execution;
+otherwise both sides are shuffled and adaptive execution cuts a skewed partition into pieces by
+the tasks that wrote it, which also spreads exact copies of one row. Every join reads each of its
+inputs once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.operators.occupancy import covered_points
-from lakestrata.session import broadcast_limit, estimated_bytes
-
-HOT_KEY_LIMIT = 1000
-PIECE_ROWS = 1_000_000
-
-
-def hot_keys(
-    df: DataFrame, on: Sequence[str], piece_rows: int = PIECE_ROWS, limit: int = HOT_KEY_LIMIT
-) -> DataFrame:
-    """The most frequent keys, at most ``limit``, and the number of pieces to cut each into.
-
-    A key outside the list has at most ``rows / limit`` rows, whatever the data, so the list is
-    small enough to broadcast by construction and what it leaves out cannot be hot.
-    """
-    return (
-        df.groupBy(*on)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > piece_rows)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(limit)
-        .select(*on, F.ceil(F.col("_rows") / piece_rows).alias("_pieces"))
-    )
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimated size is within the session's broadcast threshold.
-
-    The estimate does not see how many rows an explode makes, so such a plan never fits.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return "Generate" not in plan and estimated_bytes(df) <= broadcast_limit(df.sparkSession)
 
-
-def _same_key(left: str, right: str, on: Sequence[str], prefix: str = "") -> Column:
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which NULL equals NULL. Columns: those of ``left`` (of a full join: the keys
+    of either side in their place), then those of ``right`` which are not keys."""
+    keys = set(on)
+    rest = [c for c in right.columns if c not in keys]
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *rest)
     condition = F.lit(True)
     for c in on:
-        condition = condition & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{prefix}{c}"))
-    return condition
-
+        condition = condition & F.col(f"l.{c}").eqNullSafe(F.col(f"r._r_{c}"))
+    marked = left.withColumn("_l_is_there", F.lit(True)) if how == "full" else left
+    joined = marked.alias("l").join(renamed.alias("r"), condition, how)
 
-def skew_safe_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    piece_rows: int = PIECE_ROWS,
-) -> DataFrame:
-    """Equi join (NULL equals NULL) in which hot keys of ``big`` are spread over many tasks.
+    def key(c: str):
+        if how != "full" or c not in keys:
+            return F.col(f"l.{c}")
+        return F.when(F.col("l._l_is_there"), F.col(f"l.{c}")).otherwise(F.col(f"r._r_{c}")).alias(c)
 
-    ``small`` holds few rows per key. If its checked size is within the session's broadcast
-    threshold nothing is shuffled. Otherwise the rows of each hot key are cut into pieces by a
-    hash of the row (a re-run task makes the same pieces), and only the matching rows of
-    ``small`` are repeated, once per piece. ``how`` is ``inner`` or ``left`` (every row of
-    ``big`` kept). Columns: those of ``big``, then those of ``small`` which are not keys.
-    """
-    kept = [c for c in small.columns if c not in set(on)]
-    keys = [F.col(f"s.{c}").alias(f"_r_{c}") for c in on]
-
-    if fits_broadcast(small):
-        right = F.broadcast(small.alias("s").select(*keys, *kept))
-        condition = _same_key("l", "r", on, "_r_")
-        out = big.alias("l").join(right.alias("r"), condition, how)
-        return out.select(*[f"l.{c}" for c in big.columns], *[f"r.{c}" for c in kept])
-
-    hot = F.broadcast(hot_keys(big, on, piece_rows)).alias("h")
-    pieces = F.col("h._pieces")
-    piece = F.pmod(F.xxhash64(*[F.col(f"b.{c}") for c in big.columns]), pieces)
-    left = big.alias("b").join(hot, _same_key("b", "h", on), "left")
-    left = left.select("b.*", F.when(pieces.isNotNull(), piece).otherwise(F.lit(0)).alias("_piece"))
-
-    zero = F.lit(0).cast("long")
-    copies = F.when(pieces.isNotNull(), F.sequence(zero, pieces - 1)).otherwise(F.array(zero))
-    right = small.alias("s").join(hot, _same_key("s", "h", on), "left")
-    right = right.select(
-        *keys, *[f"s.{c}" for c in kept], F.explode(copies).alias("_r__piece")
-    )
-    condition = _same_key("l", "r", [*on, "_piece"], "_r_")
-    out = left.alias("l").join(right.alias("r"), condition, how)
-    return out.select(*[f"l.{c}" for c in big.columns], *[f"r.{c}" for c in kept])
+    return joined.select(*[key(c) for c in left.columns], *[f"r.{c}" for c in rest])
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, id_column: str, key_column: str) -> DataFrame:
@@ -94,7 +40,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, id_column: str, key_column: str)
 
     A NULL id meets the NULL member of the dimension if there is one; an unknown id gets NULL.
     """
-    return skew_safe_join(fact, dim.select(id_column, key_column), [id_column], "left")
+    return null_safe_join(fact, dim.select(id_column, key_column), [id_column], "left")
 
 
 def interval_join(
@@ -107,39 +53,34 @@ def interval_join(
 ) -> DataFrame:
     """Left join: each point with every interval of its key which contains it (both ends in).
 
-    An open end (NULL) never ends. Intervals are laid out on the months between the first and
-    the last point, so the join is an equi join on key and month, one busy key falls into one
-    piece per month, and a piece which is still hot is salted. Points without any interval come
-    from a running count per key, which needs no pairs. The key must be NULL-free to match.
+    An open end (NULL) never ends. Each interval is laid on those of its months in which there
+    are points at all, so the join is an equi join on key and month in which a point has one
+    place, and a point without any interval is simply one that finds no partner. A NULL in the
+    key matches nothing.
     """
-    low, high = points.agg(F.min(point), F.max(point)).first()
     kept = [c for c in intervals.columns if c not in set(on)]
-    empty = [F.lit(None).cast(intervals.schema[c].dataType).alias(c) for c in kept]
-    if low is None:
-        return points.select("*", *empty)
-
-    first = F.greatest(F.col(start), F.lit(low))
-    last = F.least(F.coalesce(F.col(end), F.lit(high)), F.lit(high))
-    months = F.sequence(
-        F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("interval 1 month")
-    )
-    known = F.lit(True)
+    months = points.agg(F.collect_set(F.trunc(point, "MM")).alias("months")).scalar()
+    known = F.col(start).isNotNull()
     for c in on:
         known = known & F.col(c).isNotNull()
+    earliest, latest = F.array_min("_months"), F.array_max("_months")
+    first = F.trunc(F.greatest(F.col(start), earliest), "MM")
+    last = F.trunc(F.least(F.coalesce(end, latest), latest), "MM")
+    own = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
+    touched = F.array_intersect(own, F.col("_months"))
     laid_out = (
-        intervals.filter(known & F.col(start).isNotNull() & (first <= last))
-        .withColumn("_month", F.explode(months))
-    )
-    by_month = points.filter(known).withColumn("_month", F.trunc(point, "MM"))
-    inside = (F.col(start) <= F.col(point)) & (F.col(end).isNull() | (F.col(end) >= F.col(point)))
-    pairs = (
-        skew_safe_join(laid_out, by_month, [*on, "_month"])
-        .filter(inside)
-        .select(*points.columns, *kept)
+        intervals.filter(known)
+        .withColumn("_months", months)
+        .withColumn("_r_month", F.explode(touched))
+        .select(*[F.col(c).alias(f"_r_{c}") for c in on], "_r_month", *[F.col(c).alias(f"_v_{c}") for c in kept])
     )
-    covered = covered_points(points, intervals, on, point, start, end)
-    alone = skew_safe_join(points, covered, [*on, point], "left").filter(~F.col("is_covered"))
-    return pairs.unionByName(alone.select(*points.columns, *empty))
+    condition = F.col("l._month") == F.col("r._r_month")
+    for c in on:
+        condition = condition & (F.col(f"l.{c}") == F.col(f"r._r_{c}"))
+    condition = condition & (F.col(f"r._v_{start}") <= F.col(f"l.{point}"))
+    condition = condition & (F.col(f"r._v_{end}").isNull() | (F.col(f"r._v_{end}") >= F.col(f"l.{point}")))
+    joined = points.withColumn("_month", F.trunc(point, "MM")).alias("l").join(laid_out.alias("r"), condition, "left")
+    return joined.select(*[f"l.{c}" for c in points.columns], *[F.col(f"r._v_{c}").alias(c) for c in kept])
 
 
 def month_aligned_join(
@@ -150,14 +91,8 @@ def month_aligned_join(
     snapshot_date: str,
 ) -> DataFrame:
     """Inner join of events with the snapshot of the same key in the same month."""
-    known = F.lit(True)
-    for c in on:
-        known = known & F.col(c).isNotNull()
-    left = events.filter(known & F.col(event_date).isNotNull())
-    right = snapshots.filter(known & F.col(snapshot_date).isNotNull())
-    joined = skew_safe_join(
-        left.withColumn("_month", F.trunc(event_date, "MM")),
-        right.withColumn("_month", F.trunc(snapshot_date, "MM")),
-        [*on, "_month"],
+    left = events.withColumn("_month", F.trunc(event_date, "MM"))
+    right = snapshots.withColumn("_month", F.trunc(snapshot_date, "MM"))
+    return left.join(right, [*on, "_month"]).select(
+        *[left[c] for c in events.columns], *[right[c] for c in snapshots.columns if c not in set(on)]
     )
-    return joined.drop("_month")

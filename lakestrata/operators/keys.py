@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.session import materialise
@@ -23,8 +23,8 @@ def surrogate_keys(members: DataFrame, id_column: str, key_column: str) -> DataF
     """Dense keys 1..n in id order over distinct members, 0 for a NULL id.
 
     Two phases instead of one global sort: the members are range partitioned and written with
-    their position, and the rows per partition (one number for each partition) give the offset
-    of every partition. The written table makes the positions final.
+    their position, and the rows per partition (one row for each partition) give the offset of
+    every partition, which is joined back. The written table makes the positions final.
     """
     ranged = (
         members.repartitionByRange(F.col(id_column).asc_nulls_first())
@@ -35,18 +35,16 @@ def surrogate_keys(members: DataFrame, id_column: str, key_column: str) -> DataF
     partition = F.shiftright("_place", _PARTITION_SHIFT).cast("int")
     position = F.col("_place").bitwiseAND((1 << _PARTITION_SHIFT) - 1)
 
-    counts = (
-        placed.groupBy(partition.alias("p"))
-        .agg(F.count("*").alias("n"), F.max(F.col(id_column).isNull()).alias("has_null"))
-        .orderBy("p")
-        .collect()
+    counts = placed.groupBy(partition.alias("_p")).agg(
+        F.count("*").alias("n"), F.max(F.col(id_column).isNull().cast("int")).alias("has_null")
+    )
+    # One row per partition: few enough for one window.
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = counts.select("_p", (before + 1 - F.max("has_null").over(whole)).alias("_offset"))
+    return (
+        placed.withColumn("_p", partition)
+        .join(offsets, "_p")
+        .withColumn(key_column, F.col("_offset") + position)
+        .select(*members.columns, key_column)
     )
-    offsets: dict[int, int] = {}
-    running = 0 if any(row.has_null for row in counts) else 1
-    for row in counts:
-        offsets[row.p] = running
-        running += row.n
-    if not offsets:
-        return placed.withColumn(key_column, F.lit(None).cast("long")).drop("_place")
-    starts = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(max(offsets) + 1)])
-    return placed.withColumn(key_column, starts[partition] + position).drop("_place")

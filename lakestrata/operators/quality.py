@@ -1,7 +1,8 @@
 """Data quality: rules as counts of violations, anomaly reports and layer reconciliation.
 
-Every check is one aggregate over the table (or over its distinct keys), so adding a rule adds
-an expression and not a pass over the data.
+The single-row rules of a table are one aggregate, however many there are. Unique keys and foreign
+keys need the rows of a key together, so each costs a shuffle of (key, count) pairs; a fact's
+columns for all of them are read in one scan (``key_counts``).
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.dates import mixed_date
 from lakestrata.functions.text import is_blank
-from lakestrata.operators.joins import fits_broadcast
 
 
 def count_violations(df: DataFrame, table: str, broken: Mapping[str, Column]) -> DataFrame:
@@ -77,14 +77,7 @@ def unique_violations(df: DataFrame, table: str, key: Sequence[str]) -> DataFram
 
     Keys with a NULL part are not compared, as in SQL.
     """
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    repeated = df.filter(known).groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
-    return repeated.agg(
-        F.lit(table).alias("table"),
-        F.lit(f"unique ({', '.join(key)})").alias("rule"),
-        F.count("*").alias("violations"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("extra_rows"),
-    )
+    return unique_report(key_counts(df, {_key_name(key): list(key)}), table, key)
 
 
 def foreign_key_violations(
@@ -94,13 +87,45 @@ def foreign_key_violations(
 
     Rows are counted per key before the anti join, so a key with many rows is one row there.
     """
-    per_key = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).count()
-    members = dim.select(F.col(dim_column).alias("k")).distinct()
-    members = F.broadcast(members) if fits_broadcast(members) else members
+    return foreign_report(key_counts(df, {column: [column]}), table, column, dim, dim_column)
+
+
+def _key_name(key: Sequence[str]) -> str:
+    return ", ".join(key)
+
+
+def key_counts(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``name, key, n``: rows per value of several keys, from one scan of ``df``.
+
+    A key is the array of its columns as text; keys with a NULL part are left out. Each row is
+    expanded to one short row per key, which partial aggregation reduces before the shuffle.
+    """
+    parts = [
+        F.struct(F.lit(name).alias("name"), F.array(*[F.col(c).cast("string") for c in columns]).alias("key"))
+        for name, columns in keys.items()
+    ]
+    expanded = df.select(F.inline(F.array(*parts)))
+    known = F.forall("key", lambda x: x.isNotNull())
+    return expanded.filter(known).groupBy("name", "key").agg(F.count("*").alias("n"))
+
+
+def unique_report(counts: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
+    repeated = counts.filter((F.col("name") == _key_name(key)) & (F.col("n") > 1))
+    return repeated.agg(
+        F.lit(table).alias("table"),
+        F.lit(f"unique ({_key_name(key)})").alias("rule"),
+        F.count("*").alias("violations"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("extra_rows"),
+    )
+
+
+def foreign_report(counts: DataFrame, table: str, column: str, dim: DataFrame, dim_column: str) -> DataFrame:
+    per_key = counts.filter(F.col("name") == column).select(F.col("key")[0].alias("k"), "n")
+    members = dim.select(F.col(dim_column).cast("string").alias("k")).distinct()
     return per_key.join(members, "k", "left_anti").agg(
         F.lit(table).alias("table"),
         F.lit(f"{column} in dimension").alias("rule"),
-        F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("violations"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"),
     )
 
 
@@ -207,3 +232,12 @@ def reconcile_counts(raw: DataFrame, stored: DataFrame, column: str = "dataset")
     both = raw.join(stored, column, "full")
     same = F.coalesce(F.col("raw_rows") == F.col("stored_rows"), F.lit(False))
     return both.withColumn("row_check", F.when(same, "PASS").otherwise("FAIL"))
+
+
+def reconcile_columns(raw: DataFrame, stored: DataFrame) -> DataFrame:
+    """``dataset, column_check``: whether every column of the extracts (``dataset, column``) was
+    stored. A dataset which was not stored at all fails."""
+    kept = stored.select("dataset", "column").distinct().withColumn("is_stored", F.lit(True))
+    found = raw.select("dataset", "column").distinct().join(kept, ["dataset", "column"], "left")
+    missing = F.count_if(F.col("is_stored").isNull())
+    return found.groupBy("dataset").agg(F.when(missing == 0, "PASS").otherwise("FAIL").alias("column_check"))

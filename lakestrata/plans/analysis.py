@@ -40,6 +40,18 @@ def occupancy_by_community(
     )
 
 
+def moveout_reasons(fact_leases: DataFrame, first: str, before: str) -> DataFrame:
+    """Distinct leases per community and stated reason, of the move-outs in a period."""
+    moved = fact_leases.filter(
+        (F.col("move_out_date") >= F.lit(first).cast("date"))
+        & (F.col("move_out_date") < F.lit(before).cast("date"))
+        & (F.col("move_out_reason") != "N/A")
+    )
+    return moved.groupBy("community_key", "move_out_reason").agg(
+        F.count_distinct("lease_id").alias("move_outs")
+    )
+
+
 def top_moveout_reasons(
     fact_leases: DataFrame,
     dim_community: DataFrame,
@@ -48,14 +60,7 @@ def top_moveout_reasons(
     k: int = 3,
 ) -> DataFrame:
     """The most frequent move-out reasons per community, each with its share of all of them."""
-    moved = fact_leases.filter(
-        (F.col("move_out_date") >= F.lit(first).cast("date"))
-        & (F.col("move_out_date") < F.lit(before).cast("date"))
-        & (F.col("move_out_reason") != "N/A")
-    )
-    counts = moved.groupBy("community_key", "move_out_reason").agg(
-        F.count_distinct("lease_id").alias("move_outs")
-    )
+    counts = moveout_reasons(fact_leases, first, before)
     shares = share_of_total(counts, ["community_key"], "move_outs", "move_out_percentage")
     ranked = top_k(shares, ["community_key"], [F.desc("move_outs"), F.asc("move_out_reason")], k)
     return (

@@ -66,15 +66,22 @@ def dim_care_level(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(level,) for level in CARE_LEVEL_MEMBERS], "care_level string")
 
 
+def typed_columns(fact: str) -> dict[str, str]:
+    """The fact's columns whose declared type is not a text."""
+    return {c: t for c, t in FACTS[fact].columns.items() if t != "string" and not t.startswith("varchar")}
+
+
 def with_declared_types(df: DataFrame, fact: str) -> DataFrame:
-    """The fact's columns in their declared types; a text which does not fit becomes NULL."""
-    columns = []
-    for name, declared in FACTS[fact].columns.items():
-        c = F.col(name)
-        if not declared.startswith("varchar") and declared != "string":
-            c = c.try_cast(declared) if dict(df.dtypes)[name] != declared else c
-        columns.append(c.alias(name))
-    return df.select(*columns)
+    """The fact's columns in their declared types.
+
+    A text which does not fit becomes NULL; ``quality.typed`` on the silver table counts these,
+    and the whole run does so for every fact.
+    """
+    casts = typed_columns(fact)
+    present = dict(df.dtypes)
+    return df.select(
+        *[F.col(c).try_cast(casts[c]).alias(c) if c in casts and present[c] != casts[c] else F.col(c) for c in FACTS[fact].columns]
+    )
 
 
 def fact(name: str, source: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

@@ -1,18 +1,21 @@
 """Report measures; each takes the columns to group by.
 
-Grouping columns are columns of the fact the measure counts. A ratio without a divisor is 0.
+Grouping columns are columns of the fact the measure counts; rows without a value in them are a
+group of their own. A ratio without a divisor is 0. Trailing measures have a row for each group
+and each report date, and the report dates are those of the calendar: every day, or the last day
+of every month.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.numbers import divide
-from lakestrata.operators.joins import skew_safe_join
-from lakestrata.operators.windows import ROLLING_DAYS, rolling_distinct
+from lakestrata.operators.joins import null_safe_join
+from lakestrata.operators.windows import ROLLING_DAYS, on_reports, report_dates, rolling_distinct
 
 
 def _period(date: str, unit: str) -> Column:
@@ -34,10 +37,14 @@ def selected_days(dim_date: DataFrame, unit: str = "month") -> DataFrame:
 def resident_days(
     fact_residents: DataFrame, dim_date: DataFrame, by: Sequence[str], unit: str = "month"
 ) -> DataFrame:
-    """Active residents of the period times its calendar days."""
+    """Active residents of the period times its calendar days.
+
+    A period of the residents which the calendar does not have stays, with no selected days.
+    """
     residents = active_residents(fact_residents, by, unit)
-    days = F.col("active_residents") * F.col("selected_days")
-    return residents.join(selected_days(dim_date, unit), "period").withColumn("resident_days", days)
+    days = null_safe_join(residents, selected_days(dim_date, unit), ["period"], "left")
+    days = days.withColumn("selected_days", F.coalesce("selected_days", F.lit(0).cast("long")))
+    return days.withColumn("resident_days", F.col("active_residents") * F.col("selected_days"))
 
 
 def incident_rate(
@@ -52,61 +59,78 @@ def incident_rate(
         F.count_distinct("incident_id").alias("total_incidents")
     )
     days = resident_days(fact_residents, dim_date, by, unit).select(*by, "period", "resident_days")
-    n = F.coalesce("total_incidents", F.lit(0))
-    return days.join(incidents, [*by, "period"], "full").select(
+    n = F.coalesce("total_incidents", F.lit(0).cast("long"))
+    return null_safe_join(days, incidents, [*by, "period"], "full").select(
         *by,
         "period",
         n.alias("total_incidents"),
-        F.coalesce("resident_days", F.lit(0)).alias("resident_days"),
+        F.coalesce("resident_days", F.lit(0).cast("long")).alias("resident_days"),
         (divide(n, F.col("resident_days")) * 100).alias("incident_rate"),
     )
 
 
-def trailing_moveouts(fact_leases: DataFrame, by: Sequence[str], upto, monthly: bool = True) -> DataFrame:
+def within_calendar(df: DataFrame, day: str, dim_date: DataFrame) -> DataFrame:
+    """All rows; a day outside the calendar, which has no gaps, becomes NULL."""
+    bounds = dim_date.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last")).alias("bounds")).scalar()
+    return df.withColumn(day, F.when(F.col(day).between(bounds["first"], bounds["last"]), F.col(day)))
+
+
+def trailing_moveouts(
+    fact_leases: DataFrame, dim_date: DataFrame, by: Sequence[str], unit: str = "month"
+) -> DataFrame:
     """Distinct residents who moved out in the 90 days up to each report date."""
-    return rolling_distinct(
-        fact_leases, "resident_key", "move_out_date", by, "move_outs", upto, monthly=monthly
-    )
+    reports = report_dates(dim_date, unit)
+    return rolling_distinct(fact_leases, "resident_key", "move_out_date", by, "move_outs", reports)
 
 
 def trailing_average_active(
-    fact_residents: DataFrame, by: Sequence[str], upto, days: int = ROLLING_DAYS
+    fact_residents: DataFrame,
+    dim_date: DataFrame,
+    by: Sequence[str],
+    unit: str = "month",
+    days: int = ROLLING_DAYS,
 ) -> DataFrame:
-    """Mean of the active residents over the month-end snapshots in each trailing window.
+    """Mean of the active residents over the snapshots in each trailing window, as far as the
+    calendar reaches.
 
-    Report dates are month ends. A snapshot without any active resident has no value and does
-    not count. The snapshots are counted first, so only one small row each is repeated for the
-    few report dates it belongs to.
+    A snapshot without any active resident has no value and does not count; a window without any
+    value has no mean. The snapshots are counted first; sums of them run over the days, and the
+    window's sum is what has come in less what came in ``days`` before.
     """
-    per_snapshot = (
-        fact_residents.filter("status = 'Active'")
-        .groupBy(*by, F.col("last_date").alias("snapshot"))
-        .agg(F.count_distinct("resident_key").alias("residents"))
+    active = within_calendar(fact_residents.filter("status = 'Active'"), "last_date", dim_date)
+    per_snapshot = active.filter("last_date IS NOT NULL").groupBy(*by, F.col("last_date").alias("at")).agg(
+        F.count_distinct("resident_key").alias("residents")
+    )
+    entered = F.struct(F.col("at"), F.col("residents"), F.lit(1).alias("snapshots"))
+    left = F.struct(F.date_add("at", days).alias("at"), -F.col("residents"), F.lit(-1).alias("snapshots"))
+    left = left.cast("struct<at:date,residents:bigint,snapshots:int>")
+    changes = per_snapshot.select(*by, F.explode(F.array(entered, left)).alias("c")).select(*by, "c.*")
+    groups = fact_residents.select(*by).distinct() if by else fact_residents.sparkSession.range(1).select()
+    asked = on_reports(groups, report_dates(dim_date, unit)).select(
+        *by, F.col("report_date").alias("at"), F.lit(0).cast("long").alias("residents"), F.lit(0).alias("snapshots")
     )
-    final = F.date_add("snapshot", days - 1)
-    months = F.sequence(F.trunc("snapshot", "MM"), F.trunc(final, "MM"), F.expr("interval 1 month"))
-    reports = per_snapshot.withColumn("month", F.explode(months))
-    reports = reports.withColumn("report_date", F.last_day("month"))
-    inside = (F.col("report_date") <= final) & (F.col("report_date") <= F.lit(upto))
-    return (
-        reports.filter(inside)
-        .groupBy(*by, "report_date")
-        .agg(
-            F.sum("residents").alias("resident_sum"),
-            F.count("*").alias("snapshots"),
-        )
-        .select(*by, "report_date", divide(F.col("resident_sum"), F.col("snapshots")).alias("average_active"))
+    per_day = (
+        changes.withColumn("asked", F.lit(False))
+        .unionByName(asked.withColumn("asked", F.lit(True)))
+        .groupBy(*by, "at")
+        .agg(F.sum("residents").alias("residents"), F.sum("snapshots").alias("snapshots"), F.max("asked").alias("asked"))
     )
+    order = Window.partitionBy(*by).orderBy("at")
+    running = per_day.withColumns({
+        "residents": F.sum("residents").over(order), "snapshots": F.sum("snapshots").over(order)
+    })
+    mean = F.when(F.col("snapshots") > 0, divide(F.col("residents"), F.col("snapshots")))
+    return running.filter("asked").select(*by, F.col("at").alias("report_date"), mean.alias("average_active"))
 
 
 def moveout_rate(
-    fact_leases: DataFrame, fact_residents: DataFrame, by: Sequence[str], upto
+    fact_leases: DataFrame, fact_residents: DataFrame, dim_date: DataFrame, by: Sequence[str], unit: str = "month"
 ) -> DataFrame:
     """Trailing move-outs over the trailing average of active residents."""
-    moved = trailing_moveouts(fact_leases, by, upto)
-    average = trailing_average_active(fact_residents, by, upto)
-    n = F.coalesce("move_outs", F.lit(0))
-    return moved.join(average, [*by, "report_date"], "full").select(
+    moved = trailing_moveouts(fact_leases, dim_date, by, unit)
+    average = trailing_average_active(fact_residents, dim_date, by, unit)
+    n = F.coalesce("move_outs", F.lit(0).cast("long"))
+    return null_safe_join(moved, average, [*by, "report_date"], "full").select(
         *by,
         "report_date",
         n.alias("move_outs"),
@@ -115,37 +139,36 @@ def moveout_rate(
     )
 
 
-def occupancy(fact_units: DataFrame, fact_leases: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Occupied units at the latest snapshot over all units, per group.
+def occupancy(
+    fact_units: DataFrame, fact_leases: DataFrame, by: Sequence[str], unit: str | None = None
+) -> DataFrame:
+    """Occupied units at the latest snapshot over all units, per group, and per period of the
+    snapshots if ``unit`` is given.
 
     The lease's own group decides, its community is not compared with that of the unit.
     """
-    latest = fact_units.groupBy(*by).agg(
+    axis = [*by] if unit is None else [*by, "period"]
+    units = fact_units if unit is None else fact_units.withColumn("period", F.trunc("snapshot_date", unit))
+    latest = units.groupBy(*axis).agg(
         F.count_distinct("unit_key").alias("total_units"),
         F.max("snapshot_date").alias("snapshot_date"),
     )
     spans = fact_leases.select(*by, "unit_key", "move_in_date", "move_out_date").distinct()
+    shown = [c for c in axis if c not in by]
+    if by:
+        dated = null_safe_join(spans, latest.select(*axis, "snapshot_date"), by)
+    else:
+        # A few dates: they go in as one scalar subquery, and no pairs are joined.
+        snapshots = latest.agg(F.collect_list(F.struct(*axis, "snapshot_date")).alias("s")).scalar()
+        dated = spans.withColumn("s", F.explode(snapshots)).select(*spans.columns, "s.*")
     covers = (F.col("move_in_date") <= F.col("snapshot_date")) & (
         F.col("move_out_date").isNull() | (F.col("move_out_date") >= F.col("snapshot_date"))
     )
-    if by:
-        known = spans.dropna(subset=list(by))
-        dated = skew_safe_join(known, latest.select(*by, "snapshot_date"), by)
-        active = dated.filter(covers)
-        occupied = active.groupBy(*by).agg(F.count_distinct("unit_key").alias("occupied_units"))
-        both = latest.join(occupied, list(by), "left")
-    else:
-        # One row: the date goes in as a scalar subquery.
-        date = latest.select("snapshot_date").scalar()
-        active = spans.filter(
-            (F.col("move_in_date") <= date)
-            & (F.col("move_out_date").isNull() | (F.col("move_out_date") >= date))
-        )
-        occupied = active.agg(F.count_distinct("unit_key").alias("occupied_units"))
-        both = latest.withColumn("occupied_units", occupied.scalar())
-    n = F.coalesce("occupied_units", F.lit(0))
+    occupied = dated.filter(covers).groupBy(*by, *shown).agg(F.count_distinct("unit_key").alias("occupied_units"))
+    both = null_safe_join(latest, occupied, axis, "left") if axis else latest.withColumn("occupied_units", occupied.scalar())
+    n = F.coalesce("occupied_units", F.lit(0).cast("long"))
     return both.select(
-        *by,
+        *axis,
         "snapshot_date",
         "total_units",
         n.alias("occupied_units"),
@@ -154,22 +177,23 @@ def occupancy(fact_units: DataFrame, fact_leases: DataFrame, by: Sequence[str])
 
 
 def lead_conversion(
-    fact_leads: DataFrame, by: Sequence[str], upto, monthly: bool = True
+    fact_leads: DataFrame, dim_date: DataFrame, by: Sequence[str], unit: str = "month"
 ) -> DataFrame:
-    """Rolling 90-day leads, won leads and their ratio.
+    """Rolling 90-day leads, won leads and their ratio, over leads created within the calendar.
 
     Won leads are counted in the same pass: a won lead is seen under both tags.
     """
     tags = F.when(F.col("status") == "Won", F.array(F.lit("all"), F.lit("won"))).otherwise(
         F.array(F.lit("all"))
     )
-    tagged = fact_leads.select(*by, "lead_id", "created_date", F.explode(tags).alias("tag"))
+    dated = within_calendar(fact_leads, "created_date", dim_date)
+    tagged = dated.select(*by, "lead_id", "created_date", F.explode(tags).alias("tag"))
     rolled = rolling_distinct(
-        tagged, "lead_id", "created_date", [*by, "tag"], "n", upto, monthly=monthly
+        tagged, "lead_id", "created_date", [*by, "tag"], "n", report_dates(dim_date, unit)
     )
     both = rolled.groupBy(*by, "report_date").agg(
         F.sum(F.when(F.col("tag") == "all", F.col("n"))).alias("leads"),
-        F.coalesce(F.sum(F.when(F.col("tag") == "won", F.col("n"))), F.lit(0)).alias("won_leads"),
+        F.coalesce(F.sum(F.when(F.col("tag") == "won", F.col("n"))), F.lit(0).cast("long")).alias("won_leads"),
     )
     rate = divide(F.col("won_leads"), F.col("leads"))
     return both.withColumn("conversion_rate", rate)

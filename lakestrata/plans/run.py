@@ -1,6 +1,6 @@
 """The whole run: extracts to bronze, silver and gold, with reports on the way.
 
-    python -m lakestrata.plans.run RAW_FOLDER OUT_FOLDER
+    python -m lakestrata.plans.run RAW_FOLDER OUT_FOLDER [FIRST_DAY LAST_DAY]
 """
 
 from __future__ import annotations
@@ -15,56 +15,53 @@ from lakestrata.functions.dates import dataset_of_file
 from lakestrata.operators import quality
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleansing_counters, silver
-from lakestrata.schemas import FACTS, METADATA, ROW_ORDINAL, Table
-from lakestrata.session import in_parallel, tune
+from lakestrata.schemas import DIMENSIONS, FACTS, METADATA, ROW_ORDINAL, Table
+from lakestrata.session import in_parallel, materialise, scratch, tune
 from lakestrata.sources import drops
 from lakestrata.sources.layers import read_if_written, read_layer, write_layer
 
-FACT_MONTH = {
-    "fact_adp_shifts": "shift_date",
-    "fact_incidents": "incident_date",
-    "fact_residents": "last_date",
-    "fact_units": "snapshot_date",
-}
+#: Of the rows of a dataset, which were read well (0) and which have too many cells (1).
+QUARANTINED = "quarantined"
 
 
-def run_bronze(spark: SparkSession, raw: str, out: str, multiline: bool = False) -> list[str]:
-    """Write every dataset as text with lineage; rows with too many cells go to quarantine."""
+def run_bronze(spark: SparkSession, raw: str, out: str, multiline: bool = False) -> DataFrame:
+    """Write every dataset as text with lineage, parsed once; rows with too many cells are kept
+    apart. Returns the reconciliation of extracts and bronze; a FAIL stops nothing.
+
+    The rows of an extract are its lines, which are counted without the parser; only extracts
+    with line breaks inside cells are counted by parsing them.
+    """
     batch_id, now = drops.new_batch()
-    found = drops.discover(spark, raw)
-    for dataset, paths in found.items():
-        rows = drops.read_dataset(spark, dataset, paths, raw, batch_id, now, multiline)
-        write_layer(rows.filter(F.col(drops.CORRUPT).isNull()).drop(drops.CORRUPT), f"{out}/bronze/{dataset}")
-        write_layer(rows.filter(F.col(drops.CORRUPT).isNotNull()), f"{out}/quarantine/{dataset}")
-    return list(found)
-
-
-def validate_bronze(
-    spark: SparkSession, raw: str, out: str, multiline: bool = False
-) -> DataFrame:
-    """Rows and columns of each dataset, extracts against bronze; a FAIL stops nothing."""
-    reports = []
+    counts, columns, stored = [], [], []
     for dataset, paths in drops.discover(spark, raw).items():
-        headers = drops.read_headers(spark, paths)
-        raw_columns = set().union(*headers.values())
-        stored = read_layer(spark, f"{out}/bronze/{dataset}")
-        bad = read_layer(spark, f"{out}/quarantine/{dataset}")
-        counted = [
-            drops.scan_text(spark, [p for p in paths if headers[p] == h], h, multiline).select(
-                F.lit(dataset).alias("dataset")
-            )
-            for h in sorted(set(headers.values()))
-        ]
-        raw_rows = reduce(DataFrame.unionByName, counted)
-        kept = stored.select(dataset_of_file(F.col("source_file")).alias("dataset"))
-        kept = kept.unionByName(bad.select(dataset_of_file(F.col("source_file")).alias("dataset")))
-        missing = raw_columns - (set(stored.columns) - {*METADATA, ROW_ORDINAL})
-        reports.append(
-            quality.reconcile(raw_rows, kept).withColumn(
-                "column_check", F.lit("FAIL" if missing else "PASS")
-            )
-        )
-    return reduce(DataFrame.unionByName, reports)
+        extracts = drops.read_headers(spark, paths)
+        rows = drops.read_dataset(spark, dataset, paths, raw, batch_id, now, multiline, extracts)
+        bad = F.col(drops.CORRUPT).isNotNull().cast("int")
+        write_layer(rows.withColumn(QUARANTINED, bad), f"{out}/bronze/{dataset}", [QUARANTINED])
+        n = sum(x.rows for x in extracts.values()) if not multiline else rows.count()
+        counts.append((dataset, n))
+        columns += {(dataset, c) for x in extracts.values() for c in x.header}
+        stored.append(dataset)
+    if not stored:
+        raise FileNotFoundError(f"no extracts below {raw}")
+    layers = [read_layer(spark, f"{out}/bronze/{d}") for d in stored]
+    kept = [df.groupBy(dataset_of_file(F.col("source_file")).alias("dataset")).agg(F.count("*").alias("stored_rows")) for df in layers]
+    kept_rows = reduce(DataFrame.unionByName, kept).groupBy("dataset").agg(F.sum("stored_rows").alias("stored_rows"))
+    kept_columns = [(d, c) for d, df in zip(stored, layers) for c in df.columns if c not in {*METADATA, ROW_ORDINAL}]
+    names = "dataset string, column string"
+    rows_report = quality.reconcile_counts(spark.createDataFrame(counts, "dataset string, raw_rows long"), kept_rows)
+    columns_report = quality.reconcile_columns(
+        spark.createDataFrame(sorted(columns), names), spark.createDataFrame(kept_columns, names)
+    )
+    return rows_report.join(columns_report, "dataset", "left")
+
+
+def bronze(spark: SparkSession, out: str, dataset: str) -> DataFrame | None:
+    """The good rows of a dataset, if it was delivered."""
+    rows = read_if_written(spark, f"{out}/bronze/{dataset}")
+    if rows is None:
+        return None
+    return rows.filter(F.col(QUARANTINED) == 0).drop(drops.CORRUPT, QUARANTINED)
 
 
 def run_silver(spark: SparkSession, out: str) -> DataFrame:
@@ -75,11 +72,11 @@ def run_silver(spark: SparkSession, out: str) -> DataFrame:
     """
 
     def one(dataset: str) -> list[tuple[str, str, int]]:
-        bronze = read_if_written(spark, f"{out}/bronze/{dataset}")
-        if bronze is None:
+        rows = bronze(spark, out, dataset)
+        if rows is None:
             return []
-        write_layer(silver(bronze, SPECS[dataset]), f"{out}/silver/{dataset}")
-        measured = cleansing_counters(bronze, SPECS[dataset]).first().asDict()
+        write_layer(silver(rows, SPECS[dataset]), f"{out}/silver/{dataset}")
+        measured = cleansing_counters(rows, SPECS[dataset]).first().asDict()
         measured["rows_written"] = read_layer(spark, f"{out}/silver/{dataset}").count()
         measured["duplicates_removed"] = measured["rows_read"] - measured["rows_written"]
         return [(dataset, name, int(value or 0)) for name, value in measured.items()]
@@ -91,7 +88,8 @@ def run_silver(spark: SparkSession, out: str) -> DataFrame:
 def run_gold(
     spark: SparkSession, out: str, first: str = gold.CALENDAR[0], last: str = gold.CALENDAR[1]
 ) -> None:
-    """Write the dimensions whose source exists, then the facts."""
+    """Write the dimensions whose source exists, then the facts. The calendar has the days from
+    ``first`` to ``last``; dates of facts beyond it are reported by the rules."""
     found = {dataset: read_if_written(spark, f"{out}/silver/{dataset}") for dataset in SPECS}
     tables = {dataset: df for dataset, df in found.items() if df is not None}
     builds = {
@@ -113,13 +111,7 @@ def run_gold(
     dims = dict(zip(builds, in_parallel(*[partial(write_dim, name) for name in builds])))
 
     def write_fact(name: str) -> None:
-        fact = gold.fact(name, tables[gold.FACT_SOURCES[name][0]], dims)
-        if name in FACT_MONTH:
-            # Rebalancing lets Spark cut a large month into several tasks and files.
-            fact = fact.withColumn("month", F.trunc(FACT_MONTH[name], "MM"))
-            write_layer(fact.hint("rebalance", "month"), f"{out}/gold/fact/{name}", ["month"])
-        else:
-            write_layer(fact, f"{out}/gold/fact/{name}")
+        write_layer(gold.fact(name, tables[gold.FACT_SOURCES[name][0]], dims), f"{out}/gold/fact/{name}")
 
     wanted = [name for name, (dataset, _) in gold.FACT_SOURCES.items() if dataset in tables]
     in_parallel(*[partial(write_fact, name) for name in wanted])
@@ -138,38 +130,65 @@ def rules_of(table: Table) -> dict:
     return broken
 
 
+def table_rules(spark: SparkSession, df: DataFrame, name: str, table: Table, out: str) -> list[DataFrame]:
+    """Every declared rule of one table: one aggregate for the rows, one for all its keys."""
+    keys = {", ".join(key): list(key) for key in table.unique}
+    keys |= {column: [column] for column, _, _ in table.references}
+    counts = materialise(quality.key_counts(df, keys), "keys")
+    reports = [quality.count_violations(df, name, rules_of(table))]
+    reports += [quality.unique_report(counts, name, key).drop("extra_rows") for key in table.unique]
+    for column, dim, dim_column in table.references:
+        members = read_if_written(spark, f"{out}/gold/dim/{dim}")
+        if members is not None:
+            reports.append(quality.foreign_report(counts, name, column, members, dim_column))
+    return reports
+
+
 def validate_gold(spark: SparkSession, out: str) -> DataFrame:
-    """Every declared rule on every fact which was written."""
+    """Every declared rule on every dimension and fact which was written, and of every source
+    the texts which did not fit the type their fact declares."""
     reports = []
-    for name, table in FACTS.items():
-        fact = read_if_written(spark, f"{out}/gold/fact/{name}")
-        if fact is None:
-            continue
-        reports.append(quality.count_violations(fact, name, rules_of(table)))
-        for key in table.unique:
-            reports.append(quality.unique_violations(fact, name, key).drop("extra_rows"))
-        for column, dim, dim_column in table.references:
-            members = read_if_written(spark, f"{out}/gold/dim/{dim}")
-            if members is not None:
-                reports.append(quality.foreign_key_violations(fact, name, column, members, dim_column))
+    for kind, tables in (("dim", DIMENSIONS), ("fact", FACTS)):
+        for name, table in tables.items():
+            stored = read_if_written(spark, f"{out}/gold/{kind}/{name}")
+            if stored is not None:
+                reports += table_rules(spark, stored, name, table, out)
+    for name, (dataset, _) in gold.FACT_SOURCES.items():
+        source = read_if_written(spark, f"{out}/silver/{dataset}")
+        if source is not None:
+            texts = {c for c, t in source.dtypes if t == "string"}
+            types = {c: t for c, t in gold.typed_columns(name).items() if c in texts}
+            if types:
+                reports.append(quality.count_violations(source, dataset, quality.typed(types)))
     return reduce(DataFrame.unionByName, reports)
 
 
 def run(
-    spark: SparkSession, raw: str, out: str, multiline: bool = False
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    multiline: bool = False,
+    first: str = gold.CALENDAR[0],
+    last: str = gold.CALENDAR[1],
 ) -> dict[str, DataFrame]:
-    """All stages in order; an error ends the run."""
+    """All stages in order; an error ends the run. Reports are written below ``out/reports``."""
     tune(spark)
-    if not run_bronze(spark, raw, out, multiline):
-        raise FileNotFoundError(f"no extracts below {raw}")
-    reconciliation = validate_bronze(spark, raw, out, multiline)
-    counters = run_silver(spark, out)
-    run_gold(spark, out)
-    return {"reconciliation": reconciliation, "counters": counters, "rules": validate_gold(spark, out)}
+    reports = {}
+
+    def store(name: str, report: DataFrame) -> None:
+        write_layer(report, f"{out}/reports/{name}")
+        reports[name] = read_layer(spark, f"{out}/reports/{name}")
+
+    with scratch(spark):
+        store("reconciliation", run_bronze(spark, raw, out, multiline))
+        store("counters", run_silver(spark, out))
+        run_gold(spark, out, first, last)
+        store("rules", validate_gold(spark, out))
+    return reports
 
 
 if __name__ == "__main__":
     session = SparkSession.builder.appName("lakestrata").getOrCreate()
-    for title, report in run(session, sys.argv[1], sys.argv[2]).items():
-        print(title)
-        report.orderBy(*report.columns[:2]).show(1000, truncate=False)
+    raw_folder, out_folder, *bounds = sys.argv[1:]
+    for title, report in run(session, raw_folder, out_folder, False, *bounds).items():
+        print(f"{title}: {report.count()} rows in {out_folder}/reports/{title}")

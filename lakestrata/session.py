@@ -136,19 +136,3 @@ def in_parallel(*builds: Callable[[], T], at_once: int = 4) -> list[T]:
     """
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         return [future.result() for future in [pool.submit(build) for build in builds]]
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``; for a Parquet scan this is the file size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's automatic broadcast threshold in bytes (-1 when switched off)."""
-    return size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-
-
-def size_in_bytes(text: str) -> int:
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.strip().lower().removesuffix("b")
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)

@@ -6,10 +6,11 @@ import csv
 import re
 import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,40 +28,84 @@ def dataset_of(path: str) -> str:
     return match.group(1) if match else stem
 
 
+def check_name(path: str) -> None:
+    """Refuse names which Spark's readers would skip without a word or take as a pattern."""
+    parts = path.split("/")
+    if any(part.startswith(("_", ".")) for part in parts if part):
+        raise ValueError(f"Spark skips files and folders whose names begin with _ or a dot: {path}")
+    if re.search(r"[*?\[\]{}\\]", path):
+        raise ValueError(f"a name with pattern characters can't be read: {path}")
+
+
+def root_of(spark: SparkSession, folder: str) -> str:
+    """The folder as the file system names it, so that its files' names begin with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def discover(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     """All ``*.csv`` below ``folder``, grouped by dataset, datasets and files sorted.
 
-    What reaches the driver is one path per file, which it needs to plan the scans.
+    What reaches the driver is one path per file, which it needs to plan the scans. Names Spark
+    would not read are an error, since their rows would be missing without one.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root_of(spark, folder))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = system.listFiles(path, True)
+    root = path.toString().rstrip("/")
     groups: dict[str, list[str]] = defaultdict(list)
     while listed.hasNext():
-        path = listed.next().getPath().toString()
-        if path.endswith(".csv"):
-            groups[dataset_of(path)].append(path)
+        found = listed.next().getPath().toString()
+        if found.endswith(".csv"):
+            check_name(found.removeprefix(root))
+            groups[dataset_of(found)].append(found)
     return {dataset: sorted(groups[dataset]) for dataset in sorted(groups)}
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Column names in the first line of each file, through the file system Spark uses itself."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+def survey(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, header, lines``: first line and number of non-blank lines of every file.
+
+    One scan of the files as plain text, by Spark's tasks: the driver opens no file, and the line
+    counts are what the parsed rows are held against later.
+    """
+    lines = spark.read.schema("value string").text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"),
+        "value",
+    )
+    return lines.groupBy("path").agg(
+        F.min_by("value", "place").alias("header"), F.count_if(F.trim("value") != "").alias("lines")
+    )
+
 
-    def header(path: str) -> tuple[str, ...]:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        stream = place.getFileSystem(conf).open(place)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-        finally:
-            stream.close()
-        names = next(csv.reader([(line or "").removeprefix("\ufeff")]), [])
+class Extract(NamedTuple):
+    """Column names of one file, and its rows if no cell has a line break."""
+
+    header: tuple[str, ...]
+    rows: int
+
+
+def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, Extract]:
+    """What the survey found of each file; the driver holds a line per file."""
+    found = {unescaped(row.path): row for row in survey(spark, paths).collect()}
+    extracts = {}
+    for path in paths:
+        row = found.get(plain(path))
+        names = next(csv.reader([(row.header if row else "").removeprefix("\ufeff")]), [])
         if not names:
             raise ValueError(f"no header row in {path}")
-        return tuple(names)
+        extracts[path] = Extract(tuple(names), row.lines - 1)
+    return extracts
+
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(paths, pool.map(header, paths)))
+def unescaped(url: str) -> str:
+    """A path as Spark's metadata has it, without percent signs; a plus sign is itself."""
+    return plain(unquote(url))
+
+
+def plain(path: str) -> str:
+    """A path without the variants of the local file system's prefix."""
+    return re.sub(r"^file:/*", "/", path)
 
 
 def scan_text(
@@ -108,21 +153,22 @@ def source_system(dataset: Column) -> Column:
 def with_lineage(
     df: DataFrame, dataset: str, root: str, batch_id: str, ingestion_timestamp: str
 ) -> DataFrame:
-    prefix = rf"^(file:)?/*{re.escape(_plain(root))}/"
+    """Lineage columns; ``source_file`` is the path below ``root``, a folder as the file system
+    names it (``root_of``)."""
+    prefix = rf"^{re.escape(plain(root).rstrip('/'))}/"
+    # url_decode takes a plus sign for a blank, which it is not in a path.
+    decoded = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
+    local = F.regexp_replace(decoded, "^file:/*", "/")
     return df.withColumns(
         {
             "ingestion_timestamp": F.lit(ingestion_timestamp),
-            "source_file": F.regexp_replace(F.url_decode("_path"), prefix, ""),
+            "source_file": F.regexp_replace(local, prefix, ""),
             "source_system": source_system(F.lit(dataset)),
             "batch_id": F.lit(batch_id),
         }
     ).drop("_path")
 
 
-def _plain(path: str) -> str:
-    return re.sub(r"^file:", "", path).strip("/")
-
-
 def new_batch() -> tuple[str, str]:
     """Batch id and ingestion time, shared by all rows of one run."""
     return str(uuid.uuid4()), datetime.now(timezone.utc).isoformat(timespec="microseconds")
@@ -142,6 +188,7 @@ def read_dataset(
     batch_id: str,
     ingestion_timestamp: str,
     multiline: bool = False,
+    extracts: Mapping[str, Extract] | None = None,
 ) -> DataFrame:
     """All files of a dataset by column name: raw columns first seen first, then metadata.
 
@@ -149,8 +196,8 @@ def read_dataset(
     columns by position and put values under the wrong names.
     """
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, header in read_headers(spark, paths).items():
-        by_header[header].append(path)
+    for path, extract in (extracts or read_headers(spark, paths)).items():
+        by_header[extract.header].append(path)
     raw_columns = list(dict.fromkeys(c for header in by_header for c in header))
     check_columns(raw_columns)
 
@@ -159,5 +206,5 @@ def read_dataset(
         for header, files in by_header.items()
     ]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    traced = with_lineage(union, dataset, root, batch_id, ingestion_timestamp)
+    traced = with_lineage(union, dataset, root_of(spark, root), batch_id, ingestion_timestamp)
     return traced.select(*[f"`{c}`" for c in raw_columns], *METADATA, ROW_ORDINAL, CORRUPT)

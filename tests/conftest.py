@@ -26,3 +26,20 @@ def no_broadcast(spark):
     spark.conf.set(name, "-1")
     yield
     spark.conf.set(name, before)
+
+
+@pytest.fixture
+def cut_partitions(spark, no_broadcast):
+    """Adaptive execution cuts every shuffled partition it can, as a hot key's would be."""
+    tiny = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256b",
+    }
+    before = {name: spark.conf.get(name, None) for name in tiny}
+    for name, value in tiny.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)

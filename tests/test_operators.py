@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.operators import joins, quality, windows
+from lakestrata.operators.calendar import calendar
 from lakestrata.operators.dedupe import first_by_key, keep_first
 from lakestrata.operators.keys import surrogate_keys, union_distinct
 from lakestrata.operators.occupancy import covered_points
@@ -64,25 +65,24 @@ def skewed(spark, n=4000):
     return spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int")
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("shuffled", [False, True])
-def test_skew_safe_join_equals_a_plain_join(spark, request, how, shuffled):
-    if shuffled:
-        request.getfixturevalue("no_broadcast")
-    big = skewed(spark)
-    small = spark.createDataFrame([(k, k * 10) for k in range(1, 300)] + [(None, -1), (1, 11)], "k int, v int")
-    found = joins.skew_safe_join(big, small, ["k"], how, piece_rows=50)
-    plain = big.alias("b").join(small.alias("s"), F.col("b.k").eqNullSafe(F.col("s.k")), how).select("b.*", "s.v")
-    assert found.columns == ["k", "i", "v"]
-    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, plain.collect()))
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_keys_are_cut_and_bounded(spark):
-    big = skewed(spark)
-    hot = {r.k: r._pieces for r in joins.hot_keys(big, ["k"], piece_rows=50).collect()}
-    counts = Counter(r.k for r in big.collect())
-    assert hot == {k: -(-n // 50) for k, n in counts.items() if n > 50}
-    assert joins.hot_keys(big, ["k"], piece_rows=0, limit=5).count() == 5
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+@pytest.mark.parametrize("cut", [False, True])
+def test_null_safe_join_equals_a_plain_join(spark, request, how, cut):
+    if cut:
+        request.getfixturevalue("cut_partitions")
+    big = skewed(spark).repartition(6)
+    small = spark.createDataFrame([(k, k * 10) for k in range(1, 300)] + [(None, -1), (1, 11), (900, 9)], "k int, v int")
+    found = joins.null_safe_join(big, small, ["k"], how)
+    plain = big.alias("b").join(small.alias("s"), F.col("b.k").eqNullSafe(F.col("s.k")), how)
+    plain = plain.select(F.coalesce("b.k", "s.k").alias("k"), "b.i", "s.v")
+    assert found.columns == ["k", "i", "v"]
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, plain.collect()))
+    if cut and how != "full":
+        assert "skew=true" in final_plan(found)
 
 
 def test_lookup_key_null_member_and_unknown_id(spark):
@@ -120,12 +120,10 @@ def test_covered_points_against_brute_force(spark):
     assert rows(found) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("shuffled", [False, True])
-def test_interval_join_against_brute_force(spark, request, monkeypatch, shuffled):
-    if shuffled:
-        request.getfixturevalue("no_broadcast")
-        plain = joins.skew_safe_join
-        monkeypatch.setattr(joins, "skew_safe_join", lambda *a, **k: plain(*a, **k, piece_rows=5))
+@pytest.mark.parametrize("cut", [False, True])
+def test_interval_join_against_brute_force(spark, request, cut):
+    if cut:
+        request.getfixturevalue("cut_partitions")
     spans, intervals = leases(spark)
     points, asked = units(spark)
     found = joins.interval_join(asked, intervals, ["unit", "com"], "at", "start", "end")
@@ -149,36 +147,41 @@ def test_month_aligned_join(spark):
     assert rows(found) == [(1, DAY, date(2025, 1, 31), "a")]
 
 
-@pytest.mark.parametrize("monthly", [True, False])
+def calendar_of(spark, first, last):
+    bounds = spark.createDataFrame([(first, last)], "a date, b date")
+    return calendar(bounds, "a", "b")
+
+
+@pytest.mark.parametrize("unit", ["month", "day"])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_rolling_distinct_against_brute_force(spark, monthly, seed):
+def test_rolling_distinct_against_brute_force(spark, unit, seed):
     draw = random.Random(seed)
     seen = [
         (draw.choice("ab"), draw.choice([1, 1, draw.randrange(2, 30), None]), DAY + timedelta(draw.choice([draw.randrange(0, 40), draw.randrange(0, 400)])))
         for _ in range(120)
     ]
-    seen.append(("a", 1, None))
-    upto = date(2025, 12, 31)
+    seen += [("a", 1, None), (None, 3, DAY), ("c", 1, None)]
+    first, last = date(2025, 2, 10), date(2025, 12, 30)
     df = spark.createDataFrame(seen, "g string, k int, d date")
-    found = windows.rolling_distinct(df, "k", "d", ["g"], "n", upto, monthly=monthly)
+    reports = windows.report_dates(calendar_of(spark, first, last), unit)
+    found = windows.rolling_distinct(df, "k", "d", ["g"], "n", reports)
     expected = []
-    for n in range((upto - DAY).days + 1):
-        at = DAY + timedelta(n)
-        if monthly and (at + timedelta(1)).day != 1:
+    for n in range((last - first).days + 1):
+        at = first + timedelta(n)
+        if unit == "month" and at != last and (at + timedelta(1)).day != 1:
             continue
-        for g in "ab":
+        for g in ("a", "b", "c", None):
             keys = {k for h, k, d in seen if h == g and k and d and at - timedelta(90) < d <= at}
-            if keys:
-                expected.append((g, at, len(keys)))
+            expected.append((g, at, len(keys)))
     assert rows(found) == sorted(expected, key=repr)
 
 
 def test_rolling_distinct_without_groups(spark):
     df = spark.createDataFrame([(1, DAY), (2, DAY + timedelta(1))], "k int, d date")
-    found = windows.rolling_distinct(df, "k", "d", [], "n", DAY + timedelta(91))
-    counts = {r.report_date: r.n for r in found.collect()}
+    reports = windows.report_dates(calendar_of(spark, DAY, DAY + timedelta(91)))
+    counts = {r.report_date: r.n for r in windows.rolling_distinct(df, "k", "d", [], "n", reports).collect()}
     assert counts[DAY] == 1 and counts[DAY + timedelta(89)] == 2 and counts[DAY + timedelta(90)] == 1
-    assert DAY + timedelta(91) not in counts and len(counts) == 91
+    assert counts[DAY + timedelta(91)] == 0 and len(counts) == 92
 
 
 def test_share_and_top(spark):
@@ -230,6 +233,12 @@ def test_domain_overlap_and_unexpected(spark):
     assert rows(quality.unexpected_members(a, "employee_id", ["E10105"])) == [("E10104", 2)]
 
 
+def test_reconcile_columns(spark):
+    raw = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "dataset string, column string")
+    stored = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "z")], "dataset string, column string")
+    assert {r.dataset: r.column_check for r in quality.reconcile_columns(raw, stored).collect()} == {"a": "FAIL", "b": "PASS"}
+
+
 def test_reconcile(spark):
     raw = spark.createDataFrame([("a",), ("a",), ("b",)], "dataset string")
     stored = spark.createDataFrame([("a",), ("a",), ("c",)], "dataset string")

@@ -139,6 +139,8 @@ def test_reports(spark, out):
     assert broken["fact_incidents", "severity out of range"] == 1
     assert broken["fact_adp_shifts", "total_labor_cost is null"] == 3
     assert broken["fact_incidents", "resident_key is null"] == 1
+    assert broken["pcc_residents", "acuity_score is no decimal(8,2)"] == 3
+    assert broken["fact_residents", "admit_date in dimension"] == 3
 
 
 def test_facts(spark, out):
@@ -170,23 +172,72 @@ def test_analysis(spark, out):
 
 
 def test_measures(spark, out):
-    leads = measures.lead_conversion(gold(spark, out, "fact_hubspot_leads"), [], "2025-06-30")
+    days = gold(spark, out, "dim_date")
+    leads = measures.lead_conversion(gold(spark, out, "fact_hubspot_leads"), days, [])
     found = {r.report_date: (r.leads, r.won_leads, r.conversion_rate) for r in leads.collect()}
     assert found[date(2025, 1, 31)] == (2, 1, 0.5)
     assert found[date(2025, 4, 30)] == (2, 0, 0.0)
-    assert max(found) == date(2025, 4, 30)
+    assert max(found) == date(2025, 6, 30) and found[date(2025, 6, 30)] == (0, 0, 0.0)
     whole = measures.occupancy(gold(spark, out, "fact_units"), gold(spark, out, "fact_leases"), [])
     assert tuple(whole.first())[1:] == (4, 1, 0.25)
-    moved = measures.moveout_rate(gold(spark, out, "fact_leases"), gold(spark, out, "fact_residents"), [], "2025-06-30")
+    monthly = measures.occupancy(gold(spark, out, "fact_units"), gold(spark, out, "fact_leases"), [], "month")
+    assert {r.period.month: r.occupied_units for r in monthly.collect()} == {1: 1, 2: 2, 3: 1}
+    moved = measures.moveout_rate(gold(spark, out, "fact_leases"), gold(spark, out, "fact_residents"), days, [])
     march = {r.report_date: r for r in moved.collect()}[date(2025, 3, 31)]
     assert (march.move_outs, march.average_active) == (1, 2.0)
     rate = measures.incident_rate(
-        gold(spark, out, "fact_incidents"), gold(spark, out, "fact_residents"), gold(spark, out, "dim_date"), [], "quarter"
+        gold(spark, out, "fact_incidents"), gold(spark, out, "fact_residents"), days, [], "quarter"
     )
     quarter = {r.period: r for r in rate.collect()}[date(2025, 1, 1)]
     assert (quarter.total_incidents, quarter.resident_days) == (2, 3 * 90)
 
 
+def test_measures_outside_the_calendar(spark):
+    """Windows end at the calendar, periods it lacks are reported with no days, and rows without
+    a group are one group."""
+    days = spark.createDataFrame([(date(2025, 2, n),) for n in range(1, 29)], "date date")
+    residents = spark.createDataFrame(
+        [(1, None, "Active", date(2025, 1, 31)), (2, None, "Active", date(2025, 2, 28)), (3, None, "Active", date(2025, 2, 28))],
+        "resident_key long, community_key long, status string, last_date date",
+    )
+    incidents = spark.createDataFrame([("I1", None, date(2025, 2, 3))], "incident_id string, community_key long, incident_date date")
+    rate = {r.period: tuple(r) for r in measures.incident_rate(incidents, residents, days, ["community_key"]).collect()}
+    assert rate == {
+        date(2025, 1, 1): (None, date(2025, 1, 1), 0, 0, 0.0),
+        date(2025, 2, 1): (None, date(2025, 2, 1), 1, 56, 1 / 56 * 100),
+    }
+    mean = measures.trailing_average_active(residents, days, ["community_key"])
+    assert [tuple(r) for r in mean.collect()] == [(None, date(2025, 2, 28), 2.0)]
+    leads = spark.createDataFrame([("H1", date(2020, 3, 5), "Won"), ("H2", date(2025, 2, 1), "Open")], "lead_id string, created_date date, status string")
+    assert [tuple(r) for r in measures.lead_conversion(leads, days, []).collect()] == [(date(2025, 2, 28), 1, 0, 0.0)]
+
+
+def test_calendar_bounds_of_a_run(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    extracts(raw)
+    reports = run.run(spark, str(raw), str(tmp_path / "out"), first="2025-01-01", last="2025-12-31")
+    assert spark.read.parquet(f"{tmp_path}/out/gold/dim/dim_date").count() == 365
+    assert spark.read.parquet(f"{tmp_path}/out/reports/rules").count() == reports["rules"].count()
+
+
+def test_names_spark_would_not_read_are_refused(spark, tmp_path):
+    for name in ("_x_2025_01.csv", "x[1]_2025_01.csv"):
+        folder = tmp_path / str(len(name))
+        folder.mkdir()
+        (folder / name).write_text("id\n1\n")
+        with pytest.raises(ValueError, match="Spark skips|pattern"):
+            drops.discover(spark, str(folder))
+
+
+def test_source_file_keeps_plus_and_blank(spark, tmp_path):
+    for name in ("a+b_2025_01.csv", "a b_2025_02.csv", "a%41_2025_03.csv"):
+        (tmp_path / name).write_text("id\n1\n")
+    paths = [p for found in drops.discover(spark, str(tmp_path)).values() for p in found]
+    rows = drops.read_dataset(spark, "a", paths, str(tmp_path), "batch", "now")
+    assert sorted(r.source_file for r in rows.collect()) == ["a b_2025_02.csv", "a%41_2025_03.csv", "a+b_2025_01.csv"]
+
+
 def test_a_second_run_gives_the_same_gold(spark, out, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
