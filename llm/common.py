@@ -16,16 +16,25 @@ from lakestrata import session
 
 _shipped: set[str] = set()
 
+#: Bytes of an Arrow batch, where the session has Spark's default of 64 MB: a worker holds a batch,
+#: its result and work arrays for a part of it.
+BATCH_BYTES = "8m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULT = "67108864b"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the executors, once per application.
+    """Send this package's modules to the executors, once per application, and keep Arrow
+    batches small.
 
-    The same as ``spark-submit --py-files``; the driver's copy may lie anywhere.
+    The first is the same as ``spark-submit --py-files``; the driver's copy may lie anywhere.
     """
+    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return

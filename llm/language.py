@@ -83,6 +83,8 @@ def vectors(chunk: hashing.Chunk) -> tuple[np.ndarray, np.ndarray]:
         return out, has_letter
     known, index = _by_table(code)
     within = np.flatnonzero(owner[2:] == owner[:-2])
+    if not len(within):
+        return out, has_letter
     size = len(known)
     sequence = (index[within] * size + index[within + 1]) * size + index[within + 2]
     found, place = _by_table(sequence) if size**3 <= 1 << 23 else np.unique(sequence, return_inverse=True)
