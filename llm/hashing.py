@@ -149,18 +149,34 @@ class Words(NamedTuple):
 
 
 def words(chunk: Chunk, alphabet: Alphabet) -> Words:
-    """Find and hash the words of a chunk; no word crosses a document's end."""
+    """Find and hash the words of a chunk; no word crosses a document's end.
+
+    A document longer than a chunk is taken in pieces which end between two words.
+    """
+    if len(chunk.data) <= 2 * CHUNK_BYTES or chunk.size > 1:
+        return _words(chunk, alphabet)
+    parts, low = [], 0
+    while low < len(chunk.data):
+        high = min(low + CHUNK_BYTES, len(chunk.data))
+        while high < len(chunk.data) and alphabet.in_word[chunk.data[high]]:
+            blanks = np.flatnonzero(~alphabet.in_word[chunk.data[high : high + CHUNK_BYTES]])
+            high = high + int(blanks[0]) if len(blanks) else min(high + CHUNK_BYTES, len(chunk.data))
+        piece = _words(Chunk(0, chunk.data[low:high], np.array([0, high - low])), alphabet)
+        parts.append((piece.hashes, piece.starts + low, piece.ends + low))
+        low = high
+    hashes, starts, ends = (np.concatenate(column) for column in zip(*parts))
+    return Words(hashes, starts, ends, np.array([0, len(hashes)]))
+
+
+def _words(chunk: Chunk, alphabet: Alphabet) -> Words:
     inside = alphabet.in_word[chunk.data]
-    before = np.zeros(len(inside) + 1, dtype=bool)
-    before[1:] = inside
-    after = before[1:].copy()
-    before = before[:-1].copy()
+    before = np.zeros(len(inside), dtype=bool)
+    before[1:] = inside[:-1]
+    after = np.zeros(len(inside), dtype=bool)
     after[:-1] = inside[1:]
-    if len(inside):
-        after[-1] = False
-        edges = chunk.offsets[(chunk.offsets > 0) & (chunk.offsets < len(inside))]
-        before[edges] = False
-        after[edges - 1] = False
+    edges = chunk.offsets[(chunk.offsets > 0) & (chunk.offsets < len(inside))]
+    before[edges] = False
+    after[edges - 1] = False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
     sums = prefix_sums(alphabet.values(chunk.data))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import per_batch, pieces, streamed, table, total, written
+from llm.common import hashed_sample, per_batch, pieces, streamed, table, total, written
 from llm.components import components, forest
 from llm.passages import KEY, numbered
 
@@ -114,7 +114,7 @@ def centres(sample: np.ndarray, k: int, rounds: int = 5) -> np.ndarray:
 
 def fitted(found: DataFrame, n: int) -> np.ndarray:
     """Centres of the nodes of one width, on at most ``SAMPLE`` of them, chosen by a hash."""
-    rows = found.orderBy("h1", "node").limit(SAMPLE).select("embedding").toArrow()
+    rows = hashed_sample(found, "h1", SAMPLE, "node").select("embedding").toArrow()
     sample = unit(matrix(rows.column(0).combine_chunks()))
     return centres(sample, min(pieces(n, SHARD), max(1, len(sample) // 8)))
 
@@ -362,7 +362,7 @@ def recall(found: DataFrame, counts: DataFrame, sample: int = AUDIT) -> float:
     ``counts`` has ``node, n`` (links of the node, copies of others counted); the sample, a few
     hundred vectors chosen by a hash, is broadcast, and each task adds up what it sees.
     """
-    chosen = found.orderBy("h2", "node").limit(sample).select("node", "embedding").toArrow()
+    chosen = hashed_sample(found, "h2", sample, "node").select("node", "embedding").toArrow()
     ids = chosen.column(0).to_numpy()
     queries = unit(matrix(chosen.column(1).combine_chunks()))
     shared = found.sparkSession.sparkContext.broadcast((ids, queries))
@@ -386,8 +386,9 @@ class Links(NamedTuple):
     recall: float
 
 
-def links(found: DataFrame, settings: Settings = Settings(), tries: int = 4) -> Links:
-    """Links of the nodes of one width, with the recall of the audit."""
+def links(found: DataFrame, settings: Settings = Settings()) -> Links:
+    """Links of the nodes of one width, with the recall of the audit; it is repeated with wider
+    settings until that is reached or every shard holds every node."""
     n = total(found)
     middle = fitted(found, n)
     while True:
@@ -395,8 +396,7 @@ def links(found: DataFrame, settings: Settings = Settings(), tries: int = 4) ->
         results = written(searched(member, graph(member), settings.beam), "links")
         counts = results.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
         reached = recall(found, counts)
-        tries -= 1
-        if reached >= RECALL or not tries or settings.overlap >= len(middle):
+        if reached >= RECALL or settings.overlap >= len(middle):
             return Links(counts, results.filter("b IS NOT NULL").select("a", "b"), reached)
         settings = settings.wider()
 

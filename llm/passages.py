@@ -46,11 +46,15 @@ class Kind(NamedTuple):
     first_too: bool  # cover the first copy as well
 
     def units(self, chunk: hashing.Chunk) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every unit, and ``n + 1`` offsets of the documents in them."""
+        """Words' hashes or bytes, and ``n + 1`` offsets of the documents in them."""
         if self.by_words:
             words = hashing.words(chunk, hashing.PLAIN)
             return words.hashes, words.offsets
-        return hashing.PLAIN.values(chunk.data), chunk.offsets
+        return chunk.data, chunk.offsets
+
+    def values(self, units: np.ndarray) -> np.ndarray:
+        """What is hashed of them, 64 bits each."""
+        return units if self.by_words else hashing.PLAIN.values(units)
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -63,35 +67,40 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Found(NamedTuple):
-    """Passages of a chunk: anchor, first window, number of windows, and the units' sums."""
+    """Passages of a chunk: anchor, hash of the content, first unit, number of windows."""
 
     anchor: np.ndarray
+    content: np.ndarray
     start: np.ndarray
     windows: np.ndarray
-    sums: np.ndarray
-    offsets: np.ndarray
-
-
-def passages(chunk: hashing.Chunk, kind: Kind) -> Found:
-    units, offsets = kind.units(chunk)
-    sums = hashing.prefix_sums(units)
-    none = np.zeros(0, dtype=np.int64)
-    if len(units) < kind.length:
-        return Found(none.astype(np.uint64), none, none, sums, offsets)
-    at = np.arange(len(units) - kind.anchor + 1)
-    hashed = hashing.range_hash(sums, at, at + kind.anchor, 4)
-    smallest = sliding_minimum(hashed, kind.length - kind.anchor + 1)
-    place = np.flatnonzero(hashing.inside_mask(offsets, kind.length)[: len(smallest)])
-    if not len(place):
-        return Found(none.astype(np.uint64), none, none, sums, offsets)
-    anchor = smallest[place]
-    # A passage ends where its anchor's first occurrence leaves the window, even if an equal one
-    # follows: so all windows of a passage differ, however a text repeats itself.
-    fresh = np.ones(len(place), dtype=bool)
-    fresh[1:] = (anchor[1:] != anchor[:-1]) | (place[1:] != place[:-1] + 1) | (hashed[place[:-1]] == anchor[:-1])
-    run = np.flatnonzero(fresh)
-    windows = np.diff(np.append(run, len(place)))
-    return Found(anchor[run], place[run], windows, sums, offsets)
+
+
+def passages(units: np.ndarray, offsets: np.ndarray, kind: Kind, at_once: int = hashing.CHUNK_BYTES) -> Iterator[Found]:
+    """Passages of the documents in ``units``, for about ``at_once`` windows at a time.
+
+    Where a long document is cut a passage may be cut, which is as good as any other end: equal
+    windows still have equal anchors.
+    """
+    total = len(units) - kind.length + 1
+    inside = hashing.inside_mask(offsets, kind.length) if total > 0 else None
+    for low in range(0, max(total, 0), at_once):
+        high = min(low + at_once, total)
+        place = np.flatnonzero(inside[low:high])
+        if not len(place):
+            continue
+        sums = hashing.prefix_sums(kind.values(units[low : high + kind.length - 1]))
+        at = np.arange(len(sums) - kind.anchor)
+        hashed = hashing.range_hash(sums, at, at + kind.anchor, 4)
+        anchor = sliding_minimum(hashed, kind.length - kind.anchor + 1)[place]
+        # A passage ends where its anchor's first occurrence leaves the window, even if an equal
+        # one follows: so all windows of a passage differ, however a text repeats itself.
+        fresh = np.ones(len(place), dtype=bool)
+        fresh[1:] = (anchor[1:] != anchor[:-1]) | (place[1:] != place[:-1] + 1) | (hashed[place[:-1]] == anchor[:-1])
+        run = np.flatnonzero(fresh)
+        windows = np.diff(np.append(run, len(place)))
+        start = place[run]
+        content = hashing.range_hash(sums, start, start + windows + kind.length - 1, 6)
+        yield Found(anchor[run], content, start + low, windows)
 
 
 _PASSAGE = pa.schema([
@@ -137,12 +146,10 @@ def passage_rows(documents: DataFrame, kind: Kind) -> DataFrame:
         keys = rows.column(0).to_numpy()
         found: list[tuple[np.ndarray, ...]] = []
         for chunk in hashing.chunks(rows.column(1)):
-            part = passages(chunk, kind)
-            if not len(part.start):
-                continue
-            content = hashing.range_hash(part.sums, part.start, part.start + part.windows + kind.length - 1, 6)
-            document = np.searchsorted(part.offsets, part.start, side="right") - 1
-            found.append((part.anchor, content, keys[chunk.first + document], part.start - part.offsets[document], part.windows))
+            units, offsets = kind.units(chunk)
+            for part in passages(units, offsets, kind):
+                document = np.searchsorted(offsets, part.start, side="right") - 1
+                found.append((part.anchor, part.content, keys[chunk.first + document], part.start - offsets[document], part.windows))
         if not found:
             return
         anchor, content, key, start, windows = (np.concatenate(c) for c in zip(*found))
@@ -259,7 +266,7 @@ def compared(documents: DataFrame, found: DataFrame, kind: Kind, method: Method,
         rest = by_window(documents, wanted.join(crowded, "anchor", "left_semi"), kind)
 
     def cut(chunk, key, document, start, windows, anchor) -> Iterator[pa.RecordBatch]:
-        units, offsets = kind.units(chunk) if kind.by_words else (chunk.data, chunk.offsets)
+        units, offsets = kind.units(chunk)
         low = offsets[document] + start
         high = low + windows + kind.length - 1
         payload = [units[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist())]
@@ -326,10 +333,13 @@ def by_window(documents: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
 
     def hashes(chunk, key, document, start, windows, anchor) -> Iterator[pa.RecordBatch]:
         units, offsets = kind.units(chunk)
-        sums = hashing.prefix_sums(units)
+        low, sizes = offsets[document] + start, windows + kind.length - 1
+        wanted = np.concatenate([units[a : a + n] for a, n in zip(low.tolist(), sizes.tolist())])
+        sums = hashing.prefix_sums(kind.values(wanted))
         owner = np.repeat(np.arange(len(key)), windows)
-        begin = start[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        place = offsets[document[owner]] + begin
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        begin = start[owner] + inside
+        place = (np.cumsum(sizes) - sizes)[owner] + inside
         window = hashing.range_hash(sums, place, place + kind.length, 8)
         order, new = firsts(window, window, key[owner], begin)
         copies = np.diff(np.append(np.flatnonzero(new), len(order)))

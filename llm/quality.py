@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import hashing
-from llm.common import per_batch, streamed, table, written
+from llm.common import hashed_sample, per_batch, streamed, table, written
 
 #: Labelled documents of each kind which are used at most; a hash of the id decides which.
 SAMPLE = 50_000
@@ -76,7 +76,7 @@ def labelled(labels: DataFrame, most: int = SAMPLE) -> Sample:
     )
 
     def ids(rows: DataFrame) -> np.ndarray:
-        chosen = rows.orderBy("rank", "doc_id").limit(most).select("doc_id").toArrow()
+        chosen = hashed_sample(rows, "rank", most, "doc_id").select("doc_id").toArrow()
         return chosen.column(0).to_numpy().astype(np.int64)
 
     all_good = ids(kinds.filter("good"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import per_batch, table
+from llm.common import hashed_sample, per_batch, table, written
 
 # Fixed patterns. Only the key names of an assignment are taken in either case.
 KEY_NAMES = "(?:password|passwd|secret|token|api_?key)"
@@ -129,7 +129,8 @@ def samples(documents: DataFrame, most: int = SAMPLES) -> DataFrame:
                 )
 
     found = per_batch(documents.select("text"), run, "word string, is_random boolean, rank long").distinct()
-    halves = [found.filter(F.col("is_random") == label).orderBy("rank", "word").limit(most) for label in (True, False)]
+    found = written(found, "words")
+    halves = [hashed_sample(found.filter(F.col("is_random") == label), "rank", most, "word") for label in (True, False)]
     return halves[0].unionByName(halves[1]).select("word", "is_random")
 
 

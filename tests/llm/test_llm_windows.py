@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import ODD, prose, repeated, sha, words
 
-from llm import passages, relative_lz, suffix_lpf
+from llm import hashing, passages, relative_lz, suffix_lpf
 
 
 def corpus(seed: int) -> list[tuple[int, str | None]]:
@@ -99,14 +100,24 @@ def test_longest_previous_factors():
     assert following.tolist() == [True, True, True, False, False, False]
 
 
-def test_windows_of_a_passage_differ_however_a_text_repeats():
-    from llm import hashing
-    import pyarrow as pa
-
+@pytest.mark.parametrize("at_once", [1 << 20, 50])
+def test_windows_of_a_passage_differ_however_a_text_repeats(at_once):
     chunk = next(hashing.chunks(pa.array(["a b a b a b c " * 50])))
     kind = relative_lz.kind_of(20)
-    found = passages.passages(chunk, kind)
-    assert found.windows.sum() == 350 - 19 and found.windows.max() <= 15
-    for start, n in zip(found.start, found.windows):
-        at = np.arange(start, start + n)
-        assert len(np.unique(hashing.range_hash(found.sums, at, at + 20, 8))) == n
+    units, offsets = kind.units(chunk)
+    sums = hashing.prefix_sums(units)
+    found = list(passages.passages(units, offsets, kind, at_once))
+    assert sum(f.windows.sum() for f in found) == 350 - 19 and max(f.windows.max() for f in found) <= 15
+    for f in found:
+        for start, n in zip(f.start, f.windows):
+            at = np.arange(start, start + n)
+            assert len(np.unique(hashing.range_hash(sums, at, at + 20, 8))) == n
+
+
+def test_a_document_in_pieces_has_the_same_words(monkeypatch):
+    texts = pa.array(["ab cd  " * 40 + "x" * 90 + " yz\n" + "w" * 70, None, "q r"])
+    whole = [hashing.words(c, hashing.PLAIN) for c in hashing.chunks(texts, 1)]
+    monkeypatch.setattr(hashing, "CHUNK_BYTES", 16)
+    for before, chunk in zip(whole, hashing.chunks(texts, 1)):
+        after = hashing.words(chunk, hashing.PLAIN)
+        assert all(a.tolist() == b.tolist() for a, b in zip(before, after))
