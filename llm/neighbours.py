@@ -428,3 +428,25 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registered query: links and components of all vectors."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL = """
+WITH RECURSIVE vec AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM vec x JOIN vec y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.9
+), reach AS (
+    SELECT vec_id AS node, vec_id AS other FROM embeddings
+    UNION
+    SELECT node, b FROM reach JOIN link ON other = a
+), component AS (
+    SELECT node, min(other) AS component_id FROM reach GROUP BY node
+), degree AS (
+    SELECT a, count(*) AS n FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON node = vec_id LEFT JOIN degree ON a = vec_id
+"""

@@ -19,6 +19,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_relative_lempel_ziv": relative_lz.SQL,
+    "op3_pruned_graph": neighbours.SQL,
+    "op4_suffix_array_lpf": suffix_lpf.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
     "op8_min_max_hashing": minhash.SQL,
     "op10_warc_transactions": warc.CAPTURES_SQL,

@@ -123,3 +123,32 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.size("spans") / 2).cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+# Bytes as pairs of hexadecimal digits.
+SQL = """
+WITH doc AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), place AS (
+    SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS p
+    FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM doc WHERE length(h) >= 800)
+), again AS (
+    SELECT doc_id, i FROM place QUALIFY count(*) OVER (PARTITION BY p) > 1
+), stretch AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS fresh FROM again
+), run AS (
+    SELECT doc_id, min(i) AS low, max(i) + 400 AS high
+    FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM stretch) GROUP BY doc_id, run
+), gap AS (
+    SELECT doc_id, high AS low, lead(low) OVER (PARTITION BY doc_id ORDER BY low) AS high FROM run
+    UNION ALL SELECT doc_id, 0, min(low) FROM run GROUP BY doc_id
+), left_over AS (
+    SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (coalesce(high, length(h) // 2) - low)), '' ORDER BY low) AS kept
+    FROM gap JOIN doc USING (doc_id) GROUP BY doc_id
+), total AS (
+    SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM doc LEFT JOIN left_over USING (doc_id) LEFT JOIN total USING (doc_id)
+"""
