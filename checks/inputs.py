@@ -23,9 +23,9 @@ from lakestrata.session import in_parallel, materialise, tune
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
 
-# Snapshots are taken at the start of every quarter in which there are orders.
-SPARK_MONTHS = "explode((SELECT sequence(CAST(date_trunc('QUARTER', min(o_orderdate)) AS DATE), CAST(date_trunc('QUARTER', max(o_orderdate)) AS DATE), INTERVAL 3 MONTH) FROM orders))"
-ORACLE_MONTHS = "CAST(unnest((SELECT generate_series(date_trunc('quarter', min(o_orderdate)), date_trunc('quarter', max(o_orderdate)), INTERVAL 3 MONTH) FROM orders)) AS DATE)"
+# Snapshots are taken every half year from the first order to the last.
+SPARK_MONTHS = "explode((SELECT sequence(CAST(date_trunc('QUARTER', min(o_orderdate)) AS DATE), CAST(date_trunc('QUARTER', max(o_orderdate)) AS DATE), INTERVAL 6 MONTH) FROM orders))"
+ORACLE_MONTHS = "CAST(unnest((SELECT generate_series(date_trunc('quarter', min(o_orderdate)), date_trunc('quarter', max(o_orderdate)), INTERVAL 6 MONTH) FROM orders)) AS DATE)"
 
 
 def text(x: str) -> str:
@@ -224,7 +224,12 @@ class Inputs:
             return self._built[name]
 
     def raw(self, dataset: str) -> DataFrame:
-        return self._once(f"raw {dataset}", lambda: self._select(raw_sql(dataset, SPARK_MONTHS)))
+        """Extracts are monthly files, so their rows are dealt by file, whatever their number."""
+
+        def build() -> DataFrame:
+            return self._select(raw_sql(dataset, SPARK_MONTHS)).repartition("source_file")
+
+        return self._once(f"raw {dataset}", build)
 
     def _select(self, sql: str) -> DataFrame:
         for table in TABLES:
