@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import oracle as o
 from checks.inputs import Inputs
-from checks.registry import day, query, real
+from checks.registry import day, query
 from lakestrata.functions import dates, numbers, text
 from lakestrata.operators import quality
 from lakestrata.plans.silver import SPECS, cleansing_counters

@@ -8,7 +8,6 @@ columns for all of them are read in one scan (``key_counts``).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
