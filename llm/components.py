@@ -70,7 +70,7 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder and the round before it removed.
     """
     edge = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    current = written(contracted(edge.distinct()).distinct(), "edges")
+    current = written(contracted(edge).distinct(), "edges")
     state = _state(current)
     while True:
         following = written(_small_star(_large_star(current)), "edges")
@@ -88,10 +88,11 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Larger neighbours of each node are linked to its smallest neighbour or itself."""
+    """Larger neighbours of each node are linked to its smallest neighbour or itself; repeated
+    links go with the small star."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

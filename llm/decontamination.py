@@ -13,7 +13,6 @@ ignored; without documents there are no rows, without items nothing is hit.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 

@@ -14,8 +14,6 @@ empty archive and no rows.
 
 from __future__ import annotations
 
-import base64
-import hashlib
 import re
 import zlib
 from collections.abc import Iterator

@@ -14,7 +14,7 @@ import pytest
 from brute import ODD, groups, prose, words
 
 import corpus_pipeline
-from llm import minhash, mixing, neighbours, registry, warc
+from llm import mixing, neighbours, registry, warc
 from llm.common import table
 from lakestrata.session import new_shared_path
 
