@@ -23,9 +23,9 @@ from lakestrata.session import in_parallel, materialise, tune
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
 
-# Snapshots are taken every half year from the first order to the last.
-SPARK_MONTHS = "explode((SELECT sequence(CAST(date_trunc('QUARTER', min(o_orderdate)) AS DATE), CAST(date_trunc('QUARTER', max(o_orderdate)) AS DATE), INTERVAL 6 MONTH) FROM orders))"
-ORACLE_MONTHS = "CAST(unnest((SELECT generate_series(date_trunc('quarter', min(o_orderdate)), date_trunc('quarter', max(o_orderdate)), INTERVAL 6 MONTH) FROM orders)) AS DATE)"
+# Snapshots are taken at the start of every month from that of the first order to that of the last.
+SPARK_MONTHS = "explode((SELECT sequence(CAST(date_trunc('MONTH', min(o_orderdate)) AS DATE), CAST(date_trunc('MONTH', max(o_orderdate)) AS DATE), INTERVAL 1 MONTH) FROM orders))"
+ORACLE_MONTHS = "CAST(unnest((SELECT generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH) FROM orders)) AS DATE)"
 
 
 def text(x: str) -> str:
