@@ -2,10 +2,12 @@
 
 Sources share a multiple of all words by weight, but none gets more than twice its own words.
 The documents of a source are shuffled by a hash and laid end to end; the stream is cut into
-blocks of equal words. Slot ``j`` of the mix is the ``j``-th point of the golden ratio sequence,
-mapped through the cumulative targets to a source; slots are ranked within their source, and rank
-``r`` takes block ``r`` of the stream, which is gone through twice at most. A source's slots end
-with the word that fills its target.
+blocks of equal words; the last block of a pass may be part-filled. A source needs the slots of its
+whole passes and of the blocks up to its target. Slot ``2 j`` of the mix is the ``j``-th point of the
+golden ratio sequence, mapped through the cumulative needs to a source; slots are ranked within
+their source, and rank ``r`` takes block ``r`` of the stream, which is gone through twice at most. A
+source's slots end with the word that fills its target; ranks for which it met no point get odd
+slots, spread over the mix. So each source gives its target, rounded down to words.
 
 Defined results: a null text has no words; the null source is a source and comes last; documents
 without words are never taken; rows with equal ids stay apart, since each has its own place in
@@ -27,7 +29,7 @@ SHARE = 1.5
 LIMIT = 2.0
 #: Words of a block.
 BLOCK = 64
-#: More slots than the targets need, so that each source finds its own among them.
+#: More points than slots are needed, so that few sources miss some of theirs.
 SPARE = 0.125
 SEED = 17
 
@@ -80,29 +82,37 @@ def blocks_of(words: Column, block: int) -> Column:
     return F.floor((words + (block - 1)) / block).cast("long")
 
 
+def slots_needed(size: Column, cut: Column, block: int) -> Column:
+    """Blocks of whole passes through ``size`` words, and of the last pass up to ``cut`` words in all."""
+    passes = F.floor(cut / F.greatest(size, F.lit(1)))
+    return passes * blocks_of(size, block) + blocks_of(cut - passes * size, block)
+
+
 def schedule(sources: DataFrame, block: int = BLOCK, spare: float = SPARE) -> DataFrame:
     """``slot, sid, rank, block, words``: what each slot takes, in the order of the mix.
 
     Each source owns a range of points. Ranges are laid on a grid of about as many cells as
     there are sources, so a slot finds its source by an equi join on the cell. Slots are ranked
-    within chunks of slots, and chunks by their counts, so no task ranks a whole source.
+    within chunks of slots, and chunks by their counts, so no task ranks a whole source. The ranks
+    a source lacks after that are numbered over all sources and laid at equal distances.
     """
     spark = sources.sparkSession
-    n_sources, total = sources.agg(F.count("*"), F.sum("target")).first()
-    n_slots = int((total or 0) / block * (1 + spare)) + 1 if n_sources else 0
+    size, cut = F.col("source_size"), F.floor("target").cast("long")
+    sources = sources.withColumn("needed", slots_needed(size, cut, block)).filter("needed > 0")
+    n_sources, total = sources.agg(F.count("*"), F.sum("needed")).first()
+    n_slots = int((total or 0) * (1 + spare)) + 1 if n_sources else 0
     cells = 1 << (2 * max(n_sources, 1) - 1).bit_length()
     cell_bits = _POINT_BITS - (cells.bit_length() - 1)
 
     upto = W.orderBy("sid").rowsBetween(W.unboundedPreceding, 0)
     scale = float(1 << _POINT_BITS) / (total or 1)
-    high = F.round(F.sum("target").over(upto) * scale).cast("long")
+    high = F.round(F.sum("needed").over(upto) * scale).cast("long")
     ranges = (
-        sources.filter("target > 0")
-        .withColumn("high", high)
+        sources.withColumn("high", high)
         .withColumn("low", F.lag("high", 1, 0).over(W.orderBy("sid")))
         .filter("high > low")
         .withColumn("cell", F.explode(F.sequence(F.shiftright("low", cell_bits), F.shiftright(F.col("high") - 1, cell_bits))))
-        .select("sid", "source_size", "target", "low", "high", "cell")
+        .select("sid", "source_size", "target", "needed", "low", "high", "cell")
     )
     slots = (
         spark.range(n_slots)
@@ -111,22 +121,37 @@ def schedule(sources: DataFrame, block: int = BLOCK, spare: float = SPARE) -> Da
         .join(ranges, "cell")
         .filter("point >= low AND point < high")
         .withColumn("chunk", F.shiftright("slot", _CHUNK_BITS))
-        .select("slot", "sid", "source_size", "target", "chunk")
+        .select("slot", "sid", "source_size", "target", "needed", "chunk")
     )
     counted = slots.groupBy("sid", "chunk").count()
     earlier = W.partitionBy("sid").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     offsets = counted.select("sid", "chunk", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("offset"))
     within = F.row_number().over(W.partitionBy("sid", "chunk").orderBy("slot")) - 1
-    size, cut = F.col("source_size"), F.floor("target").cast("long")
-    place = F.col("rank") % blocks_of(size, block)
-    start = F.floor(F.col("rank") / blocks_of(size, block)) * size + place * block
-    words = F.least(F.lit(block), size - place * block, cut - start)
-    return (
+    met = (
         slots.join(offsets, ["sid", "chunk"])
         .withColumn("rank", F.col("offset") + within)
-        .select("slot", "sid", "rank", place.alias("block"), words.cast("long").alias("words"))
-        .filter("words > 0")
+        .filter("rank < needed")
+        .select((F.col("slot") * 2).alias("slot"), "sid", "rank", "source_size", "target")
+    )
+    short = (
+        sources.join(counted.groupBy("sid").agg(F.sum("count").alias("had")), "sid", "left")
+        .withColumn("had", F.coalesce("had", F.lit(0)))
+        .filter("had < needed")
+        .withColumn("missing", F.col("needed") - F.col("had"))
+    )
+    every = W.orderBy(F.lit(0)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    lacking = (
+        short.withColumn("before", F.sum("missing").over(upto) - F.col("missing"))
+        .withColumn("all", F.sum("missing").over(every))
+        .withColumn("rank", F.explode(F.sequence(F.col("had"), F.col("needed") - 1)))
+        .withColumn("nth", F.col("before") + F.col("rank") - F.col("had"))
+        .withColumn("slot", F.floor(F.col("nth") * F.lit(float(n_slots)) / F.col("all")).cast("long") * 2 + 1)
+        .select("slot", "sid", "rank", "source_size", "target")
     )
+    place = F.col("rank") % blocks_of(size, block)
+    start = F.floor(F.col("rank") / blocks_of(size, block)) * size + place * block
+    words = F.least(F.lit(block), size - place * block, cut - start)
+    return met.unionByName(lacking).select("slot", "sid", "rank", place.alias("block"), words.cast("long").alias("words"))
 
 
 def streams(sized: DataFrame, sources: DataFrame, seed: int = SEED, bucket_rows: int = _BUCKET_ROWS) -> DataFrame:

@@ -152,6 +152,41 @@ def test_schedule_is_evenly_spread(spark):
     assert max(s.block for s in slots if s.sid == 2) == 99
 
 
+def long_tail():
+    """A large source among 300 small ones, whose last blocks are part-filled."""
+    sizes = {f"tail {i:03d}": (10, 20, 64, 80, 150, 300, 1000)[i % 7] for i in range(300)}
+    return sizes | {"large": 400_000}
+
+
+def test_mixing_of_a_long_tail_of_sources(documents):
+    sizes = long_tail()
+    rows = [(i, "w " * n, "en", source, 1) for i, (source, n) in enumerate(sizes.items())]
+    order = sorted(sizes)
+    expected = dict(zip(order, filled([sizes[s] for s in order])))
+    found = {r.doc_id: r for r in mixing.mixed(documents(rows)).collect()}
+    assert len(found) == len(rows)
+    for i, (source, n) in enumerate(sizes.items()):
+        assert found[i].target == pytest.approx(expected[source])
+        assert abs(found[i].taken - expected[source]) <= max(1, 0.001 * expected[source]), (source, n)
+
+
+def test_schedule_of_a_long_tail_has_every_rank_at_its_own_slot(spark):
+    sized = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(long_tail().items())], "doc_id long, source string, size long")
+    sources = mixing.targets(sized)
+    slots = mixing.schedule(sources).collect()
+    assert len({s.slot for s in slots}) == len(slots) and min(s.words for s in slots) > 0
+    by_source = {}
+    for s in slots:
+        by_source.setdefault(s.sid, []).append(s)
+    for r in sources.collect():
+        own = by_source[r.sid]
+        assert sorted(s.rank for s in own) == list(range(len(own)))
+        assert sum(s.words for s in own) == int(r.target)
+    odd = sorted(s.slot for s in slots if s.slot % 2)
+    last = max(s.slot for s in slots)  # late ranks are spread over the mix, not put at its end
+    assert odd and all(abs(sum(s < last * q for s in odd) - q * len(odd)) <= 0.05 * len(odd) + 2 for q in (0.25, 0.5, 0.75))
+
+
 def test_mix_takes_the_scheduled_words_once(documents):
     sized = mixing.with_sizes(documents(mixture(3)))
     sources = mixing.targets(sized)
