@@ -1,11 +1,11 @@
-"""Substring dedup by relative Lempel-Ziv parsing against indexed reference blocks.
+"""Substring dedup by window hashes, in the place of relative Lempel-Ziv parsing.
 
 The reference is the corpus itself, cut into passages, and each partition of anchors is an
 indexed reference block: a passage is sent to the one block which can hold its windows, so it is
-parsed against every block that matters. Inside a block passages are parsed in the order of the
-documents against the phrases before them: a factor goes on greedily while its windows follow
-each other in the reference, and where it ends the windows across the boundary are looked up
-again. Factors of at least ``WINDOW`` words are duplicate spans.
+matched against every block that matters. Inside a block windows are taken in the order of the
+documents, and a window is a duplicate if an equal 64 bit hash came before it. No factor is
+extended greedily, and no factor's length or boundary is looked at. Equal passages and crowded
+anchors are resolved by hashes as well (``passages``).
 
 Words are runs without ASCII white space. Defined results: a null text has no words and an empty
 remainder; a text shorter than a window keeps all its words; rows with equal ids are documents of
