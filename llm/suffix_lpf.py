@@ -1,11 +1,12 @@
-"""Suffix-array dedup by longest-previous-factor arrays, over the bytes of the texts.
-
-Passages which share an anchor are concatenated in the order of the documents and a suffix array
-is built over the places where a whole window fits, by ranks of prefixes whose length triples.
-Suffixes are compared on the first ``WINDOW`` bytes and then by place, so the longest previous
-factor of a place reaches the window exactly if its neighbour in suffix order has a smaller place
-and an equal prefix; the mirrored array says the same of a larger place. Later copies are
-removed, and with ``first_too`` the first one as well.
+"""Window dedup by prefix ranks, in the place of longest-previous-factor arrays, over the bytes of the texts.
+
+Passages which share an anchor are concatenated in the order of the documents, and the places where
+a whole window fits are sorted by their first ``WINDOW`` bytes, by ranks of prefixes whose length
+triples, and then by place. Whether the longest previous factor reaches the window is whether the
+neighbour in this order has a smaller place and an equal rank; a larger place says the same of the
+longest next factor. Lengths of factors, and the previous and next smaller positions of a suffix
+array, are not computed. Equal passages and crowded anchors are resolved by hashes (``passages``).
+Later copies are removed, and with ``first_too`` the first one as well.
 
 Defined results: a null text is empty; a text shorter than a window keeps all its bytes; rows with
 equal ids are documents of their own in the order of their texts; matches never cross documents;
