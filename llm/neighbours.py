@@ -9,9 +9,13 @@
 3. In each shard all nodes are searched for: greedily with a beam from the shard's medoid and the
    query's own list, then by range expansion, which follows the lists of whatever is in range.
 4. What is in range is verified in double precision. Pairs are counted in their first common
-   shard only, so that only counts and spanning forests leave a task, never all pairs of a group.
-5. An audit compares a bounded sample of nodes with all others by brute force; while its recall
-   is below ``RECALL``, all is repeated with more overlap and a wider beam.
+   shard only, so that only counts and spanning forests leave a task, never all pairs of a group;
+   forests are of all pairs found. So a pair which only a later common shard finds joins its
+   components, but is missing in ``n_links``; the audit sees it as missing.
+5. An audit compares bounded samples, of all nodes and of those with links, with all others by
+   brute force, and counts distinct pairs; while its recall is below ``RECALL``, all is repeated
+   with more overlap and a wider beam. If every shard holds every node and the recall is still
+   missed, blocks of nodes are compared exactly.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components link with
 nothing; vectors of another length than most link with those of their own length only; rows with
@@ -308,16 +312,21 @@ def in_range(vectors: np.ndarray, offsets: np.ndarray, neighbours: np.ndarray, q
     return np.nonzero(similar >= SIMILAR - 1e-3)
 
 
-def verified(part: Part, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of positions in a part, both ways, which are to be counted here."""
+def verified(part: Part, beam: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Linked pairs of positions in a part, and which of them are to be counted here. Without a
+    ``beam`` all nodes are compared."""
     n = len(part.node)
     vectors = part.exact.astype(np.float32)
-    offsets, neighbours = local(part)
-    medoid = int((vectors @ vectors.mean(axis=0)).argmax())
+    if beam is not None:
+        offsets, neighbours = local(part)
+        medoid = int((vectors @ vectors.mean(axis=0)).argmax())
     found = [np.zeros(0, dtype=np.int64)]
     for low in range(0, n, _QUERIES):
         queries = np.arange(low, min(low + _QUERIES, n))
-        query, node = in_range(vectors, offsets, neighbours, queries, medoid, beam)
+        if beam is None:
+            query, node = np.nonzero(vectors[queries] @ vectors.T >= SIMILAR - 1e-3)
+        else:
+            query, node = in_range(vectors, offsets, neighbours, queries, medoid, beam)
         query = queries[query]
         other = query != node
         found.append(np.minimum(query, node)[other] * n + np.maximum(query, node)[other])
@@ -333,36 +342,41 @@ def verified(part: Part, beam: int) -> tuple[np.ndarray, np.ndarray]:
     here = first == part.shard
     if part.pair:
         here &= part.own[a] != part.own[b]
-    return a[here], b[here]
+    return a, b, here
 
 
-def searched(member: DataFrame, lists: DataFrame, beam: int) -> DataFrame:
-    """``a, b, n``: counts of links found (``b`` null, one row per node and part), and forests of
-    the links (``n`` null)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+def searched(member: DataFrame, beam: int | None) -> DataFrame:
+    """``a, b, n, pairs``: counts of links found, with copies and without (``b`` null, one row per
+    node and part), and forests of the links (``n, pairs`` null)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("pairs", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
-            a, b = verified(part, beam)
+            a, b, here = verified(part, beam)
             if len(a):
                 n = len(part.node)
+                left, right = forest(part.node[a], part.node[b])
+                a, b = a[here], b[here]
                 weight = part.copies.astype(np.float64)
                 links = np.bincount(a, weight[b], n) + np.bincount(b, weight[a], n)
-                some = np.flatnonzero(links)
-                left, right = forest(part.node[a], part.node[b])
-                yield pa.RecordBatch.from_arrays([pa.array(part.node[some]), pa.nulls(len(some), pa.int64()), pa.array(links[some].astype(np.int64))], schema=schema)
-                yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.nulls(len(left), pa.int64())], schema=schema)
+                pairs = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+                some = np.flatnonzero(pairs)
+                none = pa.nulls(len(left), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(part.node[some]), pa.nulls(len(some), pa.int64()), pa.array(links[some].astype(np.int64)), pa.array(pairs[some])], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), none, none], schema=schema)
 
-    return streamed(dealt(member.join(lists, "node")), run, "a long, b long, n long")
+    return streamed(dealt(member), run, "a long, b long, n long, pairs long")
 
 
 def recall(found: DataFrame, counts: DataFrame, sample: int = AUDIT) -> float:
-    """Links found of those a brute-force comparison of ``sample`` nodes with all others finds.
+    """Distinct pairs found of those a brute-force comparison of nodes with all others finds.
 
-    ``counts`` has ``node, n`` (links of the node, copies of others counted); the sample, a few
-    hundred vectors chosen by a hash, is broadcast, and each task adds up what it sees.
+    ``counts`` has ``node, pairs``. ``sample`` of all nodes, which may have no link, and as many of
+    those with links are chosen by a hash and broadcast, and each task adds up what it sees.
     """
-    chosen = hashed_sample(found, "h2", sample, "node").select("node", "embedding").toArrow()
+    linked = found.join(counts.select("node"), "node", "left_semi")
+    either = [hashed_sample(df, "h2", sample, "node").select("node", "embedding") for df in (found, linked)]
+    chosen = either[0].unionByName(either[1]).dropDuplicates(["node"]).toArrow()
     ids = chosen.column(0).to_numpy()
     queries = unit(matrix(chosen.column(1).combine_chunks()))
     shared = found.sparkSession.sparkContext.broadcast((ids, queries))
@@ -370,34 +384,40 @@ def recall(found: DataFrame, counts: DataFrame, sample: int = AUDIT) -> float:
     def run(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids_, queries_ = shared.value
         near = (unit(matrix(rows.column(2))) @ queries_.T >= SIMILAR) & (rows.column(0).to_numpy()[:, None] != ids_[None, :])
-        links = rows.column(1).to_numpy() @ near
-        yield pa.RecordBatch.from_arrays([pa.array(ids_), pa.array(links)], names=["node", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids_), pa.array(near.sum(axis=0))], names=["node", "n"])
 
     truth = per_batch(found.select("node", "copies", "embedding"), run, "node long, n long").groupBy("node").agg(F.sum("n").alias("truth"))
     true, seen = (
-        truth.join(counts, "node", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("n", F.lit(0))))).first()
+        truth.join(counts, "node", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("pairs", F.lit(0))))).first()
     )
     return 1.0 if not true else seen / true
 
 
 class Links(NamedTuple):
-    counts: DataFrame  # node, n
+    counts: DataFrame  # node, n, pairs
     forest: DataFrame  # a, b
     recall: float
 
 
 def links(found: DataFrame, settings: Settings = Settings()) -> Links:
     """Links of the nodes of one width, with the recall of the audit; it is repeated with wider
-    settings until that is reached or every shard holds every node."""
+    settings until that is reached. If every shard holds every node already, one shard is left,
+    whose blocks are compared exactly."""
     n = total(found)
     middle = fitted(found, n)
+
+    def result(found_links: DataFrame) -> Links:
+        results = written(found_links, "links")
+        counts = results.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs"))
+        return Links(counts, results.filter("b IS NOT NULL").select("a", "b"), recall(found, counts))
+
     while True:
         member = written(members(assigned(found, middle, settings.overlap)), "members")
-        results = written(searched(member, graph(member), settings.beam), "links")
-        counts = results.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
-        reached = recall(found, counts)
-        if reached >= RECALL or settings.overlap >= len(middle):
-            return Links(counts, results.filter("b IS NOT NULL").select("a", "b"), reached)
+        reached = result(searched(member.join(graph(member), "node"), settings.beam))
+        if reached.recall >= RECALL:
+            return reached
+        if settings.overlap >= len(middle):
+            return result(searched(members(assigned(found, middle[:1], 1)), None))
         settings = settings.wider()
 
 
@@ -413,7 +433,7 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     counts = reduce(DataFrame.unionByName, (x.counts for x in found))
     joined = components(reduce(DataFrame.unionByName, (x.forest for x in found)))
-    per_node = every.join(counts, "node", "left").join(joined, "node", "left").select(
+    per_node = every.join(counts.select("node", "n"), "node", "left").join(joined, "node", "left").select(
         *IDENTITY, (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component")
     )
     linked = with_identity(good).join(per_node, IDENTITY).select(F.col("vec_id").alias("key"), "n_links", "component")

@@ -59,6 +59,27 @@ def test_neighbours_against_brute_force(spark, monkeypatch, shard, most):
         assert found == expected
 
 
+def test_neighbours_are_compared_exactly_where_the_search_misses(spark, monkeypatch):
+    """A graph without edges finds nothing, and few nodes leave no overlap to widen."""
+    monkeypatch.setattr(neighbours, "graph", lambda member: member.select("node").distinct().selectExpr("node", "array(node) AS lists"))
+    rows = list(enumerate(vectors_of(5)))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for most in (16_384, 100):
+        monkeypatch.setattr(neighbours, "MOST", most)
+        found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in neighbours.near_duplicates(df).collect()}
+        assert found == expected_links(rows)
+
+
+def test_audit_counts_distinct_pairs(spark):
+    """A vector with most copies does not decide the recall alone."""
+    rng = np.random.default_rng(1)
+    pairs = [[v, v * 1.001 + 1e-3] for v in rng.normal(size=(50, 24))]
+    rows = [(2 * i + j, 10_000 if i == 0 else 1, v.tolist()) for i, pair in enumerate(pairs) for j, v in enumerate(pair)]
+    found = neighbours.with_identity(spark.createDataFrame(rows, "node long, copies long, embedding array<double>"))
+    counts = spark.createDataFrame([(0, 10_000, 1), (1, 10_000, 1)], "node long, n long, pairs long")
+    assert neighbours.recall(found, counts) == pytest.approx(2 / 100)
+
+
 def test_neighbours_edges(spark):
     kinds = "vec_id long, embedding array<float>, node string, copies int"
     assert neighbours.near_duplicates(spark.createDataFrame([], kinds)).count() == 0
