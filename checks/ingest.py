@@ -11,10 +11,14 @@ from checks.inputs import RAW, Inputs
 from checks.registry import query
 from lakestrata.functions.dates import dataset_of_file
 from lakestrata.operators import quality
-from lakestrata.session import in_parallel, materialise, new_shared_path
+from lakestrata.plans.run import QUARANTINED
+from lakestrata.schemas import DATASETS
+from lakestrata.session import in_parallel, materialise, new_shared_path, remove
 from lakestrata.sources import drops
 from lakestrata.sources.layers import as_records, read_layer, write_layer
 
+#: Datasets with line breaks inside cells.
+_LINE_BREAKS = {"gbp_reviews"}
 _ALL_FILES = " UNION ALL ".join(f"SELECT source_file FROM raw_{d}" for d in RAW)
 
 
@@ -140,21 +144,39 @@ def parquet_roundtrip(inputs: Inputs) -> DataFrame:
     ),
 )
 def layer_reconciliation(inputs: Inputs) -> DataFrame:
-    """Raw rows and columns of every dataset against what its stored layer holds."""
+    """Raw rows and columns of every dataset, written as text extracts, against the good rows and
+    the columns bronze holds after ingesting those."""
     spark = inputs.spark
-    stored = dict(zip(RAW, in_parallel(*[partial(materialise, inputs.raw(d), d) for d in RAW])))
+    path = new_shared_path(spark, "reconciliation")
+    batch_id, now = drops.new_batch()
+
+    def ingest(dataset: str) -> DataFrame:
+        extracts, layer = f"{path}/raw/{dataset}", f"{path}/bronze/{dataset}"
+        _write_csv(inputs.raw(dataset).select(*DATASETS[dataset]), extracts)
+        rows = drops.read_dataset(spark, dataset, _files(inputs, extracts), extracts, batch_id, now, dataset in _LINE_BREAKS)
+        write_layer(rows.withColumn(QUARANTINED, F.col(drops.CORRUPT).isNotNull().cast("int")), layer, [QUARANTINED])
+        return read_layer(spark, layer)
+
+    stored = dict(zip(RAW, in_parallel(*[partial(ingest, d) for d in RAW])))
     raw_rows = [inputs.raw(d).agg(F.lit(d).alias("dataset"), F.count("*").alias("raw_rows")) for d in RAW]
-    kept_rows = [df.agg(F.lit(d).alias("dataset"), F.count("*").alias("stored_rows")) for d, df in stored.items()]
+    kept_rows = [
+        df.filter(F.col(QUARANTINED) == 0).agg(F.lit(d).alias("dataset"), F.count("*").alias("stored_rows"))
+        for d, df in stored.items()
+    ]
     rows = quality.reconcile_counts(
         reduce(DataFrame.unionByName, raw_rows), reduce(DataFrame.unionByName, kept_rows)
     )
 
     def names(frames) -> DataFrame:
-        pairs = [(d, c) for d, df in frames for c in df.columns]
+        pairs = [(d, c) for d, columns in frames for c in columns]
         return spark.createDataFrame(pairs, "dataset string, column string")
 
-    columns = quality.reconcile_columns(names((d, inputs.raw(d)) for d in RAW), names(stored.items()))
-    return rows.join(columns, "dataset", "left")
+    columns = quality.reconcile_columns(
+        names((d, DATASETS[d]) for d in RAW), names((d, df.columns) for d, df in stored.items())
+    )
+    report = materialise(rows.join(columns, "dataset", "left"), "reconciliation_report")
+    remove(spark, path)
+    return report
 
 
 @query(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks.inputs import Inputs
+from lakestrata.sources import drops
 
 FOLDER = entry.SMOKE_FOLDER
 
@@ -32,3 +33,20 @@ def test_a_trailing_window_averages_several_snapshots(spark):
     settled = [r.average_active for r in rows if "1996" <= r.report_date < "2001"]
     assert settled and None not in settled
     assert any(average % 1 for average in settled)
+
+
+def test_reconciliation_sees_what_the_reader_loses(spark, monkeypatch):
+    read = drops.read_dataset
+
+    def losing(spark, dataset, *rest):
+        rows = read(spark, dataset, *rest)
+        if dataset == "pcc_incidents":
+            return rows.filter("severity <> '1'")
+        if dataset == "adp_shifts":
+            return rows.withColumn(drops.CORRUPT, F.when(F.col("role") == "CNA", "too,long"))
+        return rows.drop("mobility_status") if dataset == "pcc_residents" else rows
+
+    monkeypatch.setattr(drops, "read_dataset", losing)
+    found = {r.dataset: r for r in entry.queries()["layer_reconciliation"](spark, FOLDER).collect()}
+    assert {d for d, r in found.items() if r.row_check == "FAIL"} == {"pcc_incidents", "adp_shifts"}
+    assert {d for d, r in found.items() if r.column_check == "FAIL"} == {"pcc_residents"}
