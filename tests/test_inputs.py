@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from checks.inputs import Inputs
+from checks.inputs import RAW, Inputs
 from lakestrata.sources import drops
 
 FOLDER = entry.SMOKE_FOLDER
@@ -50,3 +50,10 @@ def test_reconciliation_sees_what_the_reader_loses(spark, monkeypatch):
     found = {r.dataset: r for r in entry.queries()["layer_reconciliation"](spark, FOLDER).collect()}
     assert {d for d, r in found.items() if r.row_check == "FAIL"} == {"pcc_incidents", "adp_shifts"}
     assert {d for d, r in found.items() if r.column_check == "FAIL"} == {"pcc_residents"}
+
+
+@pytest.mark.parametrize("dataset", RAW)
+def test_extracts_are_not_dealt_by_file(spark, dataset):
+    """A month with most of the rows must not be one task's."""
+    plan = Inputs(spark, FOLDER).raw(dataset)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
