@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import decontamination, language, minhash, mixing, neighbours, quality, relative_lz, secrets, suffix_lpf, warc
+from llm import decontamination, language, minhash, mixing, neighbours, quality, relative_lz, secrets, suffix_lpf, token_counts, warc
 
 QUERIES = {
     "op1_relative_lempel_ziv": relative_lz.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_min_max_hashing": minhash.query,
     "op9_secret_scan": secrets.query,
     "op10_warc_transactions": warc.captures,
+    "op11_token_counts": token_counts.query,
 }
 
 ORACLES = {
