@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import decontamination, language, merkle, minhash, mixing, neighbours, quality, relative_lz, secrets, suffix_lpf, token_counts, warc
+from llm import decontamination, language, merkle, minhash, mixing, neighbours, prefix_trie, quality, relative_lz, secrets, suffix_lpf, token_counts, warc
 
 QUERIES = {
     "op1_relative_lempel_ziv": relative_lz.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_secret_scan": secrets.query,
     "op10_warc_transactions": warc.captures,
     "op11_token_counts": token_counts.query,
+    "op12_prefix_trie": prefix_trie.query,
     "op13_merkle_manifest": merkle.query,
 }
 
@@ -26,5 +27,6 @@ ORACLES = {
     "op6_benchmark_decontamination": decontamination.SQL,
     "op8_min_max_hashing": minhash.SQL,
     "op10_warc_transactions": warc.CAPTURES_SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }
