@@ -92,7 +92,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 _scopes: list[list[str]] = []
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """The Hadoop path of ``path`` and the file system it lies in."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -100,7 +100,7 @@ def _file_system(spark: SparkSession, path: str):
 
 def _own(spark: SparkSession, path: str) -> None:
     # Made before it is written, so that it is also removed if the write fails half way.
-    target, system = _file_system(spark, path)
+    target, system = file_system(spark, path)
     system.mkdirs(target)
     system.deleteOnExit(target)
     for scope in _scopes[-1:]:
@@ -109,7 +109,7 @@ def _own(spark: SparkSession, path: str) -> None:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table made by ``materialise`` which nothing will read again."""
-    target, system = _file_system(spark, path)
+    target, system = file_system(spark, path)
     system.delete(target, True)
 
 

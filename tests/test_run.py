@@ -9,7 +9,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.plans import analysis, measures, run
+from lakestrata.plans import analysis, measures, months, run
 from lakestrata.schemas import DATASETS
 from lakestrata.sources import drops, layers
 
@@ -119,8 +119,13 @@ def out(spark, tmp_path_factory):
 
 
 def gold(spark, out, name):
-    kind = "dim" if name.startswith("dim") else "fact"
-    return spark.read.parquet(f"{out[0]}/gold/{kind}/{name}")
+    return stored(spark, out[0], name)
+
+
+def stored(spark, folder, name):
+    if name.startswith("dim"):
+        return layers.read_layer(spark, f"{folder}/gold/dim/{name}")
+    return months.read_fact(spark, f"{folder}/gold/fact/{name}", name)
 
 
 def test_reports(spark, out):
@@ -217,8 +222,8 @@ def test_calendar_bounds_of_a_run(spark, tmp_path):
     raw.mkdir()
     extracts(raw)
     reports = run.run(spark, str(raw), str(tmp_path / "out"), first="2025-01-01", last="2025-12-31")
-    assert spark.read.parquet(f"{tmp_path}/out/gold/dim/dim_date").count() == 365
-    assert spark.read.parquet(f"{tmp_path}/out/reports/rules").count() == reports["rules"].count()
+    assert layers.read_layer(spark, f"{tmp_path}/out/gold/dim/dim_date").count() == 365
+    assert layers.read_layer(spark, f"{tmp_path}/out/reports/rules").count() == reports["rules"].count()
 
 
 def test_names_spark_would_not_read_are_refused(spark, tmp_path):
@@ -244,8 +249,7 @@ def test_a_second_run_gives_the_same_gold(spark, out, tmp_path):
     extracts(raw)
     run.run(spark, str(raw), str(tmp_path / "out"))
     for name in ("fact_leases", "fact_residents", "dim_residents"):
-        kind = "dim" if name.startswith("dim") else "fact"
-        again = spark.read.parquet(f"{tmp_path}/out/gold/{kind}/{name}")
+        again = stored(spark, str(tmp_path / "out"), name)
         assert sorted(map(repr, again.collect())) == sorted(map(repr, gold(spark, out, name).collect()))
 
 
