@@ -10,8 +10,10 @@ from checks.inputs import RAW, Inputs
 from checks.registry import day, query, real
 from lakestrata.operators import joins, windows
 from lakestrata.operators.dedupe import first_by_key
-from lakestrata.operators.keys import surrogate_keys, union_distinct
-from lakestrata.plans import analysis
+from lakestrata.operators.keys import kept_keys, surrogate_keys, union_distinct
+from lakestrata.plans import analysis, months
+from lakestrata.session import materialise, new_shared_path
+from lakestrata.sources import layers
 
 YEAR = ("1998-01-01", "1999-01-01")
 
@@ -61,6 +63,34 @@ def surrogate_key_query(inputs: Inputs) -> DataFrame:
     return surrogate_keys(members, "resident_id", "resident_key")
 
 
+@query(
+    "surrogate_keys_kept",
+    """WITH dated AS (SELECT resident_id, incident_date FROM clean_pcc_incidents),
+            cut AS (SELECT min(incident_date) + CAST((max(incident_date) - min(incident_date)) // 2 AS INTEGER) AS day FROM dated),
+            early AS (SELECT DISTINCT resident_id FROM dated, cut WHERE incident_date < day),
+            late AS (SELECT DISTINCT resident_id FROM dated, cut WHERE incident_date >= day OR incident_date IS NULL),
+            numbered AS (SELECT resident_id, row_number() OVER (ORDER BY resident_id) AS key FROM early WHERE resident_id IS NOT NULL),
+            added AS (SELECT resident_id, row_number() OVER (ORDER BY resident_id) + (SELECT max(key) FROM numbered) AS key
+                      FROM late WHERE resident_id IS NOT NULL AND resident_id NOT IN (SELECT resident_id FROM numbered)),
+            every AS (SELECT * FROM numbered UNION ALL SELECT * FROM added
+                      UNION ALL SELECT DISTINCT CAST(NULL AS VARCHAR), 0 FROM dated WHERE resident_id IS NULL)
+       SELECT resident_id, key AS resident_key, EXISTS (SELECT 1 FROM late l WHERE l.resident_id IS NOT DISTINCT FROM e.resident_id) AS is_current
+       FROM every e""",
+)
+def surrogate_keys_kept(inputs: Inputs) -> DataFrame:
+    """Residents of the incidents of the first half, numbered; then those of the second half: some
+    ids stay, some are new and some are gone."""
+    dated = inputs.clean("pcc_incidents", "resident_id", "incident_date")
+    half = F.expr("CAST(datediff(max(incident_date), min(incident_date)) div 2 AS INT)")
+    cut = dated.agg(F.date_add(F.min("incident_date"), half)).scalar()
+    early = dated.filter(F.col("incident_date") < cut).select("resident_id").distinct()
+    late = dated.filter((F.col("incident_date") >= cut) | F.col("incident_date").isNull()).select("resident_id").distinct()
+    late = materialise(late.withColumn("is_current", F.lit(True)), "late_residents")
+    known = materialise(surrogate_keys(early, "resident_id", "resident_key"), "known_residents")
+    stored = known.withColumn("is_current", F.lit(False))
+    return kept_keys(late, "resident_id", "resident_key", stored).select("resident_id", "resident_key", "is_current")
+
+
 @query("dim_community", "SELECT community_id, community_key FROM dim_community")
 def dim_community(inputs: Inputs) -> DataFrame:
     return inputs.dim("dim_community")
@@ -243,3 +273,40 @@ def incident_rate(inputs: Inputs) -> DataFrame:
     return analysis.incident_rate(
         *inputs.stored_facts("fact_incidents", "fact_residents"), inputs.dim("dim_community")
     )
+
+
+@query(
+    "fact_month_partitions",
+    """WITH dated AS (SELECT CAST(date_trunc('month', incident_date) AS DATE) AS month, severity FROM fact_incidents),
+            newest AS (SELECT max(month) AS last FROM dated)
+       SELECT CAST(month AS VARCHAR) AS month, count(*) AS row_count,
+              CAST(sum(severity + CASE WHEN month = last THEN 1 ELSE 0 END) AS BIGINT) AS severities,
+              coalesce(month = last, false) AS was_rewritten,
+              coalesce(month > last - INTERVAL 3 MONTH, false) AS read_for_quarter
+       FROM dated, newest GROUP BY month, last""",
+)
+def fact_month_partitions(inputs: Inputs) -> DataFrame:
+    """Incidents filed by month; the last month is delivered again with other severities, and the
+    quarter up to it is read. Which partitions that wrote and read comes from their files."""
+    spark = inputs.spark
+    path = new_shared_path(spark, "fact_by_month")
+    months.write_fact(inputs.fact("fact_incidents"), "fact_incidents", path)
+    before = layers.current(spark, path).folders
+    dated = [layers.partition_values(p)[months.MONTH] for p in before]
+    last = max(m for m in dated if m is not None)
+    end = str(spark.range(1).select(F.last_day(F.lit(last).cast("date"))).first()[0])
+    again = months.read_fact(spark, path, "fact_incidents", last, end)
+    months.write_fact(again.withColumn("severity", (F.col("severity") + 1).cast("smallint")), "fact_incidents", path, [last])
+    after = layers.current(spark, path).folders
+
+    begin = str(spark.range(1).select(F.add_months(F.lit(last).cast("date"), -2)).first()[0])
+    quarter = set(months.read_fact(spark, path, "fact_incidents", begin, end).inputFiles())
+    seen = [
+        (layers.partition_values(p)[months.MONTH], folder != before[p], any(f"/{folder}/" in file for file in quarter))
+        for p, folder in after.items()
+    ]
+    partitions = spark.createDataFrame(seen, "month string, was_rewritten boolean, read_for_quarter boolean")
+    rows = months.read_fact(spark, path, "fact_incidents").groupBy(F.trunc("incident_date", "MM").cast("string").alias("month")).agg(
+        F.count("*").alias("row_count"), F.sum("severity").cast("long").alias("severities")
+    )
+    return joins.null_safe_join(rows, partitions, ["month"], "left")

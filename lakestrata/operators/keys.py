@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakestrata.operators.joins import null_safe_join
 from lakestrata.session import materialise
 
 _PARTITION_SHIFT = 33  # monotonically_increasing_id: partition above, position below this bit
@@ -48,3 +49,26 @@ def surrogate_keys(members: DataFrame, id_column: str, key_column: str) -> DataF
         .withColumn(key_column, F.col("_offset") + position)
         .select(*members.columns, key_column)
     )
+
+
+def kept_keys(members: DataFrame, id_column: str, key_column: str, known: DataFrame | None) -> DataFrame:
+    """Keys that stay from run to run: ids of ``known`` (the stored dimension) keep theirs, new ids
+    are numbered after the largest in id order, a NULL id has key 0.
+
+    Ids which no longer occur keep their row as it was stored, for older facts refer to it; a known
+    id takes the attributes of ``members``. Without ``known`` all ids are new.
+    """
+    if known is None:
+        return surrogate_keys(members, id_column, key_column)
+    members = materialise(members, f"{key_column}_members")
+    looked_up = null_safe_join(members, known.select(id_column, key_column), [id_column], "left")
+    new = surrogate_keys(looked_up.filter(F.col(key_column).isNull()).drop(key_column), id_column, key_column)
+    largest = known.agg(F.coalesce(F.max(key_column), F.lit(0))).scalar()
+    after = F.when(F.col(id_column).isNotNull(), F.col(key_column) + largest).otherwise(F.lit(0)).cast("long")
+    still = members.select(id_column).distinct().alias("m")
+    gone = known.alias("k").join(still, F.col(f"k.{id_column}").eqNullSafe(F.col(f"m.{id_column}")), "left_anti")
+    return (
+        looked_up.filter(F.col(key_column).isNotNull())
+        .unionByName(new.withColumn(key_column, after))
+        .unionByName(gone.select(*looked_up.columns))
+    )

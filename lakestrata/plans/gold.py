@@ -1,4 +1,7 @@
-"""Gold: dimensions with surrogate keys and facts by key lookup."""
+"""Gold: dimensions with surrogate keys and facts by key lookup.
+
+A dimension takes its stored version as ``known``: ids in it keep their keys.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators.calendar import calendar
 from lakestrata.operators.dedupe import first_by_key
 from lakestrata.operators.joins import lookup_key
-from lakestrata.operators.keys import surrogate_keys, union_distinct
+from lakestrata.operators.keys import kept_keys, union_distinct
 from lakestrata.schemas import CALENDAR, FACTS
 
 # The standard care levels.
@@ -33,26 +36,26 @@ FACT_SOURCES = {
 }
 
 
-def dim_community(silver_tables: Iterable[DataFrame]) -> DataFrame:
+def dim_community(silver_tables: Iterable[DataFrame], known: DataFrame | None = None) -> DataFrame:
     with_id = [df for df in silver_tables if "community_id" in df.columns]
     members = union_distinct(with_id, "community_id")
-    return surrogate_keys(members, "community_id", "community_key")
+    return kept_keys(members, "community_id", "community_key", known)
 
 
-def dim_employee(shifts: DataFrame) -> DataFrame:
+def dim_employee(shifts: DataFrame, known: DataFrame | None = None) -> DataFrame:
     members = first_by_key(shifts, ["employee_id"], ["role"])
-    return surrogate_keys(members, "employee_id", "employee_key")
+    return kept_keys(members, "employee_id", "employee_key", known)
 
 
-def dim_residents(residents: DataFrame) -> DataFrame:
+def dim_residents(residents: DataFrame, known: DataFrame | None = None) -> DataFrame:
     attributes = ["first_name", "last_name", "dob", "gender"]
     members = first_by_key(residents, ["resident_id"], attributes)
-    return surrogate_keys(members, "resident_id", "resident_key")
+    return kept_keys(members, "resident_id", "resident_key", known)
 
 
-def dim_unit(units: DataFrame) -> DataFrame:
+def dim_unit(units: DataFrame, known: DataFrame | None = None) -> DataFrame:
     members = first_by_key(units, ["unit_id"], ["unit_type"])
-    return surrogate_keys(members, "unit_id", "unit_key")
+    return kept_keys(members, "unit_id", "unit_key", known)
 
 
 def dim_date(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:

@@ -17,7 +17,7 @@ from lakestrata.plans import gold, months
 from lakestrata.plans.silver import SPECS, cleansing_counters, silver
 from lakestrata.schemas import DIMENSIONS, FACTS, METADATA, ROW_ORDINAL, Table
 from lakestrata.session import in_parallel, materialise, scratch, tune
-from lakestrata.sources import drops
+from lakestrata.sources import drops, records
 from lakestrata.sources.layers import read_if_written, read_layer, write_layer
 
 #: Of the rows of a dataset, which were read well (0) and which have too many cells (1).
@@ -28,18 +28,18 @@ def run_bronze(spark: SparkSession, raw: str, out: str, multiline: bool = False)
     """Write every dataset as text with lineage, parsed once; rows with too many cells are kept
     apart. Returns the reconciliation of extracts and bronze; a FAIL stops nothing.
 
-    The rows of an extract are its lines, which are counted without the parser; only extracts
-    with line breaks inside cells are counted by parsing them.
+    The rows of an extract are its lines, or with ``multiline`` its records, which are counted
+    without the parser.
     """
     batch_id, now = drops.new_batch()
     counts, columns, stored = [], [], []
     for dataset, paths in drops.discover(spark, raw).items():
-        extracts = drops.read_headers(spark, paths)
-        rows = drops.read_dataset(spark, dataset, paths, raw, batch_id, now, multiline, extracts)
+        states = records.block_states(spark, paths) if multiline else None
+        extracts = drops.read_headers(spark, paths, states)
+        rows = drops.read_dataset(spark, dataset, paths, raw, batch_id, now, multiline, extracts, states)
         bad = F.col(drops.CORRUPT).isNotNull().cast("int")
         write_layer(rows.withColumn(QUARANTINED, bad), f"{out}/bronze/{dataset}", [QUARANTINED])
-        n = sum(x.rows for x in extracts.values()) if not multiline else rows.count()
-        counts.append((dataset, n))
+        counts.append((dataset, sum(x.rows for x in extracts.values())))
         columns += {(dataset, c) for x in extracts.values() for c in x.header}
         stored.append(dataset)
     if not stored:
@@ -89,20 +89,25 @@ def run_gold(
     spark: SparkSession, out: str, first: str = gold.CALENDAR[0], last: str = gold.CALENDAR[1]
 ) -> None:
     """Write the dimensions whose source exists, then the facts. The calendar has the days from
-    ``first`` to ``last``; dates of facts beyond it are reported by the rules."""
+    ``first`` to ``last``; dates of facts beyond it are reported by the rules. Ids which an earlier
+    run has numbered keep their keys."""
     found = {dataset: read_if_written(spark, f"{out}/silver/{dataset}") for dataset in SPECS}
     tables = {dataset: df for dataset, df in found.items() if df is not None}
+
+    def known(name: str) -> DataFrame | None:
+        return read_if_written(spark, f"{out}/gold/dim/{name}")
+
     builds = {
-        "dim_community": lambda: gold.dim_community(tables.values()),
+        "dim_community": lambda: gold.dim_community(tables.values(), known("dim_community")),
         "dim_date": lambda: gold.dim_date(spark, first, last),
         "dim_care_level": lambda: gold.dim_care_level(spark),
     }
     if "adp_shifts" in tables:
-        builds["dim_employee"] = lambda: gold.dim_employee(tables["adp_shifts"])
+        builds["dim_employee"] = lambda: gold.dim_employee(tables["adp_shifts"], known("dim_employee"))
     if "pcc_residents" in tables:
-        builds["dim_residents"] = lambda: gold.dim_residents(tables["pcc_residents"])
+        builds["dim_residents"] = lambda: gold.dim_residents(tables["pcc_residents"], known("dim_residents"))
     if "yardi_units" in tables:
-        builds["dim_unit"] = lambda: gold.dim_unit(tables["yardi_units"])
+        builds["dim_unit"] = lambda: gold.dim_unit(tables["yardi_units"], known("dim_unit"))
 
     def write_dim(name: str) -> DataFrame:
         write_layer(builds[name](), f"{out}/gold/dim/{name}")

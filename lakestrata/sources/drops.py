@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from lakestrata.functions.dates import DATASET_OF_STEM
 from lakestrata.schemas import METADATA, ROW_ORDINAL
+from lakestrata.sources import records
 
 CORRUPT = "_corrupt_record"
 
@@ -79,15 +80,20 @@ def survey(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 class Extract(NamedTuple):
-    """Column names of one file, and its rows if no cell has a line break."""
+    """Column names of one file, and its rows: lines, or records where cells have line breaks."""
 
     header: tuple[str, ...]
     rows: int
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, Extract]:
-    """What the survey found of each file; the driver holds a line per file."""
-    found = {unescaped(row.path): row for row in survey(spark, paths).collect()}
+def read_headers(spark: SparkSession, paths: Sequence[str], states: DataFrame | None = None) -> dict[str, Extract]:
+    """What the survey found of each file; the driver holds a line per file.
+
+    With the ``states`` of their blocks (``records.block_states``) rows are records, which line
+    breaks inside cells do not end.
+    """
+    counted = survey(spark, paths) if states is None else records.record_counts(states)
+    found = {unescaped(row.path): row for row in counted.collect()}
     extracts = {}
     for path in paths:
         row = found.get(plain(path))
@@ -109,34 +115,45 @@ def plain(path: str) -> str:
 
 
 def scan_text(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multiline: bool = False
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multiline: bool = False, states: DataFrame | None = None
 ) -> DataFrame:
     """All columns as text; an empty or missing cell is ``""``.
 
     Rows with too many cells land whole in ``_corrupt_record``. ``multiline`` allows line breaks
-    inside quotes, at the price of one task per file.
+    inside quotes; files are read in blocks by many tasks either way.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
-    scanned = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("multiLine", str(multiline).lower())
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(list(paths))
-    )
+    options = {
+        "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "multiLine": str(multiline).lower(),
+    }
+    names = [*columns, CORRUPT]
+    if multiline:
+        found = records.records(spark, paths, states)
+        # The first record of a file is its header.
+        body = found.filter((F.col("block") > 0) | (F.col("row") > 0))
+        layout = ", ".join(f"`{c}` string" for c in names)
+        cells = F.from_csv("text", layout, options).alias("cells")
+        scanned = body.select(cells, F.col("path").alias("_path"), F.struct("block", "row").alias(ROW_ORDINAL))
+        cell = {c: F.col("cells").getField(c) for c in names}
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        scanned = spark.read.schema(schema).option("header", "true").options(**options).csv(list(paths)).select(
+            *[f"`{c}`" for c in names],
+            F.col("_metadata.file_path").alias("_path"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias(ROW_ORDINAL),
+        )
+        cell = {c: F.col(f"`{c}`") for c in names}
     # A short row is marked corrupt as well, but it is a good row with empty last cells.
-    unquoted = F.regexp_replace(CORRUPT, '"[^"]*"', "")
+    corrupt = cell[CORRUPT]
+    unquoted = F.regexp_replace(corrupt, '"[^"]*"', "")
     too_long = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) >= len(columns)
     return scanned.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
-        F.when(too_long, F.col(CORRUPT)).alias(CORRUPT),
-        F.col("_metadata.file_path").alias("_path"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(ROW_ORDINAL),
+        *[F.coalesce(cell[c], F.lit("")).alias(c) for c in columns],
+        F.when(too_long, corrupt).alias(CORRUPT),
+        "_path",
+        ROW_ORDINAL,
     )
 
 
@@ -189,20 +206,23 @@ def read_dataset(
     ingestion_timestamp: str,
     multiline: bool = False,
     extracts: Mapping[str, Extract] | None = None,
+    states: DataFrame | None = None,
 ) -> DataFrame:
     """All files of a dataset by column name: raw columns first seen first, then metadata.
 
     Files are scanned together per distinct header. One scan over differing headers would take
     columns by position and put values under the wrong names.
     """
+    if multiline and states is None:
+        states = records.block_states(spark, paths)
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, extract in (extracts or read_headers(spark, paths)).items():
+    for path, extract in (extracts or read_headers(spark, paths, states)).items():
         by_header[extract.header].append(path)
     raw_columns = list(dict.fromkeys(c for header in by_header for c in header))
     check_columns(raw_columns)
 
     parts = [
-        scan_text(spark, files, header, multiline).withColumn("row_hash", row_hash(header))
+        scan_text(spark, files, header, multiline, states).withColumn("row_hash", row_hash(header))
         for header, files in by_header.items()
     ]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators import joins, quality, windows
 from lakestrata.operators.calendar import calendar
 from lakestrata.operators.dedupe import first_by_key, keep_first
-from lakestrata.operators.keys import surrogate_keys, union_distinct
+from lakestrata.operators.keys import kept_keys, surrogate_keys, union_distinct
 from lakestrata.operators.occupancy import covered_points
 
 DAY = date(2025, 1, 1)
@@ -243,3 +243,18 @@ def test_reconcile(spark):
     raw = spark.createDataFrame([("a",), ("a",), ("b",)], "dataset string")
     stored = spark.createDataFrame([("a",), ("a",), ("c",)], "dataset string")
     assert {r.dataset: r.row_check for r in quality.reconcile(raw, stored).collect()} == {"a": "PASS", "b": "FAIL", "c": "FAIL"}
+
+
+def test_keys_stay_when_members_come_and_go(spark):
+    def members(*found):
+        return spark.createDataFrame(found, "id string, role string").repartition(3)
+
+    first = kept_keys(members(("b", "x"), ("d", "y"), ("f", None)), "id", "key", None)
+    assert rows(first) == [("b", "x", 1), ("d", "y", 2), ("f", None, 3)]
+    second = kept_keys(members(("a", "n"), ("d", "changed"), ("z", "n"), (None, "nobody")), "id", "key", first)
+    expected = [(None, "nobody", 0), ("a", "n", 4), ("b", "x", 1), ("d", "changed", 2), ("f", None, 3), ("z", "n", 5)]
+    assert rows(second) == sorted(expected, key=repr)
+    # A null id that is known keeps key 0 and counts no further.
+    third = kept_keys(members(("c", "n"), (None, "again")), "id", "key", second)
+    assert {("c", "n", 6), (None, "again", 0), ("b", "x", 1)} <= set(rows(third)) and len(rows(third)) == 7
+    assert rows(kept_keys(members(("a", "n")).limit(0), "id", "key", first)) == rows(first)

@@ -253,6 +253,30 @@ def test_a_second_run_gives_the_same_gold(spark, out, tmp_path):
         assert sorted(map(repr, again.collect())) == sorted(map(repr, gold(spark, out, name).collect()))
 
 
+def test_keys_and_months_of_a_later_run(spark, tmp_path):
+    """A run into the same folder after an id came and one went, and one month delivered again."""
+    raw, folder = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    extracts(raw)
+    run.run(spark, str(raw), folder)
+    before = {r.resident_id: r.resident_key for r in stored(spark, folder, "dim_residents").collect()}
+    path = raw / "pcc_residents_2025_03.csv"
+    path.write_text(path.read_text().replace("R2", "R0"))
+    for month in ("01", "02"):
+        other = raw / f"pcc_residents_2025_{month}.csv"
+        other.write_text("".join(line for line in other.read_text().splitlines(True) if not line.startswith("R2")))
+    run.run(spark, str(raw), folder)
+    after = {r.resident_id: r.resident_key for r in stored(spark, folder, "dim_residents").collect()}
+    assert after == {**before, "R0": 4}
+    fact = f"{folder}/gold/fact/fact_residents"
+    folders = layers.current(spark, fact).folders
+    months.redeliver(spark, folder, "fact_residents", ["2025-02-01"])
+    again = layers.current(spark, fact).folders
+    assert {p for p in again if again[p] != folders[p]} == {"month=2025-02-01"}
+    february = months.read_fact(spark, fact, "fact_residents", "2025-02-01", "2025-02-28")
+    assert sorted(r.resident_key for r in february.collect()) == [1, 3]
+
+
 def test_publish(spark, out, tmp_path):
     fact = gold(spark, out, "fact_care_history")
     layers.publish(fact, "fact_care_history", "admin", str(tmp_path / "care"))
