@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.inputs import Inputs
 from checks.registry import query
+from lakestrata.operators.cube import distinct_cube, distinct_per, distinct_trailing
 from lakestrata.operators.windows import report_dates, rolling_distinct
 from lakestrata.plans import measures
+from lakestrata.session import materialise
 
 _QUARTER = "CAST(date_trunc('quarter', {d}) AS DATE)"
 
@@ -179,3 +183,46 @@ _ALL = _counts("silver_hubspot_leads", "lead_source", "lead_id", "created_date",
 )
 def m_conversion_rate(inputs: Inputs) -> DataFrame:
     return measures.lead_conversion(inputs.stored_silver("hubspot_leads")[0], inputs.dim("dim_date"), ["lead_source"])
+
+
+@query(
+    "m_occupied_units_daily",
+    """SELECT g.community_key, CAST(d.date AS VARCHAR) AS report_date, count(DISTINCT l.unit_key) AS occupied_units
+       FROM (SELECT DISTINCT community_key FROM fact_leases) g CROSS JOIN dim_date d
+       LEFT JOIN (SELECT DISTINCT community_key, unit_key, move_in_date, move_out_date FROM fact_leases) l
+         ON l.community_key IS NOT DISTINCT FROM g.community_key AND l.move_in_date <= d.date AND coalesce(l.move_out_date, DATE '9999-01-01') >= d.date
+       GROUP BY ALL""",
+)
+def m_occupied_units_daily(inputs: Inputs) -> DataFrame:
+    """Every day of the calendar."""
+    return measures.occupied_units(inputs.stored_fact("fact_leases"), inputs.dim("dim_date"), ["community_key"])
+
+
+_ACTIVE_ROWS = "(SELECT community_key, resident_key, last_date FROM fact_residents WHERE status = 'Active')"
+
+
+@query(
+    "m_distinct_cube",
+    " UNION ALL ".join(
+        f"""SELECT '{unit}' AS level, community_key, CAST(date_trunc('{unit}', last_date) AS DATE)::VARCHAR AS at, count(DISTINCT resident_key) AS active_residents
+            FROM {_ACTIVE_ROWS} GROUP BY ALL"""
+        for unit in ("month", "quarter", "year")
+    )
+    + f""" UNION ALL SELECT 'all communities', NULL, CAST(date_trunc('month', last_date) AS DATE)::VARCHAR, count(DISTINCT resident_key) FROM {_ACTIVE_ROWS} GROUP BY ALL
+           UNION ALL SELECT 'trailing', community_key, CAST(report_date AS VARCHAR), active FROM (
+           {_counts(_ACTIVE_ROWS, "community_key", "resident_key", "last_date", "active", "month_ends")})""",
+)
+def m_distinct_cube(inputs: Inputs) -> DataFrame:
+    """Active residents of every period and trailing window from one cube, one scan of the fact."""
+    active = inputs.fact("fact_residents").filter("status = 'Active'")
+    cube = materialise(distinct_cube(active, "resident_key", "last_date", ["community_key"]), "resident_cube")
+    counts = "active_residents"
+    parts = [
+        distinct_per(cube, ["community_key", F.trunc("day", unit).alias("at")], counts).withColumn("level", F.lit(unit))
+        for unit in ("month", "quarter", "year")
+    ]
+    whole = distinct_per(cube, [F.trunc("day", "month").alias("at")], counts)
+    parts.append(whole.withColumns({"level": F.lit("all communities"), "community_key": F.lit(None).cast("long")}))
+    trailing = distinct_trailing(cube, ["community_key"], report_dates(inputs.dim("dim_date"), "month"), counts)
+    parts.append(trailing.withColumnRenamed("report_date", "at").withColumn("level", F.lit("trailing")))
+    return reduce(DataFrame.unionByName, parts)

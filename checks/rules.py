@@ -11,6 +11,7 @@ from checks import oracle as o
 from checks.inputs import Inputs
 from checks.registry import query
 from lakestrata.operators import quality
+from lakestrata.plans.run import key_counts_of, rules_of
 from lakestrata.schemas import EXPECTED_COMMUNITIES, FACTS, LEAD_STATUSES
 from lakestrata.session import in_parallel, materialise
 
@@ -278,3 +279,43 @@ def dq_quarantine(inputs: Inputs) -> DataFrame:
     marked = quality.quarantine(inputs.clean("hubspot_leads"), broken)
     rules = F.array_join("broken_rules", "; ").alias("broken_rules")
     return marked.select("lead_id", "created_date", "deposit_date", "move_in_date", rules)
+
+
+def _rules_sql(table: str) -> str:
+    """The names of the rules a row ``f`` of a fact breaks, from its declaration."""
+    spec = FACTS[table]
+    rules = [(f"{c} is null", f"f.{c} IS NULL") for c in spec.required]
+    rules += [(f"{c} out of range", f"f.{c} < {low}") for c, low in spec.at_least]
+    rules += [(f"{c} out of range", f"f.{c} < {low} OR f.{c} > {high}") for c, low, high in spec.between]
+    rules += [(f"{c} not allowed", f"f.{c} NOT IN ({', '.join(repr(v) for v in allowed)})") for c, allowed in spec.one_of]
+    rules += [(f"{b} before {a}", f"f.{b} < f.{a}") for a, b in spec.date_order]
+    for key in spec.unique:
+        same = " AND ".join(f"{c} IS NOT NULL" for c in key)
+        names = ", ".join(key)
+        rules.append((f"unique ({names})", f"({', '.join(f'f.{c}' for c in key)}) IN (SELECT ({names}) FROM {table} WHERE {same} GROUP BY {names} HAVING count(*) > 1)"))
+    for column, dim, dim_column in spec.references:
+        rules.append((f"{column} in dimension", f"f.{column} IS NOT NULL AND f.{column} NOT IN (SELECT {dim_column} FROM {dim} WHERE {dim_column} IS NOT NULL)"))
+    return "concat_ws('; ', " + ", ".join(f"CASE WHEN {condition} THEN '{name}' END" for name, condition in rules) + ")"
+
+
+_SET_APART = {"fact_incidents": "incident_id", "fact_hubspot_leads": "lead_id"}
+
+
+@query(
+    "dq_quarantine_tables",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", {key} AS id, broken_rules, count(*) AS row_count
+            FROM (SELECT *, {_rules_sql(t)} AS broken_rules FROM {t} f) WHERE broken_rules <> '' GROUP BY ALL"""
+        for t, key in _SET_APART.items()
+    ),
+)
+def dq_quarantine_tables(inputs: Inputs) -> DataFrame:
+    """Rows of two facts that break any declared rule, keys and references included."""
+    parts = []
+    for (name, key), fact in zip(_SET_APART.items(), inputs.stored_facts(*_SET_APART)):
+        table = FACTS[name]
+        references = [(column, inputs.dim(dim), dim_column) for column, dim, dim_column in table.references]
+        apart = quality.quarantine_table(fact, rules_of(table), key_counts_of(fact, table), table.unique, references)
+        rules = F.array_join("broken_rules", "; ").alias("broken_rules")
+        parts.append(apart.groupBy(F.lit(name).alias("table"), F.col(key).alias("id"), rules).agg(F.count("*").alias("row_count")))
+    return _together(parts)

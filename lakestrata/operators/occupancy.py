@@ -1,4 +1,4 @@
-"""Which dated points lie inside at least one interval of their key."""
+"""Which dated points lie inside an interval of their key, and how many keys have one at a date."""
 
 from __future__ import annotations
 
@@ -51,3 +51,40 @@ def covered_points(
         .filter("is_point")
         .select(*on, F.col("day").alias(point), (F.col("open") > 0).alias("is_covered"))
     )
+
+
+def keys_covered_on(
+    intervals: DataFrame, by: Sequence[str], key: str, start: str, end: str, dates: DataFrame, date: str, name: str
+) -> DataFrame:
+    """``dates`` (``by`` and ``date``) with the number of distinct keys of the group that have an
+    interval with start <= date <= end; an open end never ends, an interval without a start or key
+    never begins.
+
+    A sweep over time: per key, starts and ends are summed up per day, and where its running sum
+    leaves or reaches zero the key becomes covered or free. These changes are summed per group and
+    day, and their running sum is the answer on every date. What is written grows with intervals
+    plus dates, not with their pairs, and a window holds one row per day at most.
+    """
+    change = F.struct(F.col(start).alias("day"), F.lit(1).alias("change"))
+    back = F.struct(F.date_add(F.col(end), 1).alias("day"), F.lit(-1).alias("change"))
+    valid = F.col(key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start)))
+    per_day = (
+        intervals.filter(valid)
+        .select(*by, key, F.explode(F.when(F.col(end).isNull(), F.array(change)).otherwise(F.array(change, back))).alias("c"))
+        .groupBy(*by, key, F.col("c.day").alias("day"))
+        .agg(F.sum("c.change").alias("change"))
+    )
+    open_now = F.sum("change").over(Window.partitionBy(*by, key).orderBy("day"))
+    turned = (F.col("open") > 0).cast("int") - (F.col("open") - F.col("change") > 0).cast("int")
+    turns = per_day.withColumn("open", open_now).withColumn("turn", turned).filter("turn <> 0")
+
+    asked = dates.select(*by, F.col(date).alias("day"), F.lit(0).alias("turn"), F.lit(True).alias("asked")).distinct()
+    days = (
+        turns.select(*by, "day", "turn", F.lit(False).alias("asked"))
+        .unionByName(asked)
+        .groupBy(*by, "day")
+        .agg(F.sum("turn").alias("turn"), F.max("asked").alias("asked"))
+    )
+    running = F.sum("turn").over(Window.partitionBy(*by).orderBy(F.col("day").asc_nulls_first()))
+    counted = F.when(F.col("day").isNull(), 0).otherwise(F.col("covered")).cast("long")
+    return days.withColumn("covered", running).filter("asked").select(*by, F.col("day").alias(date), counted.alias(name))

@@ -8,6 +8,7 @@ columns for all of them are read in one scan (``key_counts``).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,58 @@ def quarantine(df: DataFrame, broken: Mapping[str, Column]) -> DataFrame:
     return marked.filter(F.size("broken_rules") > 0)
 
 
+def quarantine_table(
+    df: DataFrame,
+    broken: Mapping[str, Column],
+    counts: DataFrame,
+    unique: Sequence[Sequence[str]] = (),
+    references: Sequence[tuple[str, DataFrame, str]] = (),
+) -> DataFrame:
+    """Rows which break any rule of a table, with the names of all rules they break.
+
+    The single-row rules are one bit mask per row. ``counts`` are the table's ``key_counts``; of
+    them only the keys that are repeated, or missing in their dimension (column, dimension and its
+    column), are joined to the rows, so rows of sound keys meet nothing. All rows of a repeated key
+    are set apart, also the first.
+    """
+    names = list(broken)
+    words = [names[i : i + _MASK_BITS] for i in range(0, len(names), _MASK_BITS)]
+    masks = {}
+    for w, part in enumerate(words):
+        bits = [F.when(broken[name], F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, name in enumerate(part)]
+        masks[f"__mask{w}"] = reduce(Column.__add__, bits)
+    marked = df.withColumns(masks) if masks else df
+
+    rules: list[tuple[str, list[str], DataFrame]] = []
+    for key in unique:
+        wrong = counts.filter((F.col("name") == _key_name(key)) & (F.col("n") > 1)).select("key")
+        rules.append((f"unique ({_key_name(key)})", list(key), wrong))
+    for column, dim, dim_column in references:
+        wrong = unknown_keys(counts, column, dim, dim_column).select(F.array("k").alias("key"))
+        rules.append((f"{column} in dimension", [column], wrong))
+    flags = []
+    for i, (name, columns, wrong) in enumerate(rules):
+        flag = f"__key{i}"
+        side = wrong.select(F.col("key").alias(f"__k{i}"), F.lit(True).alias(flag))
+        own = F.array(*[F.col(c).cast("string") for c in columns])
+        marked = marked.join(side, own == F.col(f"__k{i}"), "left").drop(f"__k{i}")
+        flags.append((name, F.col(flag)))
+    found = [
+        F.when(F.col(f"__mask{w}").bitwiseAND(F.lit(1 << i)) != 0, F.lit(name))
+        for w, part in enumerate(words) for i, name in enumerate(part)
+    ]
+    found += [F.when(flag, F.lit(name)) for name, flag in flags]
+    any_row = [F.col(f"__mask{w}") != 0 for w in range(len(words))] + [F.coalesce(flag, F.lit(False)) for _, flag in flags]
+    if not any_row:
+        return df.withColumn("broken_rules", F.array().cast("array<string>")).filter(F.lit(False))
+    apart = marked.filter(reduce(Column.__or__, any_row))
+    return apart.select(*df.columns, F.array_compact(F.array(*found)).alias("broken_rules"))
+
+
+#: Rules in one number.
+_MASK_BITS = 62
+
+
 def not_null(columns: Sequence[str]) -> dict[str, Column]:
     return {f"{c} is null": F.col(c).isNull() for c in columns}
 
@@ -118,10 +171,15 @@ def unique_report(counts: DataFrame, table: str, key: Sequence[str]) -> DataFram
     )
 
 
-def foreign_report(counts: DataFrame, table: str, column: str, dim: DataFrame, dim_column: str) -> DataFrame:
+def unknown_keys(counts: DataFrame, column: str, dim: DataFrame, dim_column: str) -> DataFrame:
+    """``k, n``: values of the column, as text, which the dimension lacks, and their rows."""
     per_key = counts.filter(F.col("name") == column).select(F.col("key")[0].alias("k"), "n")
     members = dim.select(F.col(dim_column).cast("string").alias("k")).distinct()
-    return per_key.join(members, "k", "left_anti").agg(
+    return per_key.join(members, "k", "left_anti")
+
+
+def foreign_report(counts: DataFrame, table: str, column: str, dim: DataFrame, dim_column: str) -> DataFrame:
+    return unknown_keys(counts, column, dim, dim_column).agg(
         F.lit(table).alias("table"),
         F.lit(f"{column} in dimension").alias("rule"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"),
@@ -233,6 +291,32 @@ def reconcile_counts(raw: DataFrame, stored: DataFrame, column: str = "dataset")
     return both.withColumn("row_check", F.when(same, "PASS").otherwise("FAIL"))
 
 
+def fingerprint(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Aggregates which tell two multisets of rows apart, whatever their order: the number of rows
+    and two sums of parts of a hash of each row. A null cell is an empty one, as in an extract.
+
+    A cell's length stands before it, so that no two rows are joined to the same text.
+    """
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]
+    text = F.concat(*[F.concat(F.octet_length(c).cast("string"), F.lit(":"), c) for c in cells])
+    digest = F.md5(text.cast("binary"))
+    parts = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 18)]
+    sums = [F.coalesce(F.sum(p), F.lit(0)).cast("decimal(38,0)").cast("string") for p in parts]
+    return [F.count(F.lit(1)).alias("rows"), F.concat_ws("/", *sums).alias("content")]
+
+
+def reconcile_content(raw: DataFrame, stored: DataFrame) -> DataFrame:
+    """``dataset, raw_rows, stored_rows, content, row_check`` of ``dataset, rows, content`` on either
+    side. PASS where both sides hold the same rows: a lost, doubled or changed row is a FAIL, also
+    if the number of rows stays. ``content`` is that of the stored side."""
+    left = raw.select("dataset", F.col("rows").alias("raw_rows"), F.col("content").alias("__raw"))
+    right = stored.select("dataset", F.col("rows").alias("stored_rows"), "content")
+    both = left.join(right, "dataset", "full")
+    same = (F.col("raw_rows") == F.col("stored_rows")) & (F.col("__raw") == F.col("content"))
+    check = F.when(F.coalesce(same, F.lit(False)), "PASS").otherwise("FAIL")
+    return both.withColumn("row_check", check).drop("__raw")
+
+
 def reconcile_columns(raw: DataFrame, stored: DataFrame) -> DataFrame:
     """``dataset, column_check``: whether every column of the extracts (``dataset, column``) was
     stored. A dataset which was not stored at all fails."""

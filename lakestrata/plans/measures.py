@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.numbers import divide
 from lakestrata.operators.joins import null_safe_join
+from lakestrata.operators.occupancy import keys_covered_on
 from lakestrata.operators.windows import ROLLING_DAYS, on_reports, report_dates, rolling_distinct
 
 
@@ -145,27 +146,21 @@ def occupancy(
     """Occupied units at the latest snapshot over all units, per group, and per period of the
     snapshots if ``unit`` is given.
 
-    The lease's own group decides, its community is not compared with that of the unit.
+    The lease's own group decides, its community is not compared with that of the unit. Leases are
+    swept once for all snapshots, however many there are.
     """
     axis = [*by] if unit is None else [*by, "period"]
-    units = fact_units if unit is None else fact_units.withColumn("period", F.trunc("snapshot_date", unit))
+    period = F.col("snapshot_date") if unit == "day" else F.trunc("snapshot_date", unit or "month")
+    units = fact_units if unit is None else fact_units.withColumn("period", period)
     latest = units.groupBy(*axis).agg(
         F.count_distinct("unit_key").alias("total_units"),
         F.max("snapshot_date").alias("snapshot_date"),
     )
-    spans = fact_leases.select(*by, "unit_key", "move_in_date", "move_out_date").distinct()
-    shown = [c for c in axis if c not in by]
-    if by:
-        dated = null_safe_join(spans, latest.select(*axis, "snapshot_date"), by)
-    else:
-        # A few dates: they go in as one scalar subquery, and no pairs are joined.
-        snapshots = latest.agg(F.collect_list(F.struct(*axis, "snapshot_date")).alias("s")).scalar()
-        dated = spans.withColumn("s", F.explode(snapshots)).select(*spans.columns, "s.*")
-    covers = (F.col("move_in_date") <= F.col("snapshot_date")) & (
-        F.col("move_out_date").isNull() | (F.col("move_out_date") >= F.col("snapshot_date"))
+    occupied = keys_covered_on(
+        fact_leases.select(*by, "unit_key", "move_in_date", "move_out_date"),
+        by, "unit_key", "move_in_date", "move_out_date", latest, "snapshot_date", "occupied_units",
     )
-    occupied = dated.filter(covers).groupBy(*by, *shown).agg(F.count_distinct("unit_key").alias("occupied_units"))
-    both = null_safe_join(latest, occupied, axis, "left") if axis else latest.withColumn("occupied_units", occupied.scalar())
+    both = null_safe_join(latest, occupied, [*by, "snapshot_date"], "left")
     n = F.coalesce("occupied_units", F.lit(0).cast("long"))
     return both.select(
         *axis,
@@ -176,6 +171,16 @@ def occupancy(
     )
 
 
+def occupied_units(fact_leases: DataFrame, dim_date: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Occupied units per group of the leases on every day of the calendar, zeros included."""
+    groups = fact_leases.select(*by).distinct() if by else fact_leases.sparkSession.range(1).select()
+    dates = on_reports(groups, report_dates(dim_date))
+    return keys_covered_on(
+        fact_leases.select(*by, "unit_key", "move_in_date", "move_out_date"),
+        by, "unit_key", "move_in_date", "move_out_date", dates, "report_date", "occupied_units",
+    )
+
+
 def lead_conversion(
     fact_leads: DataFrame, dim_date: DataFrame, by: Sequence[str], unit: str = "month"
 ) -> DataFrame:

@@ -137,19 +137,29 @@ def rules_of(table: Table) -> dict:
 
 
 def table_rules(spark: SparkSession, df: DataFrame, name: str, table: Table, out: str) -> list[DataFrame]:
-    """Every declared rule of one table: one aggregate for the rows, one for all its keys."""
-    keys = {", ".join(key): list(key) for key in table.unique}
-    keys |= {column: [column] for column, _, _ in table.references}
-    counts = materialise(quality.key_counts(df, keys), "keys")
+    """Every declared rule of one table: one aggregate for the rows, one for all its keys. The rows
+    which break any of them are written to ``quarantine``, with the names of the rules."""
+    counts = key_counts_of(df, table)
+    references = [
+        (column, members, dim_column)
+        for column, dim, dim_column in table.references
+        if (members := read_if_written(spark, f"{out}/gold/dim/{dim}")) is not None
+    ]
     reports = [quality.count_violations(df, name, rules_of(table))]
     reports += [quality.unique_report(counts, name, key).drop("extra_rows") for key in table.unique]
-    for column, dim, dim_column in table.references:
-        members = read_if_written(spark, f"{out}/gold/dim/{dim}")
-        if members is not None:
-            reports.append(quality.foreign_report(counts, name, column, members, dim_column))
+    reports += [quality.foreign_report(counts, name, *reference) for reference in references]
+    apart = quality.quarantine_table(df, rules_of(table), counts, table.unique, references)
+    write_layer(apart, f"{out}/quarantine/{name}")
     return reports
 
 
+def key_counts_of(df: DataFrame, table: Table) -> DataFrame:
+    """Rows per value of every unique and foreign key of a table, written."""
+    keys = {", ".join(key): list(key) for key in table.unique}
+    keys |= {column: [column] for column, _, _ in table.references}
+    return materialise(quality.key_counts(df, keys), "keys")
+
+
 def validate_gold(spark: SparkSession, out: str) -> DataFrame:
     """Every declared rule on every dimension and fact which was written, and of every source
     the texts which did not fit the type their fact declares."""

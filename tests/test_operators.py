@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from lakestrata.operators import joins, quality, windows
 from lakestrata.operators.calendar import calendar
+from lakestrata.operators.cube import distinct_cube, distinct_per, distinct_trailing
 from lakestrata.operators.dedupe import first_by_key, keep_first
 from lakestrata.operators.keys import kept_keys, surrogate_keys, union_distinct
-from lakestrata.operators.occupancy import covered_points
+from lakestrata.operators.occupancy import covered_points, keys_covered_on
 
 DAY = date(2025, 1, 1)
 
@@ -258,3 +259,92 @@ def test_keys_stay_when_members_come_and_go(spark):
     third = kept_keys(members(("c", "n"), (None, "again")), "id", "key", second)
     assert {("c", "n", 6), (None, "again", 0), ("b", "x", 1)} <= set(rows(third)) and len(rows(third)) == 7
     assert rows(kept_keys(members(("a", "n")).limit(0), "id", "key", first)) == rows(first)
+
+
+def test_distinct_cube_answers_periods_and_windows(spark):
+    draw = random.Random(5)
+    seen = [
+        (draw.choice([1, 2, None]), draw.choice([0, 7, 32_767, 32_768, 100_000, None]), draw.choice([DAY + timedelta(days=draw.randrange(200)), None]))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(seen, "g int, k long, day date")
+    cube = distinct_cube(df, "k", "day", ["g"])
+    known = [(g, k, d) for g, k, d in seen if k is not None and d is not None]
+
+    months = {}
+    for g, k, d in known:
+        months.setdefault((g, d.replace(day=1)), set()).add(k)
+    found = distinct_per(cube, ["g", F.trunc("day", "month").alias("m")], "n")
+    assert rows(found) == sorted(((g, m, len(k)) for (g, m), k in months.items()), key=repr)
+    assert rows(distinct_per(cube, ["g"], "n")) == sorted(
+        ((g, len({k for h, k, _ in known if h == g})) for g in {g for g, _, _ in known}), key=repr
+    )
+    reports = [DAY + timedelta(days=n) for n in (0, 30, 89, 120, 400)]
+    dates = spark.createDataFrame([(d,) for d in reports], "report_date date")
+    expected = [
+        (g, r, len({k for h, k, d in known if h == g and timedelta(0) <= r - d < timedelta(days=90)}))
+        for g in {g for g, _, _ in known} for r in reports
+    ]
+    assert rows(distinct_trailing(cube, ["g"], dates, "n")) == sorted(expected, key=repr)
+
+
+def test_keys_covered_on_equals_counting_at_each_date(spark):
+    draw = random.Random(3)
+
+    def day(null=0.1):
+        return None if draw.random() < null else DAY + timedelta(days=draw.randrange(40))
+
+    spans = [(draw.choice([1, None]), draw.choice([1, 2, 3, None]), day(), day(0.2)) for _ in range(80)]
+    asked = [(g, DAY + timedelta(days=n)) for g in (1, None, 9) for n in range(-2, 45, 3)] + [(1, None)]
+    found = keys_covered_on(
+        spark.createDataFrame(spans, "g int, k int, s date, e date"), ["g"], "k", "s", "e",
+        spark.createDataFrame(asked, "g int, at date"), "at", "n",
+    )
+
+    def count(g, at):
+        return len({k for h, k, s, e in spans if h == g and k is not None and s and at and s <= at and (e is None or e >= at)})
+
+    assert rows(found) == sorted(((g, at, count(g, at)) for g, at in asked), key=repr)
+
+
+def test_the_sweep_writes_rows_by_spans_and_dates(spark):
+    """One unit leased anew each day, asked for on every day: no pairs of leases and days."""
+    n = 300
+    spans = spark.range(n).select(F.lit(1).alias("g"), F.lit(1).alias("k"), F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("s"))
+    spans = spans.withColumn("e", F.date_add("s", 200))
+    dates = spans.select("g", F.col("s").alias("at"))
+    found = keys_covered_on(spans, ["g"], "k", "s", "e", dates, "at", "n")
+    assert rows(found.groupBy("n").count()) == [(1, n)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quarantine_table_names_every_broken_rule(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 5), ("a", 2, 5), ("b", 9, 5), (None, 1, 5), ("c", None, 99), ("d", 1, 1)], "id string, fk int, v int"
+    )
+    dim = spark.createDataFrame([(1,), (2,)], "key int")
+    counts = quality.key_counts(df, {"id": ["id"], "fk": ["fk"]})
+    broken = quality.not_null(["id", "fk"]) | quality.in_range("v", 2, 10)
+    apart = quality.quarantine_table(df, broken, counts, [("id",)], [("fk", dim, "key")])
+    assert {(r.id, r.fk): r.broken_rules for r in apart.collect()} == {
+        ("a", 1): ["unique (id)"], ("a", 2): ["unique (id)"], ("b", 9): ["fk in dimension"], (None, 1): ["id is null"],
+        ("c", None): ["fk is null", "v out of range"], ("d", 1): ["v out of range"],
+    }
+    assert quality.quarantine_table(df, {}, counts).count() == 0
+    many = {f"rule {i}": F.col("v") > i for i in range(70)}
+    assert {len(r.broken_rules) for r in quality.quarantine_table(df, many, counts).collect()} == {1, 5, 70}
+
+
+def test_reconciliation_sees_changed_cells_and_not_the_order(spark):
+    rows_ = [("1", "a"), ("2", None), ("3", "c")]
+
+    def side(found):
+        df = spark.createDataFrame(found, "k string, v string").repartition(2)
+        return df.agg(F.lit("d").alias("dataset"), *quality.fingerprint(df, ["k", "v"]))
+
+    def check(found):
+        return quality.reconcile_content(side(rows_), side(found)).first().row_check
+
+    assert check([("3", "c"), ("1", "a"), ("2", "")]) == "PASS"
+    for other in ([("1", "b"), ("2", ""), ("3", "c")], [("1", "a"), ("1", "a"), ("3", "c")], [("1", "c"), ("2", ""), ("3", "a")], rows_[:2], [("1a", ""), *rows_[1:]]):
+        assert check(other) == "FAIL", other

@@ -148,6 +148,17 @@ def test_reports(spark, out):
     assert broken["fact_residents", "admit_date in dimension"] == 3
 
 
+def test_rows_that_break_rules_are_set_apart(spark, out):
+    leads = layers.read_layer(spark, f"{out[0]}/quarantine/fact_hubspot_leads")
+    assert sorted((r.lead_id, r.broken_rules) for r in leads.collect()) == [("H1", ["unique (lead_id)"])] * 2
+    incidents = {r.incident_id: r.broken_rules for r in layers.read_layer(spark, f"{out[0]}/quarantine/fact_incidents").collect()}
+    assert incidents["I2"] == ["severity out of range"]
+    assert "resident_key is null" in incidents["I3"] and "I1" not in incidents
+    counted = {(r.table, r.rule): r.violations for r in out[1]["rules"]}
+    shifts = layers.read_layer(spark, f"{out[0]}/quarantine/fact_adp_shifts")
+    assert shifts.count() == counted["fact_adp_shifts", "total_labor_cost is null"]
+
+
 def test_facts(spark, out):
     shifts = gold(spark, out, "fact_adp_shifts").orderBy("shift_id").collect()
     assert [float(r.total_labor_cost) if r.total_labor_cost else None for r in shifts] == [157.25, None] * 3
