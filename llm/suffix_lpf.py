@@ -1,12 +1,12 @@
-"""Window dedup by prefix ranks, in the place of longest-previous-factor arrays, over the bytes of the texts.
+"""Window dedup by suffix arrays and longest-previous-factor arrays, over the bytes of the texts.
 
-Passages which share an anchor are concatenated in the order of the documents, and the places where
-a whole window fits are sorted by their first ``WINDOW`` bytes, by ranks of prefixes whose length
-triples, and then by place. Whether the longest previous factor reaches the window is whether the
-neighbour in this order has a smaller place and an equal rank; a larger place says the same of the
-longest next factor. Lengths of factors, and the previous and next smaller positions of a suffix
-array, are not computed. Equal passages and crowded anchors are resolved by hashes (``passages``).
-Later copies are removed, and with ``first_too`` the first one as well.
+Passages which share an anchor are concatenated in the order of the documents, with a separator
+between them. Their suffix array comes from ranks of prefixes whose length triples; only suffixes
+which still share a rank are sorted again. Of the suffixes in that order the nearest with a smaller
+place, before and after, are the two candidates for the longest previous factor; the ranks give the
+length it shares with each. Where that reaches the window, the window at this place occurred before.
+Later copies are removed, and with ``first_too`` the first one as well: the source of a factor that
+reaches the window.
 
 Defined results: a null text is empty; a text shorter than a window keeps all its bytes; rows with
 equal ids are documents of their own in the order of their texts; matches never cross documents;
@@ -16,6 +16,7 @@ further columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,57 +30,135 @@ WINDOW = 400
 ANCHOR = 32
 
 
-def ranked(key: np.ndarray) -> np.ndarray:
-    """Dense ranks of keys, equal keys alike."""
-    order = np.argsort(key)
-    rank = np.zeros(len(key), dtype=np.uint64)
-    sorted_key = key[order]
-    rank[order[1:]] = np.cumsum(sorted_key[1:] != sorted_key[:-1], dtype=np.uint64)
-    return rank
-
-
-def prefix_ranks(data: np.ndarray, window: int) -> np.ndarray:
-    """Rank of the ``window`` bytes at each place which has so many, in lexicographic order."""
-    size = min(8, window)
-    key = np.zeros(len(data) - size + 1, dtype=np.uint64)
-    for i in range(size):
-        key = (key << np.uint64(8)) | data[i : len(data) - size + 1 + i]
-    rank = ranked(key)
-    while size < window:
-        # Two or three known prefixes side by side, the last one moved back where that is too far.
-        bits = int(rank.max()).bit_length()
-        parts = 3 if window > 2 * size and 3 * bits <= 64 else 2
-        longer = min(parts * size, window)
-        n = len(data) - longer + 1
-        key = rank[:n].copy()
-        for at in (size, longer - size)[3 - parts :]:
-            key = (key << np.uint64(bits)) | rank[at : at + n]
-        size, rank = longer, ranked(key)
-    return rank
-
-
-def factors(rank: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the suffixes at ``place`` (ascending): whether the longest previous factor reaches the
-    window, and whether the longest next factor does."""
-    of = rank[place]
-    order = np.argsort(of, kind="stable")  # suffix order, equal prefixes by place
-    same = of[order[1:]] == of[order[:-1]]
-    previous, following = np.zeros(len(place), dtype=bool), np.zeros(len(place), dtype=bool)
-    previous[order[1:]] = same
-    following[order[:-1]] = same
-    return previous, following
+class Suffixes(NamedTuple):
+    """Suffixes of passages in lexicographic order, and equality of prefixes by ranks."""
+
+    order: np.ndarray
+    symbols: np.ndarray  # bytes + 1, separators 0, padded
+    levels: list[tuple[int, np.ndarray]]  # prefix length, and the rank of the prefix at each place
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the longest common prefix of the suffixes at ``a`` and ``b``."""
+        length = np.zeros(len(a), dtype=np.int64)
+        top = self.levels[-1][0]
+        for size, rank in reversed(self.levels):
+            for _ in range(2 if size < top else 1):
+                length += size * (rank[a + length] == rank[b + length])
+        going = np.ones(len(a), dtype=bool)
+        for _ in range(_FIRST - 1):
+            going &= self.symbols[a + length] == self.symbols[b + length]
+            length += going
+        return length
+
+
+#: Symbols of the shortest prefix; 9 bits each.
+_FIRST = 7
+
+
+def suffixes(payloads: list[bytes]) -> Suffixes:
+    """Suffix array of the payloads, each followed by a separator, as far as they reach."""
+    longest = max(map(len, payloads))
+    n = sum(map(len, payloads)) + len(payloads)
+    sizes = [_FIRST]
+    while sizes[-1] <= longest:
+        sizes.append(3 * sizes[-1])
+    pad = 3 * sizes[-1]
+    data = np.frombuffer(b"\0".join(payloads) + b"\0", dtype=np.uint8)
+    symbols = np.zeros(n + pad, dtype=np.uint16)
+    symbols[:n] = data + np.uint16(1)
+    ends = np.cumsum([len(p) + 1 for p in payloads]) - 1
+    symbols[ends] = 0
+
+    key = np.zeros(n, dtype=np.uint64)
+    for i in range(_FIRST):
+        key = (key << np.uint64(9)) | symbols[i : i + n]
+    order = np.argsort(key, kind="stable")
+    slots = np.arange(n)
+    rank = np.zeros(n + pad, dtype=np.uint32)
+    key = key[order]
+    levels = []
+    bits = np.uint64(n.bit_length())
+    for size in sizes:
+        # A rank is the first slot of the group, so groups that part leave the others' ranks alone.
+        fresh = np.ones(len(slots), dtype=bool)
+        fresh[1:] = key[1:] != key[:-1]
+        heads = np.maximum.accumulate(np.where(fresh, slots, 0))
+        rank[order[slots]] = heads + 1
+        levels.append((size, rank.copy()))
+        if size == sizes[-1]:
+            break
+        last = np.ones(len(slots), dtype=bool)
+        last[:-1] = fresh[1:]
+        slots = slots[~(fresh & last)]
+        if not len(slots):
+            break
+        at = order[slots]
+        parts = [rank[at + i * size].astype(np.uint64) for i in range(3)]
+        if 3 * int(bits) <= 64:
+            key = (((parts[0] << bits) | parts[1]) << bits) | parts[2]
+        else:
+            # Two numbers of a pair become one by their rank.
+            _, tail = np.unique((parts[1] << np.uint64(32)) | parts[2], return_inverse=True)
+            key = (parts[0] << np.uint64(32)) | tail.astype(np.uint64)
+        by = np.argsort(key, kind="stable")
+        order[slots], key = at[by], key[by]
+    return Suffixes(order, symbols, levels)
+
+
+def nearest_smaller(values: np.ndarray) -> np.ndarray:
+    """Index of the nearest smaller value before each one, -1 if there is none.
+
+    What lies between an index and its candidate is larger than the value, so a candidate that is
+    larger itself is passed over together with all that it has passed over: paths double.
+    """
+    found = np.arange(-1, len(values) - 1)
+    open_ = np.flatnonzero((found >= 0) & (values[found] > values))
+    while len(open_):
+        found[open_] = found[found[open_]]
+        to = found[open_]
+        open_ = open_[(to >= 0) & (values[to] > values[open_])]
+    return found
+
+
+def longest_previous(found: Suffixes, place: np.ndarray, rest: np.ndarray, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Per ``place`` (ascending) the length of the longest factor that also begins at an earlier
+    place, and that place (-1 and 0 if there is none). ``rest`` is what is left of each passage.
+
+    With ``least``, factors that are shorter may count as 0.
+    """
+    index = np.full(len(found.symbols), -1, dtype=np.int64)
+    index[place] = np.arange(len(place))
+    ranked = index[found.order]
+    ranked = ranked[ranked >= 0]  # the places, by number, in suffix order
+    before = nearest_smaller(ranked)
+    after = len(ranked) - 1 - nearest_smaller(ranked[::-1])[::-1]
+    length, source = np.zeros(len(place), dtype=np.int64), np.full(len(place), -1, dtype=np.int64)
+    sure = [(size, rank) for size, rank in found.levels if size <= least][-1:]
+    for neighbour in (before, after):
+        has = np.flatnonzero((neighbour >= 0) & (neighbour < len(ranked)))
+        mine, other = ranked[has], ranked[neighbour[has]]
+        for size, rank in sure:
+            alike = rank[place[mine]] == rank[place[other]]
+            mine, other = mine[alike], other[alike]
+        common = np.minimum(found.common(place[mine], place[other]), np.minimum(rest[mine], rest[other]))
+        better = common > length[mine]
+        length[mine[better]], source[mine[better]] = common[better], other[better]
+    return length, source
 
 
 def compare(numbers: list[np.ndarray], payloads: list[bytes], window: int = WINDOW, first_too: bool = True) -> np.ndarray:
     """Which windows of the passages occur among them again."""
-    data = np.frombuffer(b"".join(payloads), dtype=np.uint8)
     windows = numbers[3].astype(np.int64)
-    begin = np.cumsum(windows + window - 1) - (windows + window - 1)
+    begin = np.cumsum(windows + window) - (windows + window)
     owner = np.repeat(np.arange(len(windows)), windows)
-    place = begin[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    rest = (windows + window - 1)[owner] - inside
     # Passages are sorted by anchor, so the order of places is that of documents where it matters.
-    previous, following = factors(prefix_ranks(data, window), place)
-    return previous | following if first_too else previous
+    length, source = longest_previous(suffixes(payloads), begin[owner] + inside, rest, window)
+    again = length >= window
+    if first_too:
+        again[source[again]] = True
+    return again
 
 
 def deduplicated(documents: DataFrame, window: int = WINDOW, first_too: bool = True, group: int = passages.GROUP) -> DataFrame:
