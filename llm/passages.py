@@ -12,7 +12,8 @@ passages are few, and two windows can only be equal if their passages share the
    contents too must be compared with those.
 2. ``compared``: these passages are cut out of their documents again and meet by anchor, where
    the operator's own method finds the equal windows inside. An anchor with more contents than
-   ``GROUP`` is not collected: its windows meet by their own hash instead, collapsed per batch.
+   ``GROUP`` is split further, into a block for each of its windows: they leave their documents
+   one by one, equal ones of a chunk once, and a block is read as a stream.
 3. ``spans``: all covered ranges of a document, brought back to its text.
 
 The text is shuffled once; both joins read the same exchange.
@@ -35,6 +36,8 @@ from llm.common import per_batch, streamed, written
 GROUP = 4096
 #: Bytes of payload which are compared at a time; whole anchors.
 AT_ONCE = 3 << 19
+#: Windows of a chunk whose anchors are found at a time; work arrays take about 60 times as much.
+WINDOWS_AT_ONCE = 1 << 18
 
 
 class Kind(NamedTuple):
@@ -75,7 +78,7 @@ class Found(NamedTuple):
     windows: np.ndarray
 
 
-def passages(units: np.ndarray, offsets: np.ndarray, kind: Kind, at_once: int = hashing.CHUNK_BYTES) -> Iterator[Found]:
+def passages(units: np.ndarray, offsets: np.ndarray, kind: Kind, at_once: int = WINDOWS_AT_ONCE) -> Iterator[Found]:
     """Passages of the documents in ``units``, for about ``at_once`` windows at a time.
 
     Where a long document is cut a passage may be cut, which is as good as any other end: equal
@@ -110,14 +113,12 @@ _PASSAGE = pa.schema([
 _PLACE = pa.schema([("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("anchor", pa.int64())])
 _CUT = pa.schema([
     ("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("payload", pa.binary()),
-])
-_WINDOW = pa.schema([
-    ("window", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("copies", pa.int32()), ("windows", pa.int32()),
+    ("copies", pa.int32()),
 ])
 PASSAGE = "anchor long, content long, key long, start int, windows int, copies int"
 PLACE = "key long, start int, windows int, anchor long"
-CUT = "anchor long, key long, start int, windows int, payload binary"
-WINDOW = "window long, key long, start int, copies int, windows int"
+# Copies are 0 for a passage, and for a window the number of equal ones in its chunk; a covered run has no payload.
+CUT = "anchor long, key long, start int, windows int, payload binary, copies int"
 
 
 def packed(schema: pa.Schema, *columns: np.ndarray) -> pa.RecordBatch:
@@ -230,10 +231,10 @@ def candidates(documents: DataFrame, kind: Kind) -> DataFrame:
 Method = Callable[[list[np.ndarray], list[bytes]], np.ndarray]
 
 
-def cuts(documents: DataFrame, wanted: DataFrame, payload: Callable, schema: pa.Schema, kinds: str) -> DataFrame:
+def cuts(documents: DataFrame, wanted: DataFrame, payload: Callable, kinds: str) -> DataFrame:
     """What ``payload`` makes of the wanted passages of each document."""
     lists = wanted.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "windows", "anchor"))).alias("wanted")
+        F.sort_array(F.collect_list(F.struct("start", "windows", "anchor", "split"))).alias("wanted")
     )
     joined = documents.join(lists.hint("shuffle_merge"), "key")
 
@@ -241,12 +242,13 @@ def cuts(documents: DataFrame, wanted: DataFrame, payload: Callable, schema: pa.
         keys, texts, wanted = (rows.column(rows.schema.get_field_index(c)) for c in ("key", "text", "wanted"))
         flat = wanted.flatten()
         first = np.concatenate([[0], np.cumsum(wanted.value_lengths().to_numpy())])
-        start, windows, anchor = (flat.field(i).to_numpy() for i in range(3))
+        start, windows, anchor, split = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
         key = keys.to_numpy()
         for chunk in hashing.chunks(texts):
             part = slice(first[chunk.first], first[chunk.first + chunk.size])
             document = np.repeat(np.arange(chunk.size), np.diff(first[chunk.first : chunk.first + chunk.size + 1]))
-            yield from payload(chunk, key[chunk.first + document], document, start[part].astype(np.int64), windows[part].astype(np.int64), anchor[part])
+            numbers = start[part].astype(np.int64), windows[part].astype(np.int64), anchor[part], split[part].astype(bool)
+            yield from payload(chunk, key[chunk.first + document], document, *numbers)
 
     return per_batch(joined.select("key", "doc_id", "text", "wanted"), run, kinds)
 
@@ -258,25 +260,33 @@ def compared(documents: DataFrame, found: DataFrame, kind: Kind, method: Method,
     the payloads: units' hashes or bytes) and says of every window whether it is covered.
     """
     wanted = found.filter("anchor IS NOT NULL")
-    crowded = wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("anchor")
-    crowded = written(crowded, "crowded")
-    usual, rest = wanted, None
-    if not crowded.isEmpty():
-        usual = wanted.join(crowded, "anchor", "left_anti")
-        rest = by_window(documents, wanted.join(crowded, "anchor", "left_semi"), kind)
-
-    def cut(chunk, key, document, start, windows, anchor) -> Iterator[pa.RecordBatch]:
+    crowded = wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > group)
+    marks = written(crowded.select("anchor", F.lit(True).alias("split")), "crowded")
+    wanted = wanted.join(marks, "anchor", "left").withColumn("split", F.coalesce("split", F.lit(False)))
+
+    def cut(chunk, key, document, start, windows, anchor, split) -> Iterator[pa.RecordBatch]:
         units, offsets = kind.units(chunk)
         low = offsets[document] + start
         high = low + windows + kind.length - 1
-        payload = [units[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist())]
-        columns = [pa.array(anchor), pa.array(key), pa.array(start, pa.int32()), pa.array(windows, pa.int32()), pa.array(payload, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, schema=_CUT)
+        whole = np.flatnonzero(~split)
+        payload = [units[a:b].tobytes() for a, b in zip(low[whole].tolist(), high[whole].tolist())]
+        yield cut_rows(anchor[whole], key[whole], start[whole], windows[whole], payload, np.zeros(len(whole)))
+        if len(whole) < len(split):
+            yield from single_windows(units, low[split], key[split], start[split], windows[split], kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
+        block = Block(kind.first_too)
         for rows in batches:
+            copies, payload = rows.column(5).to_numpy(), rows.column(4)
+            done = payload.is_null().to_numpy(zero_copy_only=False)
+            if done.any():
+                yield packed(_PLACE, *[rows.column(i).to_numpy()[done] for i in (1, 2, 3, 0)])
+            yield from block.take(rows.filter(pa.array(copies > 0)))
+            rows = rows.filter(pa.array((copies == 0) & ~done))
+            if not rows.num_rows:
+                continue
             held.append(rows)
             size += rows.nbytes
             if size >= AT_ONCE:
@@ -303,10 +313,70 @@ def compared(documents: DataFrame, found: DataFrame, kind: Kind, method: Method,
             yield from runs(numbers[1], numbers[2], numbers[3], covered)
             low = high
 
-    cut_out = cuts(documents, usual, cut, _CUT, CUT)
+    cut_out = cuts(documents, wanted, cut, CUT)
     dealt = cut_out.repartition("anchor").sortWithinPartitions("anchor", "key", "start")
-    out = streamed(dealt, run, PLACE).drop("anchor")
-    return out.unionByName(rest) if rest is not None else out
+    return streamed(dealt, run, PLACE).drop("anchor")
+
+
+def cut_rows(anchor, key, start, windows, payload: list[bytes | None], copies) -> pa.RecordBatch:
+    numbers = [pa.array(np.asarray(c).astype(f.type.to_pandas_dtype())) for c, f in zip((anchor, key, start, windows), _CUT)]
+    return pa.RecordBatch.from_arrays([*numbers, pa.array(payload, pa.binary()), pa.array(copies.astype(np.int32))], schema=_CUT)
+
+
+def single_windows(units, low, key, start, windows, kind: Kind) -> Iterator[pa.RecordBatch]:
+    """The windows of passages, each with its own content. Equal ones of the chunk leave it as one
+    with their number, the later ones as covered; documents come in the order of their keys."""
+    owner = np.repeat(np.arange(len(key)), windows)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at, begin, of = low[owner] + inside, start[owner] + inside, key[owner]
+    number: dict[bytes, int] = {}
+    leads: list[int] = []
+    which = np.empty(len(at), dtype=np.int64)
+    for i, a in enumerate(at.tolist()):
+        content = units[a : a + kind.length].tobytes()
+        n = number.setdefault(content, len(leads))
+        if n == len(leads):
+            leads.append(i)
+        which[i] = n
+    lead = np.array(leads, dtype=np.int64)
+    copies = np.bincount(which, minlength=len(leads))
+    sums = hashing.prefix_sums(kind.values(units))
+    hashed = hashing.range_hash(sums, at[lead], at[lead] + kind.length, 8).view(np.int64)
+    yield cut_rows(hashed, of[lead], begin[lead], np.ones(len(lead)), list(number), copies)
+    later = np.ones(len(at), dtype=bool)
+    later[lead] = False
+    for run in runs(key, start, windows, later):
+        of_run, first, n = (run.column(i).to_numpy() for i in range(3))
+        dealt = hashing.mix(of_run.view(np.uint64) + first.astype(np.uint64), 9).view(np.int64)
+        yield cut_rows(dealt, of_run, first, n, [None] * len(n), np.zeros(len(n)))
+
+
+class Block:
+    """A stream of single windows in the order of hash and place. Of equal ones the first covers the
+    others, and with ``first_too`` is covered by them; what is held is one window per content of a
+    hash."""
+
+    def __init__(self, first_too: bool):
+        self.first_too, self.hash, self.first = first_too, None, {}
+
+    def take(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if not rows.num_rows:
+            return
+        covered: list[tuple[int, int]] = []
+        for hashed, key, start, content, copies in zip(*[rows.column(i).to_pylist() for i in (0, 1, 2, 4, 5)]):
+            if hashed != self.hash:
+                self.hash, self.first = hashed, {}
+            place = self.first.get(content)
+            if content in self.first:
+                covered.append((key, start))
+            if self.first_too and (place is not None or (content not in self.first and copies > 1)):
+                covered.append(place or (key, start))
+                self.first[content] = None  # the first one is covered, and counted once
+            elif content not in self.first:
+                self.first[content] = (key, start)
+        if covered:
+            keys, starts = np.array(covered, dtype=np.int64).T
+            yield packed(_PLACE, keys, starts, np.ones(len(keys)), np.zeros(len(keys)))
 
 
 def runs(key: np.ndarray, start: np.ndarray, windows: np.ndarray, covered: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -324,48 +394,6 @@ def runs(key: np.ndarray, start: np.ndarray, windows: np.ndarray, covered: np.nd
         yield numbers
 
 
-def by_window(documents: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
-    """The same for crowded anchors: windows meet by their own hash.
-
-    Of equal windows of a batch one goes on, with their number; runs of the others are covered
-    already and leave the task as runs (0 copies).
-    """
-
-    def hashes(chunk, key, document, start, windows, anchor) -> Iterator[pa.RecordBatch]:
-        units, offsets = kind.units(chunk)
-        low, sizes = offsets[document] + start, windows + kind.length - 1
-        wanted = np.concatenate([units[a : a + n] for a, n in zip(low.tolist(), sizes.tolist())])
-        sums = hashing.prefix_sums(kind.values(wanted))
-        owner = np.repeat(np.arange(len(key)), windows)
-        inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        begin = start[owner] + inside
-        place = (np.cumsum(sizes) - sizes)[owner] + inside
-        window = hashing.range_hash(sums, place, place + kind.length, 8)
-        order, new = firsts(window, window, key[owner], begin)
-        copies = np.diff(np.append(np.flatnonzero(new), len(order)))
-        lead = order[new]
-        yield packed(_WINDOW, window[lead], key[owner][lead], begin[lead], copies, np.ones(len(lead)))
-        later = np.ones(len(order), dtype=bool)
-        later[lead] = False
-        for run in runs(key, start, windows, later):
-            of, first, n = (run.column(i).to_numpy() for i in range(3))
-            yield packed(_WINDOW, np.zeros(len(of), dtype=np.uint64), of, first, np.zeros(len(of)), n)
-
-    rows = written(cuts(documents, wanted, hashes, _WINDOW, WINDOW), "windows")
-    leads = rows.filter("copies > 0")
-    total = leads.groupBy("window").agg(
-        F.min(F.struct("key", "start")).alias("lead"), F.sum("copies").alias("n"), F.count("*").alias("batches")
-    )
-    if kind.first_too:
-        again = total.filter("n > 1").select("window")
-        later = leads.join(again, "window", "left_semi")
-    else:
-        again = total.filter("batches > 1").select("window", "lead")
-        later = leads.join(again, "window").filter(F.struct("key", "start") != F.col("lead"))
-    whole = rows.filter("copies = 0").select("key", "start", "windows")
-    return whole.unionByName(later.select("key", "start", "windows"))
-
-
 KEY = "__key"
 
 

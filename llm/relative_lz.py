@@ -1,11 +1,13 @@
-"""Substring dedup by window hashes, in the place of relative Lempel-Ziv parsing.
+"""Substring dedup by relative Lempel-Ziv parsing: greedy factors against indexed reference blocks.
 
-The reference is the corpus itself, cut into passages, and each partition of anchors is an
-indexed reference block: a passage is sent to the one block which can hold its windows, so it is
-matched against every block that matters. Inside a block windows are taken in the order of the
-documents, and a window is a duplicate if an equal 64 bit hash came before it. No factor is
-extended greedily, and no factor's length or boundary is looked at. Equal passages and crowded
-anchors are resolved by hashes as well (``passages``).
+The reference is the corpus itself, cut into passages. Passages that share an anchor form a block:
+one indexed by its windows, which a passage is sent to if it can share a window with it. The
+passages of a block are parsed in the order of the documents against those before them (and against
+their own words before): at a place whose window the index knows, the factor is extended word by
+word as far as its reference goes on. A factor of at least a window is a duplicate span. Where it
+ends, each window that reaches over the boundary is looked up by itself, so a span that goes on in
+another part of the reference is found as well. Windows are found by hashes and compared by words'
+64 bit hashes.
 
 Words are runs without ASCII white space. Defined results: a null text has no words and an empty
 remainder; a text shorter than a window keeps all its words; rows with equal ids are documents of
@@ -28,18 +30,44 @@ WINDOW = 20
 ANCHOR = 6
 
 
-def factors(window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Parse a block's windows, in order: the first place of each, and where a factor begins.
+def index(words: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """Per window, of the places ``at`` in ascending order, the first place of an equal one."""
+    hashed = hashing.range_hash(hashing.prefix_sums(words), at, at + window, 8)
+    _, first, inverse = np.unique(hashed, return_index=True, return_inverse=True)
+    first = at[first[inverse]]
+    same = np.ones(len(at), dtype=bool)
+    for i in range(window):
+        same &= words[at + i] == words[first + i]
+    for i in np.flatnonzero(~same):  # equal hashes of unequal windows
+        mine = words[at[i] : at[i] + window]
+        earlier = np.flatnonzero(hashed[: i + 1] == hashed[i])
+        first[i] = next(at[j] for j in earlier if np.array_equal(words[at[j] : at[j] + window], mine))
+    return first
 
-    A window whose first place is its own is new to the block (a literal). A factor begins where
-    a window is known and does not continue the reference of the window before it.
+
+def factors(words: np.ndarray, at: np.ndarray, ends: np.ndarray, window: int) -> list[tuple[int, int, int]]:
+    """Place, reference and length of the greedy factors of at least a window.
+
+    ``at`` are the places at which windows begin, ascending, and ``ends`` where the passage of each
+    ends.
     """
-    _, first, inverse = np.unique(window, return_index=True, return_inverse=True)
-    source = first[inverse]
-    known = source < np.arange(len(window))
-    follows = np.zeros(len(window), dtype=bool)
-    follows[1:] = known[:-1] & (source[1:] == source[:-1] + 1)
-    return np.where(known, source, -1), known & ~follows
+    first = index(words, at, window)
+    known = np.flatnonzero(first < at)
+    found = []
+    reached = 0  # windows that begin before are inside the last factor
+    where, end_of = at[known].tolist(), dict(zip(at.tolist(), ends.tolist()))
+    for n, (place, reference) in enumerate(zip(where, first[known].tolist())):
+        if place < reached:
+            continue
+        most = min(end_of[place] - place, end_of[reference] - reference)
+        length = window
+        if n + 1 < len(where) and where[n + 1] == place + 1:
+            differs = words[place + window : place + most] != words[reference + window : reference + most]
+            length = window + int(differs.argmax()) if differs.any() else most
+        found.append((place, reference, length))
+        # The next window to look up is the first that reaches over the boundary.
+        reached = place + length - window + 1
+    return found
 
 
 def parse(numbers: list[np.ndarray], payloads: list[bytes], window: int = WINDOW) -> np.ndarray:
@@ -48,12 +76,15 @@ def parse(numbers: list[np.ndarray], payloads: list[bytes], window: int = WINDOW
     words = np.frombuffer(b"".join(payloads), dtype=np.uint64)
     windows = numbers[3].astype(np.int64)
     ends = np.cumsum(windows + window - 1)
-    sums = hashing.prefix_sums(words)
     owner = np.repeat(np.arange(len(windows)), windows)
-    inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    number = np.cumsum(windows) - windows
+    inside = np.arange(len(owner)) - number[owner]
     at = (ends - windows - window + 1)[owner] + inside
-    source, _ = factors(hashing.range_hash(sums, at, at + window, 8))
-    return source >= 0
+    covered = np.zeros(len(words) + 1, dtype=np.int64)
+    for place, _, length in factors(words, at, ends[owner], window):
+        covered[place] += 1
+        covered[place + length - window + 1] -= 1
+    return np.cumsum(covered)[at] > 0
 
 
 def kind_of(window: int = WINDOW, anchor: int = ANCHOR) -> passages.Kind:

@@ -77,27 +77,53 @@ def test_empty_table_and_clashing_columns(spark, documents):
     assert {r.doc_id: r.n_removed for r in relative_lz.deduplicated(odd).collect()} == {1: 0, 2: 30}
 
 
-def test_parse_of_phrases():
-    source, begins = relative_lz.factors(np.array([1, 2, 3, 9, 1, 2, 3, 2, 3, 1], dtype=np.uint64))
-    assert source.tolist() == [-1, -1, -1, -1, 0, 1, 2, 1, 2, 0]
-    # A factor goes on while its reference does; at its boundary the next one begins.
-    assert begins.tolist() == [False] * 4 + [True, False, False, True, False, True]
-
-
-@pytest.mark.parametrize("window", [1, 2, 7, 8, 9, 20, 24, 25, 60])
-def test_suffix_ranks_are_lexicographic(window):
-    data = np.frombuffer(random.Random(window).choices(b"ab", k=300).__str__().encode()[:300], dtype=np.uint8)
-    rank = suffix_lpf.prefix_ranks(data, window)
-    prefixes = [data[i : i + window].tobytes() for i in range(len(data) - window + 1)]
-    order = {p: n for n, p in enumerate(sorted(set(prefixes)))}
-    assert rank.tolist() == [order[p] for p in prefixes]
-
-
-def test_longest_previous_factors():
-    rank = np.array([5, 3, 5, 3, 4, 5], dtype=np.uint64)
-    previous, following = suffix_lpf.factors(rank, np.arange(6))
-    assert previous.tolist() == [False, False, True, True, False, True]
-    assert following.tolist() == [True, True, True, False, False, False]
+def test_greedy_factors_and_lookups_at_their_boundaries():
+    a, b = list(range(10, 20)), list(range(30, 40))
+    words = np.array([*a, *b, *a[2:], *b[:7], 99, *b[3:]], dtype=np.uint64)
+    ends = np.array([10, 20, 35, 43])
+    begins = [0, 10, 20, 35]
+    window = 3
+    at = np.concatenate([np.arange(low, high - window + 1) for low, high in zip(begins, ends)])
+    of = np.concatenate([np.full(high - low - window + 1, high) for low, high in zip(begins, ends)])
+    found = relative_lz.factors(words, at, of, window)
+    # The third passage is the rest of the first and the begin of the second; 99 is nowhere before.
+    assert found == [(20, 2, 8), (28, 10, 7), (36, 13, 7)]
+
+
+def naive_previous(payloads):
+    places = [(p, i) for p, text in enumerate(payloads) for i in range(len(text))]
+
+    def common(x, y):
+        a, b = payloads[x[0]][x[1] :], payloads[y[0]][y[1] :]
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    return [max((common(x, y) for y in places[:n]), default=0) for n, x in enumerate(places)]
+
+
+@pytest.mark.parametrize("letters,sizes", [(b"ab", [40, 1, 60, 25]), (b"a", [30, 30, 31]), (bytes(range(256)), [200, 90]), (b"abc", [7, 8, 21, 22, 64])])
+def test_longest_previous_factors_have_the_naive_lengths(letters, sizes):
+    draw = random.Random(sum(sizes))
+    payloads = [bytes(draw.choices(letters, k=n)) for n in sizes]
+    payloads.append(payloads[0][3:] + payloads[-1][:5])
+    found = suffix_lpf.suffixes(payloads)
+    place = np.concatenate([np.arange(len(p)) + sum(len(q) + 1 for q in payloads[:n]) for n, p in enumerate(payloads)])
+    rest = np.concatenate([len(p) - np.arange(len(p)) for p in payloads])
+    length, source = suffix_lpf.longest_previous(found, place, rest)
+    assert length.tolist() == naive_previous(payloads)
+    assert all(s < i for i, s in enumerate(source.tolist()))
+    texts = b"\x00".join(payloads) + b"\x00"
+    suffix = [texts[a : texts.index(b"\x00", a)] if 0 not in letters else None for a in found.order[np.isin(found.order, place)]]
+    assert 0 in letters or suffix == sorted(suffix)
+
+
+def test_nearest_smaller():
+    draw = random.Random(1)
+    for values in ([5, 4, 3, 2, 1], list(range(50)), draw.sample(range(1000), 400), [], [1]):
+        found = suffix_lpf.nearest_smaller(np.array(values, dtype=np.int64))
+        assert found.tolist() == [max((j for j in range(i) if values[j] < v), default=-1) for i, v in enumerate(values)]
 
 
 @pytest.mark.parametrize("at_once", [1 << 20, 50])
