@@ -17,51 +17,87 @@ from lakestrata.plans import gold, months
 from lakestrata.plans.silver import SPECS, cleansing_counters, silver
 from lakestrata.schemas import DIMENSIONS, FACTS, METADATA, ROW_ORDINAL, Table
 from lakestrata.session import in_parallel, materialise, scratch, tune
-from lakestrata.sources import drops, records
+from lakestrata.sources import drops, ledger, records
 from lakestrata.sources.layers import read_if_written, read_layer, write_layer
 
 #: Of the rows of a dataset, which were read well (0) and which have too many cells (1).
 QUARANTINED = "quarantined"
+#: Bronze has a partition for each extract.
+EXTRACT = "extract"
 
 
 def run_bronze(spark: SparkSession, raw: str, out: str, multiline: bool = False) -> DataFrame:
-    """Write every dataset as text with lineage, parsed once; rows with too many cells are kept
-    apart. Returns the reconciliation of extracts and bronze; a FAIL stops nothing.
+    """Take in the extracts which the ledger does not know as they are: each is parsed once, as text
+    with lineage, and replaces its own partition of its dataset; those of vanished extracts go. Rows
+    with too many cells are kept apart.
 
-    The rows of an extract are its lines, or with ``multiline`` its records, which are counted
-    without the parser.
+    Returns the reconciliation of extracts and bronze; a FAIL stops nothing. The rows of an extract
+    are its lines, or with ``multiline`` its records, which are counted without the parser.
     """
+    known = read_if_written(spark, f"{out}/ledger")
+    listed = materialise(ledger.changes(ledger.listing(spark, raw), known), "listed_extracts")
     batch_id, now = drops.new_batch()
-    counts, columns, stored = [], [], []
-    for dataset, paths in drops.discover(spark, raw).items():
-        states = records.block_states(spark, paths) if multiline else None
-        extracts = drops.read_headers(spark, paths, states)
-        rows = drops.read_dataset(spark, dataset, paths, raw, batch_id, now, multiline, extracts, states)
-        bad = F.col(drops.CORRUPT).isNotNull().cast("int")
-        write_layer(rows.withColumn(QUARANTINED, bad), f"{out}/bronze/{dataset}", [QUARANTINED])
-        counts.append((dataset, sum(x.rows for x in extracts.values())))
-        columns += {(dataset, c) for x in extracts.values() for c in x.header}
-        stored.append(dataset)
+    parsed: dict[str, drops.Extract] = {}
+    touched = listed.filter(F.col("status") != ledger.SAME).select("dataset", "extract", "path").collect()
+    for dataset in sorted({row.dataset for row in touched}):
+        paths = {row.path: row.extract for row in touched if row.dataset == dataset and row.path}
+        names = {row.extract for row in touched if row.dataset == dataset}
+        layer = f"{out}/bronze/{dataset}"
+        if paths:
+            files = sorted(paths)
+            states = records.block_states(spark, files) if multiline else None
+            extracts = drops.read_headers(spark, files, states)
+            parsed |= {paths[path]: extract for path, extract in extracts.items()}
+            rows = drops.read_dataset(spark, dataset, files, raw, batch_id, now, multiline, extracts, states)
+            rows = rows.withColumns({EXTRACT: F.col("source_file"), QUARANTINED: F.col(drops.CORRUPT).isNotNull().cast("int")})
+        else:
+            rows = read_layer(spark, layer).limit(0)
+        write_layer(rows, layer, [EXTRACT, QUARANTINED], replace=lambda values, own=names: values[EXTRACT] in own)
+    write_layer(ledger.renewed(listed, known, parsed), f"{out}/ledger")
+    return reconciliation(spark, out)
+
+
+def reconciliation(spark: SparkSession, out: str) -> DataFrame:
+    """Rows and columns of the extracts, by the ledger, against those bronze has."""
+    taken = read_layer(spark, f"{out}/ledger")
+    stored = [row.dataset for row in taken.select("dataset").distinct().orderBy("dataset").collect()]
     if not stored:
-        raise FileNotFoundError(f"no extracts below {raw}")
+        raise FileNotFoundError("no extracts were found")
     layers = [read_layer(spark, f"{out}/bronze/{d}") for d in stored]
     kept = [df.groupBy(dataset_of_file(F.col("source_file")).alias("dataset")).agg(F.count("*").alias("stored_rows")) for df in layers]
     kept_rows = reduce(DataFrame.unionByName, kept).groupBy("dataset").agg(F.sum("stored_rows").alias("stored_rows"))
-    kept_columns = [(d, c) for d, df in zip(stored, layers) for c in df.columns if c not in {*METADATA, ROW_ORDINAL}]
-    names = "dataset string, column string"
-    rows_report = quality.reconcile_counts(spark.createDataFrame(counts, "dataset string, raw_rows long"), kept_rows)
+    own = {*METADATA, ROW_ORDINAL, EXTRACT, QUARANTINED}
+    kept_columns = [(d, c) for d, df in zip(stored, layers) for c in df.columns if c not in own]
+    rows_report = quality.reconcile_counts(taken.groupBy("dataset").agg(F.sum("row_count").alias("raw_rows")), kept_rows)
     columns_report = quality.reconcile_columns(
-        spark.createDataFrame(sorted(columns), names), spark.createDataFrame(kept_columns, names)
+        taken.select("dataset", F.explode("header").alias("column")),
+        spark.createDataFrame(kept_columns, "dataset string, column string"),
     )
     return rows_report.join(columns_report, "dataset", "left")
 
 
+def audit_bronze(spark: SparkSession, raw: str, out: str, multiline: bool = False) -> DataFrame:
+    """The extracts, parsed again, against bronze by content: a changed, lost or doubled row on
+    either side is a FAIL, whatever the ledger says."""
+    sides: tuple[list[DataFrame], list[DataFrame]] = ([], [])
+    for dataset, paths in drops.discover(spark, raw).items():
+        stored = read_if_written(spark, f"{out}/bronze/{dataset}")
+        rows = drops.read_dataset(spark, dataset, paths, raw, "", "", multiline)
+        own = {*METADATA, ROW_ORDINAL, drops.CORRUPT, EXTRACT, QUARANTINED}
+        columns = sorted({*rows.columns, *(stored.columns if stored else ())} - own) + [drops.CORRUPT]
+        for side, df in zip(sides, (rows, stored)):
+            if df is not None:
+                filled = df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in columns])
+                side.append(filled.agg(F.lit(dataset).alias("dataset"), *quality.fingerprint(filled, columns)))
+    return quality.reconcile_content(*[reduce(DataFrame.unionByName, side) for side in sides])
+
+
 def bronze(spark: SparkSession, out: str, dataset: str) -> DataFrame | None:
     """The good rows of a dataset, if it was delivered."""
     rows = read_if_written(spark, f"{out}/bronze/{dataset}")
     if rows is None:
         return None
-    return rows.filter(F.col(QUARANTINED) == 0).drop(drops.CORRUPT, QUARANTINED)
+    return rows.filter(F.col(QUARANTINED) == 0).drop(drops.CORRUPT, EXTRACT, QUARANTINED)
 
 
 def run_silver(spark: SparkSession, out: str) -> DataFrame:

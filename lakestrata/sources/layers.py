@@ -139,12 +139,21 @@ def write_layer(
         if strange:
             raise ValueError(f"rows of partitions which are not to be replaced: {strange}")
     number = before.number + 1 if before else 0
-    version = Version(number, df.schema, tuple(partition_by), {**kept, **new})
+    schema = _merged(before.schema, df.schema) if kept else df.schema
+    version = Version(number, schema, tuple(partition_by), {**kept, **new})
     _publish(spark, path, version)
     forget(spark, path)
     return version
 
 
+def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
+    """Columns of both; files without a column read it as NULL."""
+    for field in old.fields:
+        if field.name in new.names and new[field.name].dataType != field.dataType:
+            raise ValueError(f"{field.name} was {field.dataType.simpleString()} in the partitions that stay")
+    return T.StructType(old.fields + [f for f in new.fields if f.name not in old.names])
+
+
 def _partitions(spark: SparkSession, path: str, depth: int, name: str) -> dict[str, str]:
     """Folders of one version by partition; the driver holds a name per partition."""
     pattern, system = file_system(spark, "/".join([path, *["*=*"] * depth, f"{VERSION}={name}"]))

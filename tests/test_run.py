@@ -288,6 +288,47 @@ def test_keys_and_months_of_a_later_run(spark, tmp_path):
     assert sorted(r.resident_key for r in february.collect()) == [1, 3]
 
 
+def test_only_new_and_changed_extracts_are_parsed(spark, tmp_path, monkeypatch):
+    raw, folder = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    extracts(raw)
+    run.run_bronze(spark, str(raw), folder)
+    parsed = []
+    read = drops.read_dataset
+    monkeypatch.setattr(drops, "read_dataset", lambda s, d, paths, *rest: parsed.append([p.rsplit("/", 1)[1] for p in paths]) or read(s, d, paths, *rest))
+    before = {(r.extract, r.batch_id) for r in layers.read_layer(spark, f"{folder}/bronze/yardi_units").collect()}
+    report = {r.dataset: r for r in run.run_bronze(spark, str(raw), folder).collect()}
+    assert parsed == [] and {r.row_check for r in report.values()} == {"PASS"}
+
+    (raw / "yardi_units_2025_02.csv").unlink()
+    (raw / "yardi_units_2025_03.csv").write_text("unit_id,community_id,colour\nU9,C001,red\nU8,C001,blue\n")
+    (raw / "pcc_incidents_2025_04.csv").write_text((raw / "pcc_incidents_2025_01.csv").read_text())
+    report = {r.dataset: r for r in run.run_bronze(spark, str(raw), folder).collect()}
+    assert parsed == [["pcc_incidents_2025_04.csv"], ["yardi_units_2025_03.csv"]]
+    assert {(r.row_check, r.column_check) for r in report.values()} == {("PASS", "PASS")}
+    assert (report["yardi_units"].raw_rows, report["pcc_incidents"].raw_rows) == (6, 4)
+    units = layers.read_layer(spark, f"{folder}/bronze/yardi_units")
+    assert {r.extract: r.n for r in units.groupBy("extract").agg(F.count("*").alias("n")).collect()} == {
+        "yardi_units_2025_01.csv": 4, "yardi_units_2025_03.csv": 2
+    }
+    # What stayed keeps its lineage, and columns of either delivery are there.
+    assert {(r.extract, r.batch_id) for r in units.collect()} & before == {b for b in before if "2025_01" in b[0]}
+    assert {r.colour for r in units.collect()} == {None, "red", "blue"}
+    assert run.bronze(spark, folder, "yardi_units").count() == 6
+
+
+def test_audit_of_bronze_finds_a_changed_cell(spark, tmp_path):
+    raw, folder = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    extracts(raw)
+    run.run_bronze(spark, str(raw), folder)
+    assert {r.row_check for r in run.audit_bronze(spark, str(raw), folder).collect()} == {"PASS"}
+    path = raw / "gbp_reviews_2025_01.csv"
+    path.write_text(path.read_text().replace(",4,", ",5,"))
+    checks = {r.dataset: r.row_check for r in run.audit_bronze(spark, str(raw), folder).collect()}
+    assert checks.pop("gbp_reviews") == "FAIL" and set(checks.values()) == {"PASS"}
+
+
 def test_publish(spark, out, tmp_path):
     fact = gold(spark, out, "fact_care_history")
     layers.publish(fact, "fact_care_history", "admin", str(tmp_path / "care"))
