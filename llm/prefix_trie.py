@@ -228,8 +228,8 @@ def trie(turns: DataFrame, conversations: DataFrame) -> Trie:
     stops = compared(parting.filter(last), "conv_id", "n_turns").filter(depth_of() == F.col("n_turns"))
     at = parted.filter("n_convs > 1").select(*node[:3], "here", F.col("conv_id").alias("node"))
     apart = stops.drop("last").join(at, [*node[:3], "here"]).select("conv_id", "node", F.col("n_turns").alias("depth"))
-    turnless = conversations.filter("n_turns = 0").crossJoin(F.broadcast(root.select(F.col("conv_id").alias("node")))).select(
-        "conv_id", "node", F.lit(0).cast("long").alias("depth")
+    turnless = conversations.filter("n_turns = 0").select(
+        "conv_id", root.select("conv_id").scalar().alias("node"), F.lit(0).cast("long").alias("depth")
     )
     with_others = reduce(DataFrame.unionByName, [same, apart, turnless])
     ends = written(
@@ -264,7 +264,6 @@ def trie(turns: DataFrame, conversations: DataFrame) -> Trie:
     )
     totals = in_straight.unionByName(in_parted)
     # The smallest member's own nodes above are not in the subtree; its shared nodes have dense depths.
-    first = Window.partitionBy("conv_id")
     starts = shared.groupBy("conv_id").agg(F.min("depth").alias("__from"))
     indexed = shared.withColumn("saved", saved).join(starts, "conv_id").withColumn("__i", F.col("depth") - F.col("__from"))
     own = running(indexed, "conv_id", "__i", ["saved"])
