@@ -84,6 +84,19 @@ def streamed(
     return df.mapInArrow(function, schema)
 
 
+def set_aside(df: DataFrame, *prefixes: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns of these prefixes under names it does not have, and their own names."""
+    taken = {}
+    for name in df.columns:
+        if name.startswith(prefixes):
+            other = f"__own_{name}"
+            while other in df.columns or other.startswith(prefixes):
+                other = f"_{other}"
+            taken[other] = name
+            df = df.withColumnRenamed(name, other)
+    return df, taken
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     """A record batch of arrays or numpy arrays in the order of ``schema``."""
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)]

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import hashing
-from llm.common import per_batch, table
+from llm.common import per_batch, set_aside, table
 
 #: Words of a window.
 WINDOW = 13
@@ -241,8 +241,10 @@ def figures(one_in: int = ONE_IN) -> dict[str, Column]:
 
 def clean(documents: DataFrame, items: DataFrame, one_in: int = ONE_IN) -> DataFrame:
     """The documents which are not contaminated, with their columns."""
-    found = occurrences(documents, items)
-    return found.filter(~figures(one_in)["contaminated"]).select(*documents.columns)
+    own, names = set_aside(documents, "__hit_")
+    found = occurrences(own, items)
+    kept = found.filter(~figures(one_in)["contaminated"]).select(*own.columns)
+    return kept.withColumnsRenamed(names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

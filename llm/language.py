@@ -39,10 +39,11 @@ def letter_vector(code: int) -> np.ndarray:
 
 
 def folded(codes: np.ndarray) -> np.ndarray:
-    """Lower case letters by code point; all else is a space."""
+    """Lower case letters by code point; all else is a space. A letter whose lower case is more than
+    one code point stays as it is."""
     known, inverse = np.unique(codes, return_inverse=True) if len(codes) < 4096 else _by_table(codes)
-    lower = [chr(c).lower() for c in known]
-    return np.array([ord(x) if len(x) == 1 and x.isalpha() else 32 for x in lower], dtype=np.int64)[inverse]
+    lower = [c.lower() if len(c.lower()) == 1 else c for c in map(chr, known)]
+    return np.array([ord(x) if x.isalpha() else 32 for x in lower], dtype=np.int64)[inverse]
 
 
 def _by_table(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import hashing
-from llm.common import per_batch, pieces, streamed, table, total, written
+from llm.common import per_batch, pieces, set_aside, streamed, table, total, written
 from llm.components import components
 from llm.passages import KEY, keyed, numbered
 
@@ -330,10 +330,11 @@ def verdicts(documents: DataFrame) -> DataFrame:
 
 def one_of_each(documents: DataFrame) -> DataFrame:
     """The documents with the smallest id of their group, with all their columns."""
-    rows = numbered(documents)
+    own, names = set_aside(documents, KEY)
+    rows = numbered(own)
     found = classes(rows.select(F.col(KEY).alias("key"), "doc_id", "text"))
     first = found.filter("key = component").select(F.col("key").alias(KEY))
-    return rows.join(first, KEY, "left_semi").select(*documents.columns)
+    return rows.join(first, KEY, "left_semi").select(*own.columns).withColumnsRenamed(names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,9 +65,13 @@ def secret_values(text: str, spans: list[Span]) -> Iterator[str]:
 
 
 def uncovered(text: str, spans: list[Span]) -> Iterator[re.Match]:
-    """Identifiers which no base span touches."""
+    """Identifiers which no base span touches; both come in order and are walked through once."""
+    at, reach = 0, 0
     for match in IDENTIFIER.finditer(text):
-        if not any(start < match.end() and end > match.start() for start, _, end in spans):
+        while at < len(spans) and spans[at][0] < match.end():
+            reach = max(reach, spans[at][2])
+            at += 1
+        if reach <= match.start():
             yield match
 
 

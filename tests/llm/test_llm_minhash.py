@@ -69,6 +69,13 @@ def test_one_of_each_keeps_all_columns_and_repeated_rows_once(spark):
     assert sorted((r.doc_id or 0, r.key) for r in kept.collect()) == [(0, "k3"), (1, "k2"), (8, "k5"), (9, "k4")]
 
 
+def test_one_of_each_keeps_a_column_of_its_own_key_name(spark):
+    text = prose(3, 30)
+    df = spark.createDataFrame([(1, text, "a"), (1, text, "b"), (2, text, "c")], "doc_id long, text string, `__key` string")
+    (row,) = minhash.one_of_each(df).collect()
+    assert row.doc_id == 1 and row["__key"] in ("a", "b")
+
+
 def test_empty(documents):
     assert minhash.verdicts(keyed(documents([]))).count() == 0
 

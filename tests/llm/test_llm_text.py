@@ -59,6 +59,10 @@ def test_decontamination_edges(spark, documents):
     kept = decontamination.clean(odd, items)
     assert kept.columns == odd.columns and sorted(r.n_words for r in kept.collect()) == [6, 6, 7]
     assert decontamination.clean(odd, items.limit(0)).count() == 4
+    mine = odd.withColumnsRenamed({"items": "__hit_items", "n_words": "__own___hit_items"})
+    kept = decontamination.clean(mine, items)
+    assert kept.columns == mine.columns
+    assert sorted((r["__hit_items"], r["__own___hit_items"]) for r in kept.collect()) == [("b", 6), ("b", 6), ("c", 7)]
     assert decontamination.clean(documents([]), items).count() == 0
 
 
@@ -102,6 +106,13 @@ def test_language_edges(documents, spark):
     assert language.predict(documents([]), {}).count() == 0
 
 
+def test_letters_whose_lower_case_is_longer_stay_letters():
+    codes = np.array([ord(c) for c in "İAb1 ß"])
+    assert language.folded(codes).tolist() == [ord(c) for c in "İab  ß"]
+    chunk = next(hashing.chunks(pa.array(["İ", "1"])))
+    assert language.vectors(chunk)[1].tolist() == [True, False]
+
+
 def test_hypervectors_against_plain_sums():
     text = "Ab c"
     chunk = next(hashing.chunks(pa.array([text, "", "1"])))
@@ -217,6 +228,20 @@ def test_secrets_models_find_random_strings_and_leave_identifiers(documents):
     assert cleaned[0].n_chars == len(cleaned[0].text)
 
 
+def test_identifiers_and_base_spans_are_walked_through_once():
+    def plainly(text, spans):
+        return [m.span() for m in secrets.IDENTIFIER.finditer(text) if not any(a < m.end() and b > m.start() for a, _, b in spans)]
+
+    draw = random.Random(9)
+    text = " ".join(draw.choice([*SECRETS, "some_identifier_of_a_program", "short", "e" * 30, "Another/identifier-here"]) for _ in range(400))
+    spans = secrets.base_spans(text)
+    assert [m.span() for m in secrets.uncovered(text, spans)] == plainly(text, spans)
+    nested = sorted((a, 0, a + draw.randrange(1, 60)) for a in draw.sample(range(len(text)), 50))
+    assert [m.span() for m in secrets.uncovered(text, nested)] == plainly(text, nested)
+    many = (SECRETS[0] + " some_identifier_of_a_program ") * 20_000
+    assert sum(1 for _ in secrets.uncovered(many, secrets.base_spans(many))) >= 20_000
+
+
 def test_secrets_edges(documents):
     assert secrets.train(documents([])) is None
     assert secrets.scan(documents([]), None).count() == 0
