@@ -13,7 +13,7 @@ passages are few, and two windows can only be equal if their passages share the
 2. ``compared``: these passages are cut out of their documents again and meet by anchor, where
    the operator's own method finds the equal windows inside. An anchor with more contents than
    ``GROUP`` is split further, into a block for each of its windows: they leave their documents
-   one by one, equal ones of a chunk once, and a block is read as a stream.
+   one by one, equal ones of a run once, and a block is read as a stream.
 3. ``spans``: all covered ranges of a document, brought back to its text.
 
 The text is shuffled once; both joins read the same exchange.
@@ -36,6 +36,8 @@ from llm.common import per_batch, streamed, written
 GROUP = 4096
 #: Bytes of payload which are compared at a time; whole anchors.
 AT_ONCE = 3 << 19
+#: Single windows of crowded anchors that are cut out at a time.
+SINGLE_AT_ONCE = 1 << 15
 #: Windows of a chunk whose anchors are found at a time; work arrays take about 60 times as much.
 WINDOWS_AT_ONCE = 1 << 18
 
@@ -271,8 +273,11 @@ def compared(documents: DataFrame, found: DataFrame, kind: Kind, method: Method,
         whole = np.flatnonzero(~split)
         payload = [units[a:b].tobytes() for a, b in zip(low[whole].tolist(), high[whole].tolist())]
         yield cut_rows(anchor[whole], key[whole], start[whole], windows[whole], payload, np.zeros(len(whole)))
-        if len(whole) < len(split):
-            yield from single_windows(units, low[split], key[split], start[split], windows[split], kind)
+        rest = np.flatnonzero(split)
+        reached = np.cumsum(windows[rest]) // SINGLE_AT_ONCE
+        for n in np.unique(reached):
+            own = rest[reached == n]
+            yield from single_windows(units, low[own], key[own], start[own], windows[own], kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -340,8 +345,9 @@ def single_windows(units, low, key, start, windows, kind: Kind) -> Iterator[pa.R
         which[i] = n
     lead = np.array(leads, dtype=np.int64)
     copies = np.bincount(which, minlength=len(leads))
-    sums = hashing.prefix_sums(kind.values(units))
-    hashed = hashing.range_hash(sums, at[lead], at[lead] + kind.length, 8).view(np.int64)
+    low_, high_ = int(at.min()), int(at.max()) + kind.length
+    sums = hashing.prefix_sums(kind.values(units[low_:high_]))
+    hashed = hashing.range_hash(sums, at[lead] - low_, at[lead] - low_ + kind.length, 8).view(np.int64)
     yield cut_rows(hashed, of[lead], begin[lead], np.ones(len(lead)), list(number), copies)
     later = np.ones(len(at), dtype=bool)
     later[lead] = False
