@@ -8,6 +8,7 @@ made of whole tables; ``resent`` rows are repeated on top of them.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from functools import partial
 from threading import Lock
 
@@ -18,7 +19,7 @@ from lakestrata.operators.calendar import calendar
 from lakestrata.operators.dedupe import FILE_ORDER
 from lakestrata.plans import gold
 from lakestrata.plans.silver import SPECS, cleanse, silver
-from lakestrata.schemas import DATASETS
+from lakestrata.schemas import DATASETS, FACTS
 from lakestrata.session import in_parallel, materialise, tune
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "conversations")
@@ -277,22 +278,25 @@ class Inputs:
         return calendar(bounds, "first", "last")
 
     def fact(self, name: str) -> DataFrame:
+        """A fact straight from its raw rows, for one reader: no layer is written on the way."""
         dataset, lookups = gold.FACT_SOURCES[name]
         names = [dim for dim, _, _ in lookups]
         dims = in_parallel(*[partial(self.dim, dim) for dim in names])
-        return gold.fact(name, self.stored_silver(dataset)[0], dict(zip(names, dims)))
+        return gold.fact(name, self.silver(dataset), dict(zip(names, dims)))
 
     def keyless_fact(self, name: str) -> DataFrame:
         """The typed columns alone, for rules which look at no key."""
-        return gold.fact(name, self.stored_silver(gold.FACT_SOURCES[name][0])[0], {})
+        return gold.fact(name, self.silver(gold.FACT_SOURCES[name][0]), {})
 
-    def stored_facts(self, *names: str) -> list[DataFrame]:
-        """The written gold tables, which is what analysis reads."""
+    def stored_facts(self, *names: str, columns: Sequence[str] = ()) -> list[DataFrame]:
+        """Written facts, for more than one reader, as analysis finds them; of ``columns`` those the
+        facts have, or all."""
 
         def store(name: str) -> DataFrame:
-            return self._once(name, lambda: materialise(self.fact(name), name))
+            wanted = [c for c in FACTS[name].columns if not columns or c in columns]
+            return self._once(f"{name} {wanted}", lambda: materialise(self.fact(name).select(*wanted), name))
 
         return in_parallel(*[partial(store, name) for name in names])
 
-    def stored_fact(self, name: str) -> DataFrame:
-        return self.stored_facts(name)[0]
+    def stored_fact(self, name: str, *columns: str) -> DataFrame:
+        return self.stored_facts(name, columns=columns)[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,11 @@ from checks.registry import query
 from lakestrata.operators.cube import distinct_cube, distinct_per, distinct_trailing
 from lakestrata.operators.windows import report_dates, rolling_distinct
 from lakestrata.plans import measures
-from lakestrata.session import materialise
+from lakestrata.session import in_parallel, materialise
+
+# What the measures read of a fact that is written for them.
+_RESIDENT_COLUMNS = ("resident_key", "community_key", "last_date", "status")
+_LEASE_COLUMNS = ("resident_key", "community_key", "move_out_date")
 
 _QUARTER = "CAST(date_trunc('quarter', {d}) AS DATE)"
 
@@ -31,7 +35,7 @@ _DAYS = f"SELECT {_quarter('date')} AS period, count(*) AS selected_days FROM di
     f"SELECT community_key, CAST(period AS VARCHAR) AS period, active_residents FROM ({_ACTIVE})",
 )
 def m_active_residents(inputs: Inputs) -> DataFrame:
-    return measures.active_residents(inputs.stored_fact("fact_residents"), ["community_key"], "quarter")
+    return measures.active_residents(inputs.fact("fact_residents"), ["community_key"], "quarter")
 
 
 @query(
@@ -42,7 +46,7 @@ def m_active_residents(inputs: Inputs) -> DataFrame:
 )
 def m_resident_days(inputs: Inputs) -> DataFrame:
     return measures.resident_days(
-        inputs.stored_fact("fact_residents"), inputs.dim("dim_date"), ["community_key"], "quarter"
+        inputs.fact("fact_residents"), inputs.dim("dim_date"), ["community_key"], "quarter"
     )
 
 
@@ -71,7 +75,7 @@ def _with_unknown(fact: DataFrame) -> DataFrame:
 )
 def m_incident_rate(inputs: Inputs) -> DataFrame:
     return measures.incident_rate(
-        *map(_with_unknown, inputs.stored_facts("fact_incidents", "fact_residents")),
+        *map(_with_unknown, in_parallel(*[partial(inputs.fact, f) for f in ("fact_incidents", "fact_residents")])),
         inputs.dim("dim_date"),
         ["community_key"],
         "quarter",
@@ -103,7 +107,7 @@ _AVERAGE = """SELECT g.community_key, m.report_date, CAST(sum(residents) AS DOUB
     f"SELECT community_key, CAST(report_date AS VARCHAR) AS report_date, move_outs FROM ({_MOVED})",
 )
 def m_trailing_moveouts(inputs: Inputs) -> DataFrame:
-    return measures.trailing_moveouts(inputs.stored_fact("fact_leases"), inputs.dim("dim_date"), ["community_key"])
+    return measures.trailing_moveouts(inputs.stored_fact("fact_leases", *_LEASE_COLUMNS), inputs.dim("dim_date"), ["community_key"])
 
 
 @query(
@@ -112,7 +116,7 @@ def m_trailing_moveouts(inputs: Inputs) -> DataFrame:
 )
 def m_trailing_avg_active(inputs: Inputs) -> DataFrame:
     return measures.trailing_average_active(
-        inputs.stored_fact("fact_residents"), inputs.dim("dim_date"), ["community_key"]
+        inputs.stored_fact("fact_residents", *_RESIDENT_COLUMNS), inputs.dim("dim_date"), ["community_key"]
     )
 
 
@@ -125,7 +129,8 @@ def m_trailing_avg_active(inputs: Inputs) -> DataFrame:
         FULL JOIN ({_AVERAGE.format(residents=_RESIDENTS)}) a ON m.community_key IS NOT DISTINCT FROM a.community_key AND m.report_date = a.report_date""",
 )
 def m_moveout_rate(inputs: Inputs) -> DataFrame:
-    leases, residents = map(_with_unknown, inputs.stored_facts("fact_leases", "fact_residents"))
+    both = inputs.stored_facts("fact_leases", "fact_residents", columns=(*_LEASE_COLUMNS, *_RESIDENT_COLUMNS))
+    leases, residents = map(_with_unknown, both)
     return measures.moveout_rate(leases, residents, inputs.dim("dim_date"), ["community_key"])
 
 
@@ -143,7 +148,8 @@ def m_moveout_rate(inputs: Inputs) -> DataFrame:
         FROM counted""",
 )
 def m_occupancy(inputs: Inputs) -> DataFrame:
-    return measures.occupancy(*inputs.stored_facts("fact_units", "fact_leases"), ["community_key"], "quarter")
+    units, leases = inputs.stored_fact("fact_units", "unit_key", "community_key", "snapshot_date"), inputs.fact("fact_leases")
+    return measures.occupancy(units, leases, ["community_key"], "quarter")
 
 
 @query(
@@ -195,7 +201,8 @@ def m_conversion_rate(inputs: Inputs) -> DataFrame:
 )
 def m_occupied_units_daily(inputs: Inputs) -> DataFrame:
     """Every day of the calendar."""
-    return measures.occupied_units(inputs.stored_fact("fact_leases"), inputs.dim("dim_date"), ["community_key"])
+    leases = inputs.stored_fact("fact_leases", "community_key", "unit_key", "move_in_date", "move_out_date")
+    return measures.occupied_units(leases, inputs.dim("dim_date"), ["community_key"])
 
 
 _ACTIVE_ROWS = "(SELECT community_key, resident_key, last_date FROM fact_residents WHERE status = 'Active')"

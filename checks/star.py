@@ -145,9 +145,9 @@ def star_key_lookup(inputs: Inputs) -> DataFrame:
 )
 def interval_join(inputs: Inputs) -> DataFrame:
     on = ["unit_id", "community_id"]
-    units, leases = inputs.stored_silver("yardi_units", "yardi_leases")
-    units = units.select(*on, "snapshot_date")
-    leases = leases.select(*on, "lease_id", "move_in_date", "move_out_date")
+    # The units are read for their months and for the join, the leases once.
+    units = materialise(inputs.silver("yardi_units").select(*on, "snapshot_date"), "unit_dates")
+    leases = inputs.silver("yardi_leases").select(*on, "lease_id", "move_in_date", "move_out_date")
     return joins.interval_join(units, leases, on, "snapshot_date", "move_in_date", "move_out_date")
 
 
@@ -161,9 +161,8 @@ def interval_join(inputs: Inputs) -> DataFrame:
 )
 def month_aligned_join(inputs: Inputs) -> DataFrame:
     on = ["resident_id", "community_id"]
-    incidents, snapshots = inputs.stored_silver("pcc_incidents", "pcc_residents")
-    incidents = incidents.select("incident_id", *on, "incident_date")
-    snapshots = snapshots.select(*on, "last_date", "care_level")
+    incidents = inputs.silver("pcc_incidents").select("incident_id", *on, "incident_date")
+    snapshots = inputs.silver("pcc_residents").select(*on, "last_date", "care_level")
     return joins.month_aligned_join(incidents, snapshots, on, "incident_date", "last_date")
 
 
@@ -232,7 +231,7 @@ for _name, (_table, _columns) in _FACTS.items():
 )
 def occupancy_by_community(inputs: Inputs) -> DataFrame:
     return analysis.occupancy_by_community(
-        *inputs.stored_facts("fact_units", "fact_leases"), inputs.dim("dim_community")
+        inputs.fact("fact_units"), inputs.fact("fact_leases"), inputs.dim("dim_community")
     )
 
 
@@ -248,7 +247,7 @@ def occupancy_by_community(inputs: Inputs) -> DataFrame:
         WHERE (SELECT count(*) FROM tally b WHERE b.community_key = t.community_key AND (b.n > t.n OR b.n = t.n AND b.reason < t.reason)) < 3""",
 )
 def top_moveout_reasons(inputs: Inputs) -> DataFrame:
-    return analysis.top_moveout_reasons(inputs.stored_fact("fact_leases"), inputs.dim("dim_community"), *YEAR)
+    return analysis.top_moveout_reasons(inputs.fact("fact_leases"), inputs.dim("dim_community"), *YEAR)
 
 
 @query(
@@ -270,9 +269,9 @@ def top_moveout_reasons(inputs: Inputs) -> DataFrame:
         FROM line NATURAL JOIN dim_community""",
 )
 def incident_rate(inputs: Inputs) -> DataFrame:
-    return analysis.incident_rate(
-        *inputs.stored_facts("fact_incidents", "fact_residents"), inputs.dim("dim_community")
-    )
+    columns = ("resident_key", "community_key", "last_date", "care_level", "status")
+    residents = inputs.stored_fact("fact_residents", *columns)
+    return analysis.incident_rate(inputs.fact("fact_incidents"), residents, inputs.dim("dim_community"))
 
 
 @query(
