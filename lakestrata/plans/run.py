@@ -78,7 +78,7 @@ def reconciliation(spark: SparkSession, out: str) -> DataFrame:
 
 def audit_bronze(spark: SparkSession, raw: str, out: str, multiline: bool = False) -> DataFrame:
     """The extracts, parsed again, against bronze by content: a changed, lost or doubled row on
-    either side is a FAIL, whatever the ledger says."""
+    either side is a FAIL of ``content_check``, whatever the ledger says."""
     sides: tuple[list[DataFrame], list[DataFrame]] = ([], [])
     for dataset, paths in drops.discover(spark, raw).items():
         stored = read_if_written(spark, f"{out}/bronze/{dataset}")
@@ -87,8 +87,7 @@ def audit_bronze(spark: SparkSession, raw: str, out: str, multiline: bool = Fals
         columns = sorted({*rows.columns, *(stored.columns if stored else ())} - own) + [drops.CORRUPT]
         for side, df in zip(sides, (rows, stored)):
             if df is not None:
-                filled = df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in columns])
-                side.append(filled.agg(F.lit(dataset).alias("dataset"), *quality.fingerprint(filled, columns)))
+                side.append(df.agg(F.lit(dataset).alias("dataset"), *quality.fingerprint(df, columns)))
     return quality.reconcile_content(*[reduce(DataFrame.unionByName, side) for side in sides])
 
 

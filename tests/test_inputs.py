@@ -50,6 +50,7 @@ def test_reconciliation_sees_what_the_reader_loses(spark, monkeypatch):
     found = {r.dataset: r for r in entry.queries()["layer_reconciliation"](spark, FOLDER).collect()}
     assert {d for d, r in found.items() if r.row_check == "FAIL"} == {"pcc_incidents", "adp_shifts"}
     assert {d for d, r in found.items() if r.column_check == "FAIL"} == {"pcc_residents"}
+    assert {d for d, r in found.items() if r.content_check == "FAIL"} == {"pcc_incidents", "adp_shifts", "pcc_residents"}
 
 
 @pytest.mark.parametrize("dataset", RAW)

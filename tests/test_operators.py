@@ -343,7 +343,7 @@ def test_reconciliation_sees_changed_cells_and_not_the_order(spark):
         return df.agg(F.lit("d").alias("dataset"), *quality.fingerprint(df, ["k", "v"]))
 
     def check(found):
-        return quality.reconcile_content(side(rows_), side(found)).first().row_check
+        return quality.reconcile_content(side(rows_), side(found)).first().content_check
 
     assert check([("3", "c"), ("1", "a"), ("2", "")]) == "PASS"
     for other in ([("1", "b"), ("2", ""), ("3", "c")], [("1", "a"), ("1", "a"), ("3", "c")], [("1", "c"), ("2", ""), ("3", "a")], rows_[:2], [("1a", ""), *rows_[1:]]):

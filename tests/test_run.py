@@ -322,10 +322,10 @@ def test_audit_of_bronze_finds_a_changed_cell(spark, tmp_path):
     raw.mkdir()
     extracts(raw)
     run.run_bronze(spark, str(raw), folder)
-    assert {r.row_check for r in run.audit_bronze(spark, str(raw), folder).collect()} == {"PASS"}
+    assert {r.content_check for r in run.audit_bronze(spark, str(raw), folder).collect()} == {"PASS"}
     path = raw / "gbp_reviews_2025_01.csv"
     path.write_text(path.read_text().replace(",4,", ",5,"))
-    checks = {r.dataset: r.row_check for r in run.audit_bronze(spark, str(raw), folder).collect()}
+    checks = {r.dataset: r.content_check for r in run.audit_bronze(spark, str(raw), folder).collect()}
     assert checks.pop("gbp_reviews") == "FAIL" and set(checks.values()) == {"PASS"}
 
 
