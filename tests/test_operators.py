@@ -348,3 +348,12 @@ def test_reconciliation_sees_changed_cells_and_not_the_order(spark):
     assert check([("3", "c"), ("1", "a"), ("2", "")]) == "PASS"
     for other in ([("1", "b"), ("2", ""), ("3", "c")], [("1", "a"), ("1", "a"), ("3", "c")], [("1", "c"), ("2", ""), ("3", "a")], rows_[:2], [("1a", ""), *rows_[1:]]):
         assert check(other) == "FAIL", other
+
+
+def test_snapshots_laid_out_by_an_explode_are_not_broadcast(spark):
+    """Spark counts no rows that an explode makes: it takes these snapshots for a few hundred bytes."""
+    events = spark.sql("SELECT id AS k, DATE '2024-01-05' AS at FROM range(30)")
+    snaps = spark.sql("SELECT id AS k, explode(sequence(DATE '2024-01-31', DATE '2026-01-31', INTERVAL 1 MONTH)) AS last FROM range(30)")
+    found = joins.month_aligned_join(events, snaps, ["k"], "at", "last")
+    assert Counter(row.k for row in found.collect()) == Counter(range(30))
+    assert "SortMergeJoin" in final_plan(found) and "Broadcast" not in final_plan(found)
