@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks import inputs as inputs_module
 from checks.inputs import RAW, Inputs
 from lakestrata.sources import drops
 
@@ -58,3 +60,24 @@ def test_extracts_are_not_dealt_by_file(spark, dataset):
     """A month with most of the rows must not be one task's."""
     plan = Inputs(spark, FOLDER).raw(dataset)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" not in plan
+
+
+def test_snapshots_are_laid_out_by_many_tasks_and_are_the_rows_of_the_sql(spark, tmp_path, monkeypatch):
+    """The table is one file of one row group, which one task reads; keys repeat and may be NULL."""
+    monkeypatch.setattr(inputs_module, "ROWS_OF_TASK", 10)
+    day = "CAST('2024-01-01' AS TIMESTAMP) + make_interval(0, 0, 0, CAST(id AS INT))"
+    keys = "CASE WHEN id % 17 = 0 THEN NULL ELSE id % 40 END"
+    tables = {
+        "orders": f"SELECT id AS o_orderkey, {keys} AS o_custkey, {day} AS o_orderdate FROM range(90)",
+        "customer": f"SELECT {keys} AS c_custkey, 'n' || id AS c_name, 'm' AS c_mktsegment, id / 3.0D AS c_acctbal FROM range(60)",
+        "part": f"SELECT {keys} AS p_partkey, 'LARGE' AS p_type, id / 7.0D AS p_retailprice FROM range(60)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    inputs = Inputs(spark, str(tmp_path))
+    for dataset in inputs_module.SNAPSHOTS:
+        rows = inputs.raw(dataset)
+        assert rows.rdd.getNumPartitions() >= 6
+        expected = inputs._select(inputs_module.raw_sql(dataset, inputs_module.SPARK_MONTHS))
+        assert rows.columns == expected.columns
+        assert Counter(map(tuple, rows.collect())) == Counter(map(tuple, expected.collect()))
