@@ -357,3 +357,11 @@ def test_snapshots_laid_out_by_an_explode_are_not_broadcast(spark):
     found = joins.month_aligned_join(events, snaps, ["k"], "at", "last")
     assert Counter(row.k for row in found.collect()) == Counter(range(30))
     assert "SortMergeJoin" in final_plan(found) and "Broadcast" not in final_plan(found)
+
+
+def test_rules_of_distinct_rows_shuffle_flags_alone(spark):
+    rows = spark.createDataFrame([(1, 9, "x"), (1, 9, "x"), (2, 9, "y"), (3, 1, "z"), (4, None, "z")], "h long, n int, words string")
+    rules = quality.in_range("n", 1, 5) | quality.not_null(["n"])
+    found = quality.count_distinct_violations(rows, ["h"], "t", rules)
+    assert {(row.rule, row.violations) for row in found.collect()} == {("n out of range", 2), ("n is null", 1)}
+    assert "words" not in final_plan(found).split("Exchange")[1].splitlines()[0] and "Sort" not in final_plan(found)
