@@ -271,7 +271,8 @@ def top_moveout_reasons(inputs: Inputs) -> DataFrame:
 def incident_rate(inputs: Inputs) -> DataFrame:
     columns = ("resident_key", "community_key", "last_date", "care_level", "status")
     residents = inputs.stored_fact("fact_residents", *columns)
-    return analysis.incident_rate(inputs.fact("fact_incidents"), residents, inputs.dim("dim_community"))
+    incidents = inputs.fact("fact_incidents", "incident_id", "resident_key", "community_key", "incident_date")
+    return analysis.incident_rate(incidents, residents, inputs.dim("dim_community"))
 
 
 @query(

@@ -81,3 +81,29 @@ def test_snapshots_are_laid_out_by_many_tasks_and_are_the_rows_of_the_sql(spark,
         expected = inputs._select(inputs_module.raw_sql(dataset, inputs_module.SPARK_MONTHS))
         assert rows.columns == expected.columns
         assert Counter(map(tuple, rows.collect())) == Counter(map(tuple, expected.collect()))
+
+
+def test_a_fact_of_some_columns_keeps_every_row(spark):
+    """Rows are told apart by all cells of an extract, also those which are not asked for."""
+    inputs = Inputs(spark, FOLDER)
+    whole = inputs.fact("fact_incidents").groupBy("resident_key", "incident_date").count().collect()
+    part = inputs.fact("fact_incidents", "resident_key", "incident_date")
+    assert part.columns == ["resident_key", "incident_date"]
+    assert Counter(part.groupBy("resident_key", "incident_date").count().collect()) == Counter(whole)
+
+
+@pytest.mark.parametrize("dim, key", [("dim_residents", "resident_id"), ("dim_unit", "unit_id"), ("dim_employee", "employee_id")])
+def test_a_dimension_cleanses_its_attributes_once_for_each_id(spark, dim, key, monkeypatch):
+    dataset = {"dim_residents": "pcc_residents", "dim_unit": "yardi_units", "dim_employee": "adp_shifts"}[dim]
+    attributes = {"dim_residents": ["first_name", "last_name", "dob", "gender"], "dim_unit": ["unit_type"], "dim_employee": ["role"]}[dim]
+    seen = []
+    first = inputs_module.first_by_key
+    monkeypatch.setattr(inputs_module, "first_by_key", lambda rows, *rest: seen.append(rows) or first(rows, *rest))
+    inputs = Inputs(spark, FOLDER)
+    found = inputs.dim(dim).drop(key.replace("_id", "_key"))
+    (rows,) = seen
+    raw = inputs.raw(dataset)
+    assert not rows.select(*attributes).exceptAll(raw.select(*attributes)).limit(1).count()
+    cleansed = inputs.clean(dataset, key, *attributes, "source_file", "row_ordinal")
+    wanted = first(cleansed, [key], attributes)
+    assert Counter(found.select(*wanted.columns).collect()) == Counter(wanted.collect())
