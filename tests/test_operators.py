@@ -31,6 +31,33 @@ def test_keep_first_takes_the_earlier_file_and_null_equals_null(spark):
     assert rows(keep_first(once, ["k", "v"])) == rows(once)
 
 
+def test_keep_first_of_wanted_business_columns_sorts_nothing(spark):
+    df = spark.createDataFrame(
+        [("a", None, 5, "f_2", 0), ("a", None, 5, "f_1", 9), ("a", 1, 6, "f_1", 3), ("a", 1, 7, "f_1", 4), (None, 1, 7, "f_3", 0)],
+        "k string, v int, w int, source_file string, row_ordinal int",
+    )
+    once = keep_first(df, ["k", "v", "w"], wanted=["k", "v"])
+    assert rows(once) == rows(spark.createDataFrame([("a", None), ("a", 1), ("a", 1), (None, 1)], "k string, v int"))
+    assert "Sort" not in final_plan(once)
+    first = keep_first(df, ["k", "v", "w"], wanted=["k", "source_file"])
+    assert rows(first) == rows(spark.createDataFrame([("a", "f_1"), ("a", "f_1"), ("a", "f_1"), (None, "f_3")], "k string, source_file string"))
+
+
+def test_rows_with_nulls_in_other_places_are_no_copies(spark):
+    df = spark.createDataFrame(
+        [("x", "d", None, "f", 0), ("x", None, "d", "f", 1), ("x", None, "d", "f", 2)], "k string, a string, b string, source_file string, row_ordinal int"
+    )
+    assert rows(keep_first(df, ["k", "a", "b"])) == rows(df.filter("row_ordinal < 2"))
+    assert tuple(quality.duplicate_report(df, "t", ["k", "a", "b"]).first()) == ("t", 3, 3, 2)
+
+
+def test_a_duplicate_report_shuffles_no_texts(spark):
+    df = spark.createDataFrame([("text", "f_1", 0), ("text", "f_2", 0), ("text", "f_2", 0)], "words string, source_file string, row_ordinal int")
+    report = quality.duplicate_report(df, "t", ["words"])
+    assert tuple(report.first()) == ("t", 3, 2, 1)
+    assert all("words" not in part.splitlines()[0] for part in final_plan(report).split("Exchange")[1:])
+
+
 def test_first_by_key(spark):
     df = spark.createDataFrame(
         [(1, "late", "f_2", 0), (1, "early", "f_1", 5), (2, None, "f_1", 1), (2, "x", "f_1", 2)],
