@@ -107,3 +107,16 @@ def test_a_dimension_cleanses_its_attributes_once_for_each_id(spark, dim, key, m
     cleansed = inputs.clean(dataset, key, *attributes, "source_file", "row_ordinal")
     wanted = first(cleansed, [key], attributes)
     assert Counter(found.select(*wanted.columns).collect()) == Counter(wanted.collect())
+
+
+def test_silver_of_some_columns_keeps_every_row(spark, tmp_path):
+    """Rows which are equal in the columns asked for and differ in others stay apart; copies go."""
+    parts = [(1, "LARGE", 10.0), (1, "LARGE", 20.0), (1, "LARGE", 20.0), (None, "SMALL", 1.0)]
+    spark.createDataFrame(parts, "p_partkey long, p_type string, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    spark.sql("SELECT id AS o_orderkey, TIMESTAMP '2024-01-05' AS o_orderdate FROM range(1)").write.parquet(f"{tmp_path}/orders.parquet")
+    inputs = Inputs(spark, str(tmp_path))
+    columns = ["unit_id", "community_id", "snapshot_date"]
+    part = inputs.silver("yardi_units", *columns)
+    assert part.columns == columns and part.count() == 3
+    assert Counter(part.collect()) == Counter(inputs.silver("yardi_units").select(*columns).collect())
+    assert "source_file" not in part._jdf.queryExecution().executedPlan().toString()

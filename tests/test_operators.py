@@ -392,3 +392,24 @@ def test_rules_of_distinct_rows_shuffle_flags_alone(spark):
     found = quality.count_distinct_violations(rows, ["h"], "t", rules)
     assert {(row.rule, row.violations) for row in found.collect()} == {("n out of range", 2), ("n is null", 1)}
     assert "words" not in final_plan(found).split("Exchange")[1].splitlines()[0] and "Sort" not in final_plan(found)
+
+
+def generated_rows(node) -> int:
+    """Rows which the explodes of a plan that has run have made."""
+    own = node.metrics().apply("numOutputRows").value() if node.nodeName() == "Generate" else 0
+    return own + sum(generated_rows(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_an_interval_is_not_laid_on_every_month(spark, no_broadcast):
+    """Ten years with a point in each month: an interval without an end is written ten times, not 120 times."""
+    points = spark.sql("SELECT 1 AS unit, explode(sequence(DATE '2020-01-31', DATE '2029-12-31', INTERVAL 1 MONTH)) AS at")
+    points = spark.createDataFrame(points.collect(), points.schema)
+    intervals = spark.sql("SELECT 1 AS unit, id AS lease, DATE '2020-01-01' AS start, CAST(NULL AS DATE) AS end FROM range(5)")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = joins.interval_join(points, intervals, ["unit"], "at", "start", "end")
+        assert len(found.collect()) == 5 * 120
+        assert generated_rows(found._jdf.queryExecution().executedPlan()) == 5 * 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
