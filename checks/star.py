@@ -145,7 +145,7 @@ def star_key_lookup(inputs: Inputs) -> DataFrame:
 )
 def interval_join(inputs: Inputs) -> DataFrame:
     on = ["unit_id", "community_id"]
-    # The units are read for their years and for the join, the leases once.
+    # The units are read for their decades and for the join, the leases once.
     units = materialise(inputs.silver("yardi_units", *on, "snapshot_date"), "unit_dates")
     leases = inputs.silver("yardi_leases", *on, "lease_id", "move_in_date", "move_out_date")
     return joins.interval_join(units, leases, on, "snapshot_date", "move_in_date", "move_out_date")
