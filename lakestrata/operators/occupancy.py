@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,41 +18,44 @@ def covered_points(
 ) -> DataFrame:
     """Distinct (key, point) with ``is_covered``: some interval has start <= point <= end.
 
-    A running count of starts and ends per key answers this without forming pairs. The changes
-    are summed per key and day before the window, so a key with very many intervals brings at
-    most one row per calendar day into its window.
+    A running count of starts and ends per key answers this without forming pairs. Intervals and
+    points are gathered by key once, an interval as one row; its two changes are made there, and
+    one sort puts the changes of a day before its points and equal points next to each other.
     """
     known = F.lit(True)
     for c in on:
         known = known & F.col(c).isNotNull()
-    change = F.struct(F.col(start).alias("day"), F.lit(1).alias("change"))
-    back = F.struct(F.date_add(F.col(end), 1).alias("day"), F.lit(-1).alias("change"))
-    changes = (
-        intervals.filter(known & F.col(start).isNotNull())
-        .filter(F.col(end).isNull() | (F.col(end) >= F.col(start)))
-        .select(*on, F.explode(F.when(F.col(end).isNull(), F.array(change)).otherwise(F.array(change, back))).alias("c"))
-        .select(*on, "c.day", "c.change", F.lit(False).alias("is_point"))
+    spans = _valid(intervals.filter(known), start, end).select(
+        *on, F.col(start).alias("day"), F.col(end).alias("end"), F.lit(False).alias("is_point")
     )
     asked = points.select(
-        *on, F.col(point).alias("day"), F.lit(0).alias("change"), F.lit(True).alias("is_point")
-    )
-    per_day = (
-        changes.unionByName(asked)
-        .groupBy(*on, "day")
-        .agg(F.sum("change").alias("change"), F.max("is_point").alias("is_point"))
-    )
-    upto = (
-        Window.partitionBy(*on)
-        .orderBy(F.col("day").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        *on, F.col(point).alias("day"), F.lit(None).cast("date").alias("end"), F.lit(True).alias("is_point")
     )
+    gathered = spans.unionByName(asked).repartition(*on)
+    change = F.when(F.col("is_point"), F.lit(0)).otherwise(F.lit(1))
+    changes = gathered.select(*on, "is_point", F.explode(_changes("day", "end", change)).alias("c"))
+    order = Window.partitionBy(*on).orderBy(F.col("day").asc_nulls_first(), "is_point")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = F.struct("day", "is_point")
     return (
-        per_day.withColumn("open", F.sum("change").over(upto))
-        .filter("is_point")
+        changes.select(*on, "is_point", "c.day", "c.change")
+        .withColumns({"open": F.sum("change").over(upto), "again": F.lag(here).over(order).eqNullSafe(here)})
+        .filter(F.col("is_point") & ~F.col("again"))
         .select(*on, F.col("day").alias(point), (F.col("open") > 0).alias("is_covered"))
     )
 
 
+def _valid(intervals: DataFrame, start: str, end: str) -> DataFrame:
+    return intervals.filter(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start))))
+
+
+def _changes(start: str, end: str, change: Column) -> Column:
+    """The days at which an interval begins and no longer holds, each with its change."""
+    begin = F.struct(F.col(start).alias("day"), change.alias("change"))
+    back = F.struct(F.date_add(F.col(end), 1).alias("day"), F.lit(-1).alias("change"))
+    return F.when(F.col(end).isNull(), F.array(begin)).otherwise(F.array(begin, back))
+
+
 def keys_covered_on(
     intervals: DataFrame, by: Sequence[str], key: str, start: str, end: str, dates: DataFrame, date: str, name: str
 ) -> DataFrame:
@@ -60,23 +63,18 @@ def keys_covered_on(
     interval with start <= date <= end; an open end never ends, an interval without a start or key
     never begins.
 
-    A sweep over time: per key, starts and ends are summed up per day, and where its running sum
-    leaves or reaches zero the key becomes covered or free. These changes are summed per group and
-    day, and their running sum is the answer on every date. What is written grows with intervals
-    plus dates, not with their pairs, and a window holds one row per day at most.
+    A sweep over time: where the running count of a key's starts and ends leaves or reaches zero the
+    key becomes covered or free. These turns are summed per group and day, and their running sum is
+    the answer on every date; turns to and fro on one day add up to none, in whatever order. Intervals
+    are gathered by key once, and what is made of them grows with intervals plus dates, not with
+    their pairs.
     """
-    change = F.struct(F.col(start).alias("day"), F.lit(1).alias("change"))
-    back = F.struct(F.date_add(F.col(end), 1).alias("day"), F.lit(-1).alias("change"))
-    valid = F.col(key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start)))
-    per_day = (
-        intervals.filter(valid)
-        .select(*by, key, F.explode(F.when(F.col(end).isNull(), F.array(change)).otherwise(F.array(change, back))).alias("c"))
-        .groupBy(*by, key, F.col("c.day").alias("day"))
-        .agg(F.sum("c.change").alias("change"))
-    )
-    open_now = F.sum("change").over(Window.partitionBy(*by, key).orderBy("day"))
+    valid = _valid(intervals.filter(F.col(key).isNotNull()), start, end).select(*by, key, start, end)
+    gathered = valid.repartition(*by, key)
+    changes = gathered.select(*by, key, F.explode(_changes(start, end, F.lit(1))).alias("c")).select(*by, key, "c.*")
+    upto = Window.partitionBy(*by, key).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     turned = (F.col("open") > 0).cast("int") - (F.col("open") - F.col("change") > 0).cast("int")
-    turns = per_day.withColumn("open", open_now).withColumn("turn", turned).filter("turn <> 0")
+    turns = changes.withColumn("open", F.sum("change").over(upto)).withColumn("turn", turned).filter("turn <> 0")
 
     asked = dates.select(*by, F.col(date).alias("day"), F.lit(0).alias("turn"), F.lit(True).alias("asked")).distinct()
     days = (

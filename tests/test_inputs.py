@@ -120,3 +120,19 @@ def test_silver_of_some_columns_keeps_every_row(spark, tmp_path):
     assert part.columns == columns and part.count() == 3
     assert Counter(part.collect()) == Counter(inputs.silver("yardi_units").select(*columns).collect())
     assert "source_file" not in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_distinct_fact_has_each_of_its_rows_once(spark, tmp_path):
+    parts = [(1, "LARGE", 10.0), (1, "LARGE", 20.0), (1, "LARGE", 20.0), (2, "SMALL", 1.0), (None, "SMALL", 1.0)]
+    spark.createDataFrame(parts, "p_partkey long, p_type string, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    spark.sql("SELECT id AS o_orderkey, id AS o_custkey, TIMESTAMP '2024-01-05' AS o_orderdate FROM range(1)").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = Inputs(spark, str(tmp_path)).raw("yardi_units")
+    inputs = Inputs(spark, str(tmp_path))
+    inputs._built["raw yardi_units"] = rows.unionByName(rows)
+    inputs._built["dim_community"] = spark.createDataFrame([("C002", 2), ("C003", 3)], "community_id string, community_key long")
+    columns = ["unit_key", "community_key", "snapshot_date"]
+    found = inputs.distinct_fact("fact_units", *columns)
+    assert found.columns == columns
+    assert Counter(found.collect()) == Counter(inputs.fact("fact_units", *columns).distinct().collect())
+    assert found.count() == 3 and inputs.fact("fact_units", *columns).count() == 4
+    assert "xxhash64" not in found._jdf.queryExecution().optimizedPlan().toString()

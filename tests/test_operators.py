@@ -413,3 +413,19 @@ def test_an_interval_is_not_laid_on_every_month(spark, no_broadcast):
         assert generated_rows(found._jdf.queryExecution().executedPlan()) == 5
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_sweeps_with_equal_points_open_ends_and_turns_on_one_day(spark):
+    """Equal points are one, a key that is left and taken on one day stays covered."""
+    days = [DAY + timedelta(n) for n in range(6)]
+    spans = spark.createDataFrame(
+        [(1, days[1], days[2]), (1, days[3], days[3]), (1, days[3], days[3]), (2, days[4], None), (None, days[0], None), (3, days[2], days[1])],
+        "k int, s date, e date",
+    )
+    asked = [(k, d) for k in (1, 2, 3, None) for d in [*days, None]]
+    points = spark.createDataFrame(asked * 2, "k int, at date")
+    taken = {(1, d) for d in days[1:4]} | {(2, d) for d in days[4:]}
+    assert rows(covered_points(points, spans, ["k"], "at", "s", "e")) == sorted(((*p, p in taken) for p in asked), key=repr)
+    dates = spark.createDataFrame([(d,) for d in days], "at date")
+    found = keys_covered_on(spans, [], "k", "s", "e", dates, "at", "n")
+    assert rows(found) == sorted(((d, sum((k, d) in taken for k in (1, 2))) for d in days), key=repr)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.operators import joins, windows
 from lakestrata.operators.dedupe import keep_first
-from lakestrata.operators.occupancy import covered_points
+from lakestrata.operators.occupancy import covered_points, keys_covered_on
 from lakestrata.plans import analysis, gold
 from lakestrata.session import materialise, new_shared_path, scratch, shared_folder
 
@@ -121,3 +121,15 @@ def test_shared_folder_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == configured.rstrip("/")
     assert new_shared_path(spark, "a").startswith(shared_folder(spark))
+
+
+def test_sweeps_gather_intervals_and_points_once(spark, tables):
+    """One shuffle by key, of an interval as one row; the second sweep adds up its turns per group."""
+    units, leases, _ = tables
+    on, dates = ["unit_key", "community_key"], ("move_in_date", "move_out_date")
+    plan = plan_of(covered_points(units, leases, on, "snapshot_date", *dates))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan.split("Exchange")[1]
+    asked = units.select("community_key", "snapshot_date")
+    plan = plan_of(keys_covered_on(leases, ["community_key"], "unit_key", *dates, asked, "snapshot_date", "n"))
+    by_unit = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "unit_key" in line]
+    assert len(by_unit) == 1
