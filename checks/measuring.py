@@ -148,7 +148,9 @@ def m_moveout_rate(inputs: Inputs) -> DataFrame:
         FROM counted""",
 )
 def m_occupancy(inputs: Inputs) -> DataFrame:
-    units, leases = inputs.stored_fact("fact_units", "unit_key", "community_key", "snapshot_date"), inputs.fact("fact_leases")
+    """Distinct units are counted, so rows and leases that are equal in what is read are one."""
+    units = materialise(inputs.distinct_fact("fact_units", "unit_key", "community_key", "snapshot_date"), "fact_units")
+    leases = inputs.distinct_fact("fact_leases", "unit_key", "community_key", "move_in_date", "move_out_date")
     return measures.occupancy(units, leases, ["community_key"], "quarter")
 
 
