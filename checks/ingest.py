@@ -13,7 +13,7 @@ from lakestrata.functions.dates import dataset_of_file
 from lakestrata.operators import quality
 from lakestrata.plans.run import QUARANTINED
 from lakestrata.schemas import DATASETS
-from lakestrata.session import in_parallel, materialise, new_shared_path, remove
+from lakestrata.session import in_parallel, materialise, new_shared_path, remove, setting
 from lakestrata.sources import drops
 from lakestrata.sources.layers import as_records, read_layer, write_layer
 
@@ -22,14 +22,20 @@ _LINE_BREAKS = {"gbp_reviews"}
 _ALL_FILES = " UNION ALL ".join(f"SELECT source_file FROM raw_{d}" for d in RAW)
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
+#: Rows of a compressed extract, which one task reads.
+ROWS_OF_EXTRACT = 500_000
+
+
+def _write_csv(df: DataFrame, path: str, compressed: bool = False) -> None:
     writer = df.write.option("header", "true").option("escape", '"').option("emptyValue", "")
     writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+    if compressed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", ROWS_OF_EXTRACT)
     writer.csv(path)
 
 
-def _files(inputs: Inputs, path: str) -> list[str]:
-    return sorted(p for paths in drops.discover(inputs.spark, path).values() for p in paths)
+def _files(inputs: Inputs, path: str, suffix: str = ".csv") -> list[str]:
+    return sorted(p for paths in drops.discover(inputs.spark, path, suffix).values() for p in paths)
 
 
 @query(
@@ -153,33 +159,46 @@ def _content_sql(dataset: str) -> str:
 def layer_reconciliation(inputs: Inputs) -> DataFrame:
     """Raw rows and columns of every dataset, written as text extracts, against the good rows and
     the columns bronze holds after ingesting those. The content of what was stored is shown, which
-    the other side works out from the tables."""
+    the other side works out from the tables.
+
+    Extracts go once bronze is written, and bronze once its content is taken, so the disk holds two
+    datasets at a time and not all; extracts are compressed but those with line breaks in cells,
+    which are read by block.
+    """
     spark = inputs.spark
     path = new_shared_path(spark, "reconciliation")
     batch_id, now = drops.new_batch()
 
-    def ingest(dataset: str) -> DataFrame:
-        extracts, layer = f"{path}/raw/{dataset}", f"{path}/bronze/{dataset}"
-        _write_csv(inputs.raw(dataset).select(*DATASETS[dataset]), extracts)
-        rows = drops.read_dataset(spark, dataset, _files(inputs, extracts), extracts, batch_id, now, dataset in _LINE_BREAKS)
-        write_layer(rows.withColumn(QUARANTINED, F.col(drops.CORRUPT).isNotNull().cast("int")), layer, [QUARANTINED])
-        return read_layer(spark, layer)
-
-    stored = dict(zip(RAW, in_parallel(*[partial(ingest, d) for d in RAW])))
     def content(dataset: str, rows: DataFrame) -> DataFrame:
         return rows.agg(F.lit(dataset).alias("dataset"), *quality.fingerprint(rows, DATASETS[dataset]))
 
+    def ingest(dataset: str) -> tuple[DataFrame, list[str]]:
+        extracts, layer = f"{path}/raw/{dataset}", f"{path}/bronze/{dataset}"
+        blocks = dataset in _LINE_BREAKS
+        _write_csv(inputs.raw(dataset).select(*DATASETS[dataset]), extracts, not blocks)
+        files = _files(inputs, extracts, ".csv" if blocks else ".csv.gz")
+        rows = drops.read_dataset(spark, dataset, files, extracts, batch_id, now, blocks)
+        marked = rows.withColumn(QUARANTINED, F.col(drops.CORRUPT).isNotNull().cast("int"))
+        write_layer(marked, layer, [QUARANTINED], compression="zstd")
+        remove(spark, extracts)
+        stored = read_layer(spark, layer)
+        kept = materialise(content(dataset, stored.filter(F.col(QUARANTINED) == 0)), f"{dataset}_content")
+        remove(spark, layer)
+        return kept, stored.columns
+
+    # Good and bad rows are two files of a task, open at once, so they need no sort before they are
+    # written; and a task reads one extract, for a few compressed bytes are many rows.
+    writers, one_file = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.files.openCostInBytes"
+    with setting(spark, writers, "2"), setting(spark, one_file, spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        kept, columns_of = zip(*in_parallel(*[partial(ingest, d) for d in RAW], at_once=2))
     raw = [content(d, inputs.raw(d)) for d in RAW]
-    kept = [content(d, df.filter(F.col(QUARANTINED) == 0)) for d, df in stored.items()]
     rows = quality.reconcile_content(reduce(DataFrame.unionByName, raw), reduce(DataFrame.unionByName, kept))
 
     def names(frames) -> DataFrame:
         pairs = [(d, c) for d, columns in frames for c in columns]
         return spark.createDataFrame(pairs, "dataset string, column string")
 
-    columns = quality.reconcile_columns(
-        names((d, DATASETS[d]) for d in RAW), names((d, df.columns) for d, df in stored.items())
-    )
+    columns = quality.reconcile_columns(names((d, DATASETS[d]) for d in RAW), names(zip(RAW, columns_of)))
     report = materialise(rows.join(columns, "dataset", "left"), "reconciliation_report")
     remove(spark, path)
     return report

@@ -44,8 +44,8 @@ def root_of(spark: SparkSession, folder: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-def discover(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """All ``*.csv`` below ``folder``, grouped by dataset, datasets and files sorted.
+def discover(spark: SparkSession, folder: str, suffix: str = ".csv") -> dict[str, list[str]]:
+    """All ``*.csv`` (or ``*.csv.gz``, by ``suffix``) below ``folder``, grouped by dataset, datasets and files sorted.
 
     What reaches the driver is one path per file, which it needs to plan the scans. Names Spark
     would not read are an error, since their rows would be missing without one.
@@ -57,9 +57,9 @@ def discover(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     groups: dict[str, list[str]] = defaultdict(list)
     while listed.hasNext():
         found = listed.next().getPath().toString()
-        if found.endswith(".csv"):
+        if found.endswith(suffix):
             check_name(found.removeprefix(root))
-            groups[dataset_of(found)].append(found)
+            groups[dataset_of(f"{found.removesuffix(suffix)}.csv")].append(found)
     return {dataset: sorted(groups[dataset]) for dataset in sorted(groups)}
 
 

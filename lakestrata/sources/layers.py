@@ -111,6 +111,7 @@ def write_layer(
     partition_by: Sequence[str] = (),
     gather: bool = False,
     replace: Callable[[dict[str, str | None]], bool] | None = None,
+    compression: str = "snappy",
 ) -> Version:
     """Replace the layer, or of a partitioned one the partitions for which ``replace`` is true.
 
@@ -123,7 +124,7 @@ def write_layer(
     if gather and partition_by:
         df = df.hint("rebalance", *partition_by)
     written = df.withColumn(VERSION, F.lit(name)) if partition_by else df
-    writer = written.write.mode("append").option("compression", "snappy")
+    writer = written.write.mode("append").option("compression", compression)
     if partition_by:
         writer.partitionBy(*partition_by, VERSION).parquet(path)
         new = _partitions(spark, path, len(partition_by), name)

@@ -136,3 +136,26 @@ def test_a_distinct_fact_has_each_of_its_rows_once(spark, tmp_path):
     assert Counter(found.collect()) == Counter(inputs.fact("fact_units", *columns).distinct().collect())
     assert found.count() == 3 and inputs.fact("fact_units", *columns).count() == 4
     assert "xxhash64" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reconciliation_keeps_few_datasets_on_disk(spark, monkeypatch):
+    """Extracts go once bronze is written, and bronze once its content is taken; settings are as before."""
+    from checks import ingest
+
+    left, at_once, write = [], [], ingest.write_layer
+
+    def writing(rows, path, *args, **kwargs):
+        done = write(rows, path, *args, **kwargs)
+        folder = path.rsplit("/bronze/", 1)[0].removeprefix("file://")
+        at_once.append(sum(os.path.isdir(f"{folder}/{kind}/{d}") for kind in ("raw", "bronze") for d in RAW))
+        left.append(folder)
+        return done
+
+    monkeypatch.setattr(ingest, "write_layer", writing)
+    settings = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in settings]
+    found = entry.queries()["layer_reconciliation"](spark, FOLDER).collect()
+    assert {r.dataset for r in found} == set(RAW) and {r.content_check for r in found} == {"PASS"}
+    assert len(at_once) == len(RAW) and max(at_once) <= 4
+    assert not any(os.path.exists(folder) for folder in left)
+    assert [spark.conf.get(name) for name in settings] == before
